@@ -1,40 +1,41 @@
-"""Arithmetic shared by every measure."""
+"""Arithmetic shared by every measure.
+
+Report rows are hundreds of columns wide, so measures are written as SQL text:
+one expression crosses from Python to the JVM per column, not one per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# The smallest double above zero.
+SMALLEST = "4.9E-324D"
 
 
-def quotient(numerator: Column, denominator: Column) -> Column:
-    """Floating-point division with IEEE results instead of an ANSI error."""
-    numerator = numerator.cast("double")
-    by_zero = (
-        F.when(numerator > 0, F.lit(float("inf")))
-        .when(numerator < 0, F.lit(float("-inf")))
-        .otherwise(F.lit(float("nan")))
-    )
-    return F.when(denominator == 0, by_zero).otherwise(numerator / denominator)
+def divisor(population: str) -> str:
+    """A population to divide by, as a double.
 
+    An empty population becomes the smallest double, so that anybody divided
+    by it is infinite and nobody is 0; an unknown one becomes infinity, so
+    that everything divided by it is 0, the value of an empty sum.
+    """
+    return (
+        f"CASE WHEN {population} = 0 THEN {SMALLEST} "
+        f"ELSE coalesce(double({population}), double('inf')) END"
+    )
 
-def percent(part: Column, whole: Column) -> Column:
-    """``part`` in percent of ``whole``.
 
-    Nothing of an empty or unknown whole is 0, the value of an empty sum.
-    """
-    share = F.lit(100) * quotient(part, whole)
-    return F.when(part == 0, F.lit(0.0)).otherwise(F.coalesce(share, F.lit(0.0)))
+def percent(part: str, whole: str) -> str:
+    """``part`` in percent of ``whole``, a :func:`divisor`."""
+    return f"100 * (double({part}) / {whole})"
 
 
-def sum_where(condition: Column, value: Column) -> Column:
+def sum_where(condition: str, value: str) -> str:
     """Sum of ``value`` over the rows meeting ``condition``; 0 if there are none."""
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0).cast("bigint"))
+    return f"coalesce(sum(CASE WHEN {condition} THEN {value} END), 0L)"
 
 
-def any_true(condition: Column) -> Column:
-    return F.coalesce(F.bool_or(condition), F.lit(False))
+def any_true(condition: str) -> str:
+    return f"coalesce(bool_or({condition}), false)"
 
 
-def whole_speed(speed: Column) -> Column:
-    """Speed without its fraction, for inputs declared as whole numbers."""
-    return speed.cast("bigint").cast("double")
+def total(names: list[str]) -> str:
+    return f"({' + '.join(names)})"

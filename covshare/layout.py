@@ -67,6 +67,11 @@ class Level:
     provider_infix: str
     access_suffix: str
 
+    @property
+    def divisor(self) -> str:
+        """Column that shares at this level are divided by."""
+        return f"{self.name}_divisor"
+
 
 COUNTY = Level("county", "county_fips", "county_pop", "c", "cnty", "county")
 STATE = Level("state", "state_fips", "state_pop", "s", "state", "state")
@@ -81,6 +86,11 @@ class ProviderClass:
     code: str
     column: str
 
+    @property
+    def bucket(self) -> str:
+        """Column holding the bucket of a block's provider count."""
+        return f"bucket_{self.code}"
+
 
 CONSUMER = ProviderClass("c", "prov_cons")
 BUSINESS = ProviderClass("b", "prov_bus")
@@ -101,6 +111,11 @@ class Direction:
     def code(self) -> str:
         return f"{self.letter.lower()}l"
 
+    @property
+    def tier(self) -> str:
+        """Column holding the tier of a block's best speed."""
+        return f"tier_{self.code}"
+
 
 def tier_starting_at(mbps: int) -> int:
     """Position of the tier whose floor is ``mbps``."""

@@ -14,64 +14,63 @@ from covshare.functions.keys import county_of_block, state_of_block
 from covshare.functions.numbers import any_true
 from covshare.layout import CLASSES, DIRECTIONS, SPEED_TIERS, TOP_BUCKET
 from covshare.operators.filings import (
-    has_access,
-    is_business,
-    is_consumer,
-    is_fast_down,
-    is_fast_up,
-    is_populated,
-    lacks_access,
+    ACCESS,
+    BUSINESS,
+    CONSUMER,
+    EITHER,
+    FAST_DOWN,
+    FAST_UP,
+    LACK,
+    POPULATED,
     populations,
 )
 
+# What a block is flagged with if any of its filings meets the condition.
+_FLAGS = {
+    "any_access": ACCESS,
+    "any_lack": LACK,
+    "any_down": FAST_DOWN,
+    "any_up": FAST_UP,
+    "serves_c": CONSUMER,
+    "serves_b": BUSINESS,
+    "serves_a": EITHER,
+}
 
-def _class_tests() -> dict[str, Column]:
-    return {
-        "c": is_consumer(),
-        "b": is_business(),
-        "a": is_consumer() | is_business(),
-    }
+
+def _aggregates(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in expressions.items()]
 
 
-def _flags() -> dict[str, Column]:
+def _facts() -> dict[str, str]:
     return {
-        "any_access": has_access(),
-        "any_lack": lacks_access(),
-        "any_down": is_fast_down(),
-        "any_up": is_fast_up(),
-        **{f"serves_{code}": test for code, test in _class_tests().items()},
+        **{name: any_true(test) for name, test in _FLAGS.items()},
+        **{
+            d.top_speed: f"max(CASE WHEN {CONSUMER} THEN {d.speed} END)"
+            for d in DIRECTIONS
+        },
     }
 
 
-def _facts() -> list[Column]:
-    flags = [any_true(test).alias(name) for name, test in _flags().items()]
-    tops = [
-        F.max(F.when(is_consumer(), F.col(d.speed))).alias(d.top_speed)
-        for d in DIRECTIONS
-    ]
-    return flags + tops
-
-
-def _merged_facts() -> list[Column]:
-    flags = [any_true(F.col(name)).alias(name) for name in _flags()]
-    return flags + [F.max(d.top_speed).alias(d.top_speed) for d in DIRECTIONS]
+def _merged_facts() -> dict[str, str]:
+    return {
+        **{name: f"bool_or({name})" for name in _FLAGS},
+        **{d.top_speed: f"max({d.top_speed})" for d in DIRECTIONS},
+    }
 
 
-def _provider_counts() -> list[Column]:
+def _provider_counts() -> dict[str, str]:
     # Rows are distinct (block, provider) here, so counting rows counts
     # providers. A block without filings of a class has no count.
-    return [
-        F.when(
-            any_true(F.col(f"serves_{k.code}")),
-            F.count(F.when(F.col(f"serves_{k.code}"), F.col("hoco_num"))),
-        ).alias(k.column)
+    return {
+        k.column: f"CASE WHEN bool_or(serves_{k.code}) "
+        f"THEN count(CASE WHEN serves_{k.code} THEN hoco_num END) END"
         for k in CLASSES
-    ]
+    }
 
 
 def block_speeds(filings: DataFrame) -> DataFrame:
     """Access flags and the best consumer speeds of each filed block."""
-    return _with_geography(filings.groupBy("block_code").agg(*_facts()))
+    return _with_geography(filings.groupBy("block_code").agg(*_aggregates(_facts())))
 
 
 def block_profile(filings: DataFrame) -> DataFrame:
@@ -80,9 +79,9 @@ def block_profile(filings: DataFrame) -> DataFrame:
     Grouping by block and provider first makes the distinct counts plain
     counts and spreads a large block over its providers.
     """
-    per_provider = filings.groupBy("block_code", "hoco_num").agg(*_facts())
+    per_provider = filings.groupBy("block_code", "hoco_num").agg(*_aggregates(_facts()))
     per_block = per_provider.groupBy("block_code").agg(
-        *_merged_facts(), *_provider_counts()
+        *_aggregates({**_merged_facts(), **_provider_counts()})
     )
     return _with_geography(per_block)
 
@@ -105,7 +104,7 @@ def _with_geography(blocks: DataFrame) -> DataFrame:
 
 def populated_blocks(blocks: DataFrame, block_pop: DataFrame) -> DataFrame:
     """Filed blocks where somebody lives, with their population."""
-    return blocks.join(populations(block_pop.where(is_populated())), "block_code")
+    return blocks.join(populations(block_pop.where(POPULATED)), "block_code")
 
 
 def top_speed(filings: DataFrame, speed: str, top: str) -> DataFrame:
@@ -114,9 +113,7 @@ def top_speed(filings: DataFrame, speed: str, top: str) -> DataFrame:
     Keeping the rows tied at the maximum and making them distinct leaves one
     row per block, so an aggregation does what a window over rows would.
     """
-    best = (
-        filings.where(is_consumer()).groupBy("block_code").agg(F.max(speed).alias(top))
-    )
+    best = filings.where(CONSUMER).groupBy("block_code").agg(F.max(speed).alias(top))
     return _with_geography(best)
 
 

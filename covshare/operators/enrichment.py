@@ -11,14 +11,12 @@ from covshare.functions.numbers import any_true
 from covshare.layout import AS_WRITTEN
 
 
-def attach_single_row(table: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Every column of a one-row table on every row.
+def attach_single_row(table: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """A one-row table on every row, as the fields of one column.
 
     A scalar subquery: no join, and it fails if there is more than one row.
     """
-    names = one_row.columns
-    row = one_row.select(F.struct(*names)).scalar()
-    return table.withColumns({name: row[name] for name in names})
+    return table.withColumn(name, one_row.select(F.struct("*")).scalar())
 
 
 def join_all(tables: list[DataFrame], key: str, how: str = "inner") -> DataFrame:
@@ -38,12 +36,20 @@ def outer_join(left: DataFrame, right: DataFrame, key: str, mode: str) -> DataFr
 def with_rural_tables(
     report: DataFrame, county: DataFrame, state: DataFrame, nation: DataFrame, mode: str
 ) -> DataFrame:
-    """Full outer joins with payload tables of the three levels."""
+    """Full outer joins with payload tables of the three levels.
+
+    The report's hundreds of measures travel through the joins as one column.
+    """
     county = county.withColumn("county_fips", F.col("county_fips").cast("int"))
     state = state.withColumn("state_fips", F.col("state_fips").cast("int"))
-    joined = outer_join(report, county, "county_fips", mode)
+    keys = ["county_fips", "state_fips", "merge_level"]
+    measures = [c for c in report.columns if c not in keys]
+    packed = report.select(*keys, F.struct(*measures).alias("_measures"))
+    joined = outer_join(packed, county, "county_fips", mode)
     joined = outer_join(joined, state, "state_fips", mode)
-    return outer_join(joined, nation, "merge_level", mode)
+    joined = outer_join(joined, nation, "merge_level", mode)
+    payload = [c for c in joined.columns if c not in (*keys, "_measures")]
+    return joined.select(*keys, "_measures.*", *payload)
 
 
 def left_enrich(
@@ -69,5 +75,5 @@ def with_income(
 
 def flag_any_negative(table: DataFrame, column: str, flag: str) -> DataFrame:
     """1 on every row if any row of the table is below zero in a column, else 0."""
-    found = table.agg(any_true(F.col(column) < 0).cast("int").alias(flag))
-    return attach_single_row(table, found)
+    found = table.agg(F.expr(f"int({any_true(f'{column} < 0')}) AS {flag}"))
+    return attach_single_row(table, found, "_found").selectExpr("*", f"_found.{flag}").drop("_found")

@@ -1,42 +1,23 @@
-"""Provider filings and the predicates that select among them."""
+"""Provider filings and the conditions that select among them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.functions.keys import county_of_block, left, state_of_block
-from covshare.functions.numbers import percent, whole_speed
+from covshare.functions.numbers import percent
 from covshare.layout import BROADBAND_DOWN, BROADBAND_UP, LEVELS
 
-
-def is_consumer() -> Column:
-    return F.col("consumer") == 1
-
-
-def is_business() -> Column:
-    return F.col("business") == 1
-
-
-def is_fast_down(mbps: float = BROADBAND_DOWN) -> Column:
-    return F.col("max_down") >= mbps
-
-
-def is_fast_up(mbps: float = BROADBAND_UP) -> Column:
-    return F.col("max_up") >= mbps
-
-
-def has_access(down: float = BROADBAND_DOWN, up: float = BROADBAND_UP) -> Column:
-    return is_fast_up(up) & is_fast_down(down)
-
-
-def lacks_access(down: float = BROADBAND_DOWN, up: float = BROADBAND_UP) -> Column:
-    """The zero branch: at or below both thresholds, so not quite the complement."""
-    return (F.col("max_up") <= up) & (F.col("max_down") <= down)
-
-
-def is_populated() -> Column:
-    return F.col("gl_pop") != 0
+CONSUMER = "consumer = 1"
+BUSINESS = "business = 1"
+EITHER = "business = 1 OR consumer = 1"
+FAST_DOWN = f"max_down >= {BROADBAND_DOWN}"
+FAST_UP = f"max_up >= {BROADBAND_UP}"
+ACCESS = f"{FAST_UP} AND {FAST_DOWN}"
+# The zero branch: at or below both thresholds, so not quite the complement.
+LACK = f"max_up <= {BROADBAND_UP} AND max_down <= {BROADBAND_DOWN}"
+POPULATED = "gl_pop <> 0"
 
 
 def prepare_filings(deployment: DataFrame, truncate_speeds: bool = False) -> DataFrame:
@@ -45,7 +26,7 @@ def prepare_filings(deployment: DataFrame, truncate_speeds: bool = False) -> Dat
     ``truncate_speeds`` drops fractions, as a reader typing speeds as whole
     numbers would.
     """
-    speed = whole_speed if truncate_speeds else (lambda column: column.cast("double"))
+    speed = "double(bigint({0}))" if truncate_speeds else "double({0})"
     block = F.col("block_code")
     return deployment.select(
         "block_code",
@@ -55,8 +36,10 @@ def prepare_filings(deployment: DataFrame, truncate_speeds: bool = False) -> Dat
         left(F.col("dba_name")).alias("dba_name"),
         "consumer",
         "business",
-        F.coalesce(speed(F.col("max_down")), F.lit(0.0)).alias("max_down"),
-        F.coalesce(speed(F.col("max_up")), F.lit(0.0)).alias("max_up"),
+        *[
+            F.expr(f"coalesce({speed.format(s)}, 0D) AS {s}")
+            for s in ("max_down", "max_up")
+        ],
     )
 
 
@@ -109,13 +92,9 @@ def filings_with_population(filings: DataFrame, block_pop: DataFrame) -> DataFra
     return joined.fillna(0, subset=["gl_pop", "max_down", "max_up"])
 
 
-def shares_of_block(population: Column = None) -> list[Column]:
+def shares_of_block() -> list[str]:
     """The block's population in percent of its county, state and nation."""
-    population = F.col("gl_pop") if population is None else population
-    return [
-        percent(population, F.col(level.population)).alias(f"pct_of_{level.name}")
-        for level in LEVELS
-    ]
+    return [f"{percent('gl_pop', v.divisor)} AS pct_of_{v.name}" for v in LEVELS]
 
 
 def filings_with_denominators(
@@ -137,8 +116,7 @@ def enrich(
     """Filings of populated blocks in known counties, with the block's shares."""
     filings = prepare_filings(deployment, truncate_speeds)
     joined = filings.drop("state_fips").join(
-        populations(block_pop.where(is_populated())), "block_code"
-    )
-    return joined.join(F.broadcast(denominators), "county_fips").select(
-        "*", *shares_of_block()
+        populations(block_pop.where(POPULATED)), "block_code"
     )
+    known = joined.join(F.broadcast(denominators), "county_fips")
+    return known.selectExpr("*", *shares_of_block())

@@ -12,9 +12,11 @@ from covshare.functions.keys import (
     state_of_block,
     zero_pad,
 )
+from covshare.functions.numbers import divisor
 from covshare.layout import (
     COUNTY_DIGITS,
     INTENDED,
+    LEVELS,
     MAX_COUNTIES,
     NATIONAL,
     STATE_DIGITS,
@@ -68,13 +70,16 @@ def denominators(county_pop: DataFrame) -> DataFrame:
     total = F.sum("county_pop")
     state = Window.partitionBy("state_fips")
     nation = Window.partitionBy()
-    return counties(county_pop).select(
+    with_totals = counties(county_pop).select(
         "county_fips",
         "state_fips",
         "county_pop",
         total.over(state).alias("state_pop"),
         total.over(nation).alias("national_pop"),
     )
+    return with_totals.selectExpr(
+        "*", *[f"{divisor(level.population)} AS {level.divisor}" for level in LEVELS]
+    )
 
 
 def county_data(county_names: DataFrame, county_housing: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covshare.functions.numbers import any_true, percent, quotient
+from covshare.functions.numbers import any_true, percent, total
 from covshare.layout import (
     AS_WRITTEN,
     BUCKETS,
@@ -14,23 +14,16 @@ from covshare.layout import (
     LEVELS,
     MEDIAN_LEVEL,
     STATE,
-    TOP_BUCKET,
     Level,
     ProviderClass,
     bucket_column,
     cumulative_column,
     provider_count_column,
 )
-from covshare.operators.blocks import (
-    block_profile,
-    populated_blocks,
-    provider_bucket,
-)
-from covshare.operators.filings import is_business, is_consumer
+from covshare.operators.blocks import block_profile, populated_blocks, provider_bucket
+from covshare.operators.filings import BUSINESS, CONSUMER, EITHER
 from covshare.operators.shares import county_sums, roll_up, roll_up_all
 
-_CLASS_FLAGS = ("serves_c", "serves_b")
-
 
 def county_providers(filings: DataFrame) -> DataFrame:
     """Distinct (county, provider) with the classes it serves there.
@@ -39,9 +32,12 @@ def county_providers(filings: DataFrame) -> DataFrame:
     county holding a large part of them collapses to its providers per task.
     """
     return (
-        filings.groupBy("county_fips", "state_fips", "hoco_num")
-        .agg(any_true(is_consumer()).alias("serves_c"), any_true(is_business()).alias("serves_b"))
-        .where("serves_c OR serves_b")
+        filings.where(EITHER)
+        .groupBy("county_fips", "state_fips", "hoco_num")
+        .agg(
+            F.expr(any_true(CONSUMER)).alias("serves_c"),
+            F.expr(any_true(BUSINESS)).alias("serves_b"),
+        )
     )
 
 
@@ -52,40 +48,86 @@ def provider_counts(providers: DataFrame, level: Level) -> DataFrame:
     classes are joined to each other.
     """
     keys = [level.key] if level.key else []
+    classes = [
+        F.expr(any_true(flag)).alias(flag) for flag in ("serves_c", "serves_b")
+    ]
     if level is not COUNTY:
-        providers = providers.groupBy(*keys, "hoco_num").agg(
-            *[any_true(F.col(flag)).alias(flag) for flag in _CLASS_FLAGS]
-        )
-    provider = F.col("hoco_num")
-    counts = {
-        "c": F.count(F.when(F.col("serves_c"), provider)),
-        "b": F.count(F.when(F.col("serves_b"), provider)),
-        "a": F.count(provider),
+        providers = providers.groupBy(*keys, "hoco_num").agg(*classes)
+    counted = {
+        "c": "count(CASE WHEN serves_c THEN hoco_num END)",
+        "b": "count(CASE WHEN serves_b THEN hoco_num END)",
+        "a": "count(hoco_num)",
     }
-    counted = providers.groupBy(*keys).agg(
-        *[counts[k.code].alias(provider_count_column(level, k)) for k in CLASSES],
-        *[any_true(F.col(flag)).alias(flag) for flag in _CLASS_FLAGS],
+    counts = [
+        F.expr(counted[k.code]).alias(provider_count_column(level, k)) for k in CLASSES
+    ]
+    if not keys:
+        return providers.agg(*counts)
+    return (
+        providers.groupBy(*keys)
+        .agg(*counts, *classes)
+        .where("serves_c AND serves_b")
+        .drop("serves_c", "serves_b")
+    )
+
+
+def provider_counts_all(providers: DataFrame) -> DataFrame:
+    """:func:`provider_counts` of all levels as one table.
+
+    Rows carry ``level`` and ``geo_id``, 0 for the nation.
+    """
+    places = ["state_fips", "county_fips"]
+    by_provider = providers.groupingSets(
+        [[*places, "hoco_num"], ["state_fips", "hoco_num"], ["hoco_num"]],
+        *places,
+        "hoco_num",
+    ).agg(
+        F.grouping_id(*places, "hoco_num").alias("gid"),
+        *[F.expr(f"bool_or({c})").alias(c) for c in ("serves_c", "serves_b")],
+    )
+    # Bits of the grouping id: state, county, provider; set where left out.
+    level = F.expr("CASE gid WHEN 0 THEN 'county' WHEN 2 THEN 'state' ELSE 'nation' END")
+    place = F.expr("coalesce(CASE gid WHEN 0 THEN county_fips WHEN 2 THEN state_fips END, 0)")
+    return (
+        by_provider.groupBy(level.alias("level"), place.alias("geo_id"))
+        .agg(
+            F.expr("count(CASE WHEN serves_c THEN hoco_num END)").alias("c"),
+            F.expr("count(CASE WHEN serves_b THEN hoco_num END)").alias("b"),
+            F.count("hoco_num").alias("a"),
+            F.expr("bool_or(serves_c) AND bool_or(serves_b)").alias("both"),
+        )
+        .where("both OR level = 'nation'")
+        .drop("both")
+    )
+
+
+def counts_at(counts: DataFrame, level: Level) -> DataFrame:
+    """One level of :func:`provider_counts_all` under its column names."""
+    key = [F.col("geo_id").alias(level.key)] if level.key else []
+    return counts.where(F.col("level") == level.name).select(
+        *key, *[F.col(k.code).alias(provider_count_column(level, k)) for k in CLASSES]
     )
-    both = counted.where("serves_c AND serves_b") if keys else counted
-    return both.drop(*_CLASS_FLAGS)
 
 
 def bucket_sum(klass: ProviderClass, bucket: int) -> str:
     return f"prov_{klass.code}_{bucket}"
 
 
-def bucket_tests() -> dict[str, Column]:
-    """One condition per class and bucket on a block's provider counts."""
-    return {
-        bucket_sum(k, b): provider_bucket(F.col(k.column)) == b
-        for k in CLASSES
-        for b in BUCKETS
-    }
+def bucket_tests() -> dict[str, str]:
+    """One condition per class and bucket on blocks with their buckets."""
+    return {bucket_sum(k, b): f"{k.bucket} = {b}" for k in CLASSES for b in BUCKETS}
 
 
 def counted_blocks(filings: DataFrame, block_pop: DataFrame) -> DataFrame:
-    """Populated blocks with a consumer filing and their provider counts."""
-    return populated_blocks(block_profile(filings).where("serves_c"), block_pop)
+    """Populated blocks with a consumer filing, their provider counts and buckets."""
+    served = block_profile(filings).where("serves_c")
+    return with_buckets(populated_blocks(served, block_pop))
+
+
+def with_buckets(blocks: DataFrame) -> DataFrame:
+    return blocks.withColumns(
+        {k.bucket: provider_bucket(F.col(k.column)) for k in CLASSES}
+    )
 
 
 def county_bucket_sums(
@@ -95,121 +137,108 @@ def county_bucket_sums(
 
 
 def bucket_share(per_county: DataFrame, level: Level) -> DataFrame:
-    """Percent of a level's population by the provider count of its block."""
-    sums = list(bucket_tests())
-    kept = ["county_pop"] if level is COUNTY else []
+    """Percent of a level's population by the provider count of its block.
+
+    Counties carry their population, states that of their counties in the table.
+    """
+    sums, kept = list(bucket_tests()), []
+    if level is COUNTY:
+        kept = ["county_fips", "state_fips", "county_pop"]
     if level is STATE:
         per_county = per_county.withColumn("state_pop_covered", F.col("county_pop"))
         sums.append("state_pop_covered")
-        kept = ["state_pop_covered"]
-    rolled = roll_up(per_county, sums, level)
-    keys = [level.key] if level.key else []
-    if level is COUNTY:
-        keys = ["county_fips", "state_fips"]
-    return rolled.select(*keys, *kept, *bucket_shares_of(level))
+        kept = ["state_fips", "state_pop_covered"]
+    return roll_up(per_county, sums, level).selectExpr(*kept, *bucket_shares_of(level))
 
 
-def bucket_shares_of(level: Level, sums: str = "{}") -> list[Column]:
+def bucket_shares_of(level: Level, sums: str = "{}") -> list[str]:
     """Bucket shares from the bucket sums of a row."""
-    whole = F.col(level.population)
     return [
-        percent(F.col(sums.format(bucket_sum(k, b))), whole).alias(
-            bucket_column(level, k, b)
-        )
+        f"{percent(sums.format(bucket_sum(k, b)), level.divisor)} "
+        f"AS {bucket_column(level, k, b)}"
         for k in CLASSES
         for b in BUCKETS
     ]
 
 
 def cumulative_share(
-    klass: ProviderClass, bucket: int, whole: Column, sums: str = "{}"
-) -> Column:
+    klass: ProviderClass, bucket: int, whole: str, sums: str = "{}"
+) -> str:
     """Percent of population with at most ``bucket`` providers.
 
     The last bucket adds the open one, so it is the total.
     """
-    people = sum(
-        (F.col(sums.format(bucket_sum(klass, b))) for b in range(1, bucket + 1)),
-        F.col(sums.format(bucket_sum(klass, 0))),
-    )
-    return percent(people, whole)
+    people = [sums.format(bucket_sum(klass, b)) for b in range(bucket + 1)]
+    return percent(total(people), whole)
 
 
-def interpolated_quantile(
-    cumulative: list[Column], mode: str = AS_WRITTEN, level: float = MEDIAN_LEVEL
-) -> tuple[Column, Column]:
-    """Where a cumulative distribution reaches ``level``, and the step below.
+def bracket_below(
+    cumulative: str, mode: str = AS_WRITTEN, level: float = MEDIAN_LEVEL
+) -> str:
+    """The step of a cumulative distribution at which ``level`` is read.
 
-    Intended, the step is the one that crosses the level. As written, it is
-    the last one that stays at or below it on both ends, and the line through
-    it is extended; a flat step gives infinity.
+    Intended, it is the step that crosses the level. As written, it is the
+    last one that stays at or below it on both ends.
     """
-    target = F.lit(level).cast("double")
-    steps = []
-    for k in reversed(range(len(cumulative) - 1)):
-        low, high = cumulative[k], cumulative[k + 1]
-        reached = high <= target if mode == AS_WRITTEN else high >= target
-        value = F.lit(k) + quotient(target - low, high - low)
-        found = F.struct(value.alias("value"), F.lit(k).alias("bracket"))
-        steps.append(F.when((low < target) & reached, found))
-    step = F.coalesce(*steps)
-    return step["value"], step["bracket"]
+    low, high = f"{cumulative}[k]", f"{cumulative}[k + 1]"
+    reached = f"{high} <= {level}" if mode == AS_WRITTEN else f"{high} >= {level}"
+    steps = f"sequence(0, size({cumulative}) - 2)"
+    return f"array_max(filter({steps}, k -> {low} < {level} AND {reached}))"
 
 
-def class_rows(per_county: DataFrame) -> DataFrame:
-    """Bucket sums in long form: one row per level, geography and class.
-
-    ``people`` holds the population of each bucket.
-    """
-    sums = list(bucket_tests())
-    rolled = roll_up_all(per_county, sums)
-    classes = F.array(
-        *[
-            F.struct(
-                F.lit(k.code).alias("class"),
-                F.array(*[F.col(bucket_sum(k, b)) for b in BUCKETS]).alias("people"),
-            )
-            for k in CLASSES
-        ]
-    )
-    return rolled.select(
-        "level", "geo_id", "population", F.inline(classes).alias("class", "people")
+def interpolated(cumulative: str, bracket: str, level: float = MEDIAN_LEVEL) -> str:
+    """Where the line through a step reaches ``level``; a flat step never does."""
+    low, high = f"{cumulative}[{bracket}]", f"{cumulative}[{bracket} + 1]"
+    return (
+        f"{bracket} + CASE WHEN {high} = {low} THEN double('inf') "
+        f"ELSE ({level} - {low}) / ({high} - {low}) END"
     )
 
 
-def bucket_share_rows(per_county: DataFrame) -> DataFrame:
-    """Bucket shares of all levels and classes in long form."""
-    whole = F.col("population")
-    return class_rows(per_county).select(
+def class_rows(per_county: DataFrame) -> DataFrame:
+    """Cumulative and bucket shares in long form, as arrays over the buckets.
+
+    One row per level, geography and class.
+    """
+    rolled = roll_up_all(per_county, bucket_tests())
+    structs = []
+    for k in CLASSES:
+        shares = ", ".join(percent(bucket_sum(k, b), "divisor") for b in BUCKETS)
+        running = ", ".join(cumulative_share(k, b, "divisor") for b in BUCKETS)
+        structs.append(f"struct('{k.code}', array({shares}), array({running}))")
+    return rolled.selectExpr(
         "level",
         "geo_id",
-        "class",
-        *[percent(F.col("people")[b], whole).alias(f"share_{b}") for b in BUCKETS],
+        f"inline(array({', '.join(structs)})) AS (class, shares, cumulative)",
     )
 
 
-def cumulative_rows(per_county: DataFrame) -> DataFrame:
-    """Cumulative shares, one array per level, geography and class."""
-    whole = F.col("population")
-    running = [
-        percent(sum((F.col("people")[i] for i in range(1, b + 1)), F.col("people")[0]), whole)
-        for b in BUCKETS
-    ]
-    return class_rows(per_county).select(
-        "level", "geo_id", "class", F.array(*running).alias("cumulative")
+def bucket_share_rows(per_county: DataFrame) -> DataFrame:
+    """Bucket shares of all levels and classes in long form."""
+    return class_rows(per_county).selectExpr(
+        "level", "geo_id", "class", *[f"shares[{b}] AS share_{b}" for b in BUCKETS]
     )
 
 
-def median_rows(per_county: DataFrame, mode: str) -> DataFrame:
+def median_rows(per_county: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:
     """Interpolated median of the provider count, in long form."""
-    cumulative = [F.col("cumulative")[b] for b in BUCKETS]
-    value, bracket = interpolated_quantile(cumulative, mode)
-    return cumulative_rows(per_county).select(
-        "level", "geo_id", "class", value.alias("value"), bracket.alias("bracket")
+    found = class_rows(per_county).selectExpr(
+        "level",
+        "geo_id",
+        "class",
+        "cumulative",
+        f"{bracket_below('cumulative', mode)} AS bracket",
+    )
+    return found.selectExpr(
+        "level",
+        "geo_id",
+        "class",
+        f"{interpolated('cumulative', 'bracket')} AS value",
+        "bracket",
     )
 
 
-def last_lower_bound(brackets: dict[tuple[Level, ProviderClass], Column]) -> Column:
+def last_lower_bound(brackets: dict[tuple[Level, ProviderClass], str]) -> str:
     """The one lower-bound label all levels and classes write to in turn.
 
     Written county first and nation last, consumer before business before
@@ -218,11 +247,6 @@ def last_lower_bound(brackets: dict[tuple[Level, ProviderClass], Column]) -> Col
     labels = []
     for level in LEVELS:
         for klass in CLASSES:
-            bracket = brackets[level, klass]
-            label = F.lit(cumulative_column(level, klass, 0)[:-1])
-            labels.append(
-                F.when(bracket.isNotNull(), F.concat(label, bracket.cast("string")))
-            )
-    return F.coalesce(*reversed(labels))
-
-
+            stem = cumulative_column(level, klass, 0)[:-1]
+            labels.append(f"'{stem}' || string({brackets[level, klass]})")
+    return f"coalesce({', '.join(reversed(labels))})"

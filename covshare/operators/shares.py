@@ -8,9 +8,9 @@ depend on the order of summation.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.functions.numbers import any_true, percent, sum_where
@@ -20,60 +20,60 @@ from covshare.operators.blocks import block_speeds, populated_blocks
 
 def county_sums(
     blocks: DataFrame,
-    sums: Mapping[str, Column],
+    sums: Mapping[str, str],
     denominators: DataFrame,
-    flags: Mapping[str, Column] | None = None,
+    flags: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Population of the blocks meeting each condition, per known county.
 
     ``flags`` tell whether any block of the county meets a condition.
     """
     per_county = blocks.groupBy("county_fips").agg(
-        *[sum_where(test, F.col("gl_pop")).alias(name) for name, test in sums.items()],
-        *[any_true(test).alias(name) for name, test in (flags or {}).items()],
+        *[F.expr(sum_where(test, "gl_pop")).alias(n) for n, test in sums.items()],
+        *[F.expr(any_true(test)).alias(n) for n, test in (flags or {}).items()],
     )
     return per_county.join(denominators, "county_fips")
 
 
-def roll_up(per_county: DataFrame, sums, level: Level) -> DataFrame:
-    """County sums added up to one level, with that level's population."""
+def roll_up(per_county: DataFrame, sums: Iterable[str], level: Level) -> DataFrame:
+    """County sums added up to one level, with that level's divisor."""
     if level is COUNTY:
         return per_county
     added = [F.sum(name).alias(name) for name in sums]
-    whole = F.max(level.population).alias(level.population)
+    whole = F.max(level.divisor).alias(level.divisor)
     if level is STATE:
         return per_county.groupBy("state_fips").agg(whole, *added)
     return per_county.agg(whole, *added)
 
 
-def roll_up_all(per_county: DataFrame, sums) -> DataFrame:
+def roll_up_all(per_county: DataFrame, sums: Iterable[str]) -> DataFrame:
     """County, state and national sums as one grouping-sets aggregation.
 
-    Rows carry ``level``, ``geo_id`` (0 for the nation) and ``population``.
+    Rows carry ``level``, ``geo_id`` (0 for the nation) and ``divisor``.
     """
+    sums = list(sums)
     grouped = per_county.groupingSets(
         [["state_fips", "county_fips"], ["state_fips"], []], "state_fips", "county_fips"
     ).agg(
         F.grouping_id().alias("gid"),
-        *[F.max(level.population).alias(level.population) for level in LEVELS],
+        *[F.max(level.divisor).alias(level.divisor) for level in LEVELS],
         *[F.sum(name).alias(name) for name in sums],
     )
-    gid = F.col("gid")
 
-    def by_level(county, state, nation) -> Column:
-        return F.when(gid == 0, county).when(gid == 1, state).otherwise(nation)
+    def by_level(county: str, state: str, nation: str) -> str:
+        return f"CASE gid WHEN 0 THEN {county} WHEN 1 THEN {state} ELSE {nation} END"
 
-    return grouped.select(
-        by_level(*[F.lit(level.name) for level in LEVELS]).alias("level"),
-        by_level(F.col("county_fips"), F.col("state_fips"), F.lit(0)).alias("geo_id"),
-        by_level(*[F.col(level.population) for level in LEVELS]).alias("population"),
+    return grouped.selectExpr(
+        f"{by_level(*[repr(level.name) for level in LEVELS])} AS level",
+        f"{by_level('county_fips', 'state_fips', '0')} AS geo_id",
+        f"{by_level(*[level.divisor for level in LEVELS])} AS divisor",
         *sums,
     )
 
 
 def population_share(
     blocks: DataFrame,
-    shares: Mapping[str, Column],
+    shares: Mapping[str, str],
     denominators: DataFrame,
     level: Level,
 ) -> DataFrame:
@@ -84,22 +84,18 @@ def population_share(
     """
     rolled = roll_up(county_sums(blocks, shares, denominators), shares, level)
     key = [level.key] if level.key else []
-    whole = F.col(level.population)
-    return rolled.select(
-        *key, *[percent(F.col(name), whole).alias(name) for name in shares]
+    return rolled.selectExpr(
+        *key, *[f"{percent(name, level.divisor)} AS {name}" for name in shares]
     )
 
 
 def population_shares(
-    blocks: DataFrame, shares: Mapping[str, Column], denominators: DataFrame
+    blocks: DataFrame, shares: Mapping[str, str], denominators: DataFrame
 ) -> DataFrame:
     """The same at all three levels, in long form."""
     rolled = roll_up_all(county_sums(blocks, shares, denominators), shares)
-    whole = F.col("population")
-    return rolled.select(
-        "level",
-        "geo_id",
-        *[percent(F.col(name), whole).alias(name) for name in shares],
+    return rolled.selectExpr(
+        "level", "geo_id", *[f"{percent(n, 'divisor')} AS {n}" for n in shares]
     )
 
 
@@ -121,10 +117,7 @@ def access_share(
     """Percent of population in blocks with a broadband filing."""
     blocks = populated_blocks(block_speeds(filings), block_pop)
     return population_share(
-        surveyed(blocks, mode),
-        {"pct_with_access": F.col("any_access")},
-        denominators,
-        level,
+        surveyed(blocks, mode), {"pct_with_access": "any_access"}, denominators, level
     )
 
 
@@ -142,13 +135,15 @@ def speed_share(
     """
     blocks = populated_blocks(block_speeds(filings), block_pop)
     if mode != AS_WRITTEN:
-        return population_shares(blocks, {"pct": F.col(flag)}, denominators)
+        return population_shares(blocks, {"pct": flag}, denominators)
     both = population_shares(
-        blocks, {"covered": F.lit(True), "access": F.col("any_access")}, denominators
+        blocks, {"covered": "true", "access": "any_access"}, denominators
+    )
+    return both.selectExpr(
+        "level",
+        "geo_id",
+        f"CASE level WHEN '{NATION.name}' THEN access ELSE covered END AS pct",
     )
-    nation = F.col("level") == NATION.name
-    pct = F.when(nation, F.col("access")).otherwise(F.col("covered"))
-    return both.select("level", "geo_id", pct.alias("pct"))
 
 
 def all_shares(
@@ -157,11 +152,5 @@ def all_shares(
     """Access, download and upload shares at all levels in one pass, as intended."""
     blocks = populated_blocks(block_speeds(filings), block_pop)
     return population_shares(
-        blocks,
-        {
-            "access": F.col("any_access"),
-            "down": F.col("any_down"),
-            "up": F.col("any_up"),
-        },
-        denominators,
+        blocks, {"access": "any_access", "down": "any_down", "up": "any_up"}, denominators
     )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covshare.functions.numbers import percent
+from covshare.functions.numbers import percent, total
 from covshare.layout import (
     AS_WRITTEN,
+    DIRECTIONS,
     NATION,
     STATE,
     TIERS,
@@ -21,22 +22,29 @@ from covshare.operators.blocks import populated_blocks, speed_tier, top_speed
 from covshare.operators.shares import population_share
 
 
-def tier_tests(direction: Direction) -> dict[str, Column]:
-    """One condition per tier on a block's best speed."""
-    tier = speed_tier(F.col(direction.top_speed))
-    return {tier_sum(direction, i): tier == i for i in TIERS}
-
-
 def tier_sum(direction: Direction, tier: int) -> str:
     return f"{direction.code}_{tier}"
 
 
+def tier_tests(direction: Direction) -> dict[str, str]:
+    """One condition per tier on blocks with their tier."""
+    return {tier_sum(direction, i): f"{direction.tier} = {i}" for i in TIERS}
+
+
 def tiered_blocks(
     filings: DataFrame, block_pop: DataFrame, direction: Direction
 ) -> DataFrame:
-    """Populated blocks with a consumer filing, at their best speed."""
+    """Populated blocks with a consumer filing, their best speed and its tier."""
     best = top_speed(filings, direction.speed, direction.top_speed)
-    return populated_blocks(best, block_pop)
+    return with_tiers(populated_blocks(best, block_pop), [direction])
+
+
+def with_tiers(
+    blocks: DataFrame, directions: Sequence[Direction] = DIRECTIONS
+) -> DataFrame:
+    return blocks.withColumns(
+        {d.tier: speed_tier(F.col(d.top_speed)) for d in directions}
+    )
 
 
 def tier_share(
@@ -58,50 +66,46 @@ def tier_share(
     )
 
 
-def tier_shares_of(direction: Direction, level: Level, sums: str = "{}") -> list[Column]:
+def tier_shares_of(direction: Direction, level: Level, sums: str = "{}") -> list[str]:
     """Tier shares from the tier sums of a report row."""
-    whole = F.col(level.population)
     return [
-        percent(F.col(sums.format(tier_sum(direction, i))), whole).alias(
-            tier_column(direction, i, level)
-        )
+        f"{percent(sums.format(tier_sum(direction, i)), level.divisor)} "
+        f"AS {tier_column(direction, i, level)}"
         for i in TIERS
     ]
 
 
-def first_largest(columns: Sequence[str]) -> tuple[Column, Column]:
-    """The largest of some columns and the first column that holds it."""
-    values = F.array(*[F.col(c) for c in columns])
-    labels = F.array(*[F.lit(c) for c in columns])
-    largest = F.array_max(values)
-    position = F.array_position(values, largest).cast("int")
-    return largest, F.element_at(labels, position)
+def first_largest(columns: Sequence[str]) -> tuple[str, str]:
+    """The largest of some columns and the name of the first that holds it."""
+    values = f"array({', '.join(columns)})"
+    labels = ", ".join(f"'{c}'" for c in columns)
+    position = f"int(array_position({values}, array_max({values})))"
+    return f"array_max({values})", f"element_at(array({labels}), {position})"
 
 
-def most_common_tier(direction: Direction, level: Level, mode: str) -> list[Column]:
+def most_common_tier(direction: Direction, level: Level, mode: str) -> list[str]:
     """Share and column name of the tier most people live in.
 
     As written, the national label compares the state's second tier with the
     nation's other ones.
     """
     columns = [tier_column(direction, i, level) for i in TIERS]
-    largest, _ = first_largest(columns)
+    largest, label = first_largest(columns)
     if mode == AS_WRITTEN and level is NATION:
         columns[1] = tier_column(direction, 1, STATE)
-    _, label = first_largest(columns)
+        _, label = first_largest(columns)
     stem = f"mc{direction.letter.lower()}s"
     return [
-        largest.alias(f"{stem}_prop_{level.tier_suffix}"),
-        label.alias(f"{stem}_tier_{level.tier_suffix}"),
+        f"{largest} AS {stem}_prop_{level.tier_suffix}",
+        f"{label} AS {stem}_tier_{level.tier_suffix}",
     ]
 
 
 def share_of_tiers(
     direction: Direction, level: Level, first_tier: int, sums: str = "{}"
-) -> Column:
+) -> str:
     """Percent of population in a tier or a faster one."""
-    people = sum(
-        (F.col(sums.format(tier_sum(direction, i))) for i in TIERS if i > first_tier),
-        F.col(sums.format(tier_sum(direction, first_tier))),
-    )
-    return percent(people, F.col(level.population))
+    people = [
+        sums.format(tier_sum(direction, i)) for i in TIERS if i >= first_tier
+    ]
+    return percent(total(people), level.divisor)

@@ -237,7 +237,7 @@ def _(t: Inputs) -> DataFrame:
 # -- filters -----------------------------------------------------------------
 
 
-def _filtered(t: Inputs, condition) -> DataFrame:
+def _filtered(t: Inputs, condition: str) -> DataFrame:
     return (
         _enriched(t)
         .where(condition)
@@ -250,36 +250,40 @@ def _(t: Inputs) -> DataFrame:
     joined = ops.filings_with_denominators(
         _filings(t), t.block_pop_raw, _denominators(t)
     )
-    return joined.where(ops.is_populated()).select(
-        "block_code", "county_fips", "gl_pop", "max_down", "max_up"
+    return joined.where(ops.POPULATED).select(
+        keys.block_text(F.col("block_code")).alias("block_code"),
+        "county_fips",
+        "gl_pop",
+        "max_down",
+        "max_up",
     )
 
 
 @query("flt_access")
 def _(t: Inputs) -> DataFrame:
-    return _filtered(t, ops.has_access())
+    return _filtered(t, ops.ACCESS)
 
 
 @query("flt_no_access")
 def _(t: Inputs) -> DataFrame:
-    return _filtered(t, ops.lacks_access())
+    return _filtered(t, ops.LACK)
 
 
 @query("flt_speed")
 def _(t: Inputs) -> DataFrame:
-    return _filtered(t, ops.is_fast_down())
+    return _filtered(t, ops.FAST_DOWN)
 
 
 @query("flt_speed_up")
 def _(t: Inputs) -> DataFrame:
-    return _filtered(t, ops.is_fast_up())
+    return _filtered(t, ops.FAST_UP)
 
 
 @query("flt_class")
 def _(t: Inputs) -> DataFrame:
     return (
         _enriched(t)
-        .where("business = 1 OR consumer = 1")
+        .where(ops.EITHER)
         .select(
             "block_code", "county_fips", "gl_pop", "max_down", "max_up", "consumer", "business"
         )
@@ -296,7 +300,7 @@ def _covered_blocks(t: Inputs) -> DataFrame:
 
 def _with_shares(t: Inputs, found: DataFrame) -> DataFrame:
     known = found.drop("state_fips").join(F.broadcast(_denominators(t)), "county_fips")
-    return known.select("*", *ops.shares_of_block()).withColumn(
+    return known.selectExpr("*", *ops.shares_of_block()).withColumn(
         "block_code", keys.block_text(F.col("block_code"))
     )
 
@@ -332,8 +336,8 @@ def _register_directions() -> None:
 
         @query(f"tier_blocks_{code}")
         def _(t: Inputs, d: Direction = direction) -> DataFrame:
-            tier = blocks.speed_tier(F.col(d.top_speed))
-            return _top_blocks(t, d).select("block_code", tier.alias("tier"), *SHARES)
+            tier = F.col(d.tier).alias("tier")
+            return _top_blocks(t, d).select("block_code", tier, *SHARES)
 
         for level in LEVELS:
 
@@ -389,7 +393,13 @@ def _(t: Inputs) -> DataFrame:
     return ops.filings_with_denominators(
         _filings(t), t.block_pop_raw, _denominators(t)
     ).select(
-        "block_code", "hoco_num", "county_fips", "state_fips", "gl_pop", "county_pop", "state_pop"
+        keys.block_text(F.col("block_code")).alias("block_code"),
+        "hoco_num",
+        "county_fips",
+        "state_fips",
+        "gl_pop",
+        "county_pop",
+        "state_pop",
     )
 
 
@@ -398,8 +408,8 @@ def _(t: Inputs) -> DataFrame:
     counties = geography.counties(t.county_pop_raw)
     nation = geography.national_population(t.county_pop_raw)
     return geography.with_merge_level(
-        enrichment.attach_single_row(counties, nation)
-    ).select("county_fips", "merge_level", "national_pop")
+        enrichment.attach_single_row(counties, nation, "nation")
+    ).select("county_fips", "merge_level", "nation.national_pop")
 
 
 # -- population totals -------------------------------------------------------
@@ -484,7 +494,7 @@ def _(t: Inputs) -> DataFrame:
     with_access = _covered_blocks(t).where("any_access").select(*keyed, *SHARES)
     without = (
         _enriched(t)
-        .where(ops.lacks_access())
+        .where(ops.LACK)
         .select(*keyed, *[F.lit(0.0).alias(s) for s in SHARES], "max_down", "max_up")
     )
     return with_access.unionByName(without, allowMissingColumns=True)
@@ -494,7 +504,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     return (
         _enriched(t)
-        .where(ops.has_access())
+        .where(ops.ACCESS)
         .select("state_fips", "county_fips", "block_code", *SHARES)
         .distinct()
     )
@@ -524,10 +534,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     counted = providers.counted_blocks(_filings(t), t.block_pop_raw)
     counts = [F.coalesce(k.column, F.lit(0)).alias(k.column) for k in CLASSES]
-    buckets = [
-        blocks.provider_bucket(F.col(k.column)).alias(f"bucket_{k.code}")
-        for k in CLASSES
-    ]
+    buckets = [k.bucket for k in CLASSES]
     return _with_shares(t, counted).select("block_code", *counts, *buckets, *SHARES)
 
 
@@ -552,7 +559,7 @@ def _register_levels() -> None:
 
         @query(f"prov_cumulative_{label}")
         def _(t: Inputs, at: Level = level) -> DataFrame:
-            rows = providers.cumulative_rows(_bucket_sums(t))
+            rows = providers.class_rows(_bucket_sums(t))
             key = [F.col("geo_id").alias(at.key)] if at.key else []
             return (
                 rows.where(F.col("level") == at.name)

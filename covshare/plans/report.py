@@ -1,16 +1,17 @@
 """The county report: one wide row per county.
 
 All measures come from one table of whole-number sums per county. The filings
-are read for it once, and once more for the providers per county; everything
-after that works on at most ``MAX_COUNTIES`` rows.
+are read for it once, and once more for the providers per county. Both results
+are stored in the shared folder as soon as a step is asked for, so nothing
+reads the filings again; everything after that works on at most
+``MAX_COUNTIES`` rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from covshare.functions.numbers import percent
 from covshare.layout import (
@@ -23,9 +24,11 @@ from covshare.layout import (
     INTENDED,
     LEVELS,
     NATION,
+    NATIONAL,
     STATE,
     UPLOAD,
     Level,
+    ProviderClass,
     cumulative_column,
     lower_bound_column,
     median_column,
@@ -34,9 +37,10 @@ from covshare.operators import enrichment, geography, providers, tiers
 from covshare.operators.blocks import block_profile, block_speeds, populated_blocks
 from covshare.operators.filings import prepare_filings
 from covshare.operators.shares import county_sums
+from covshare.sources.scratch import stored
 
 # How a level's sum of a measure is called on a county row.
-_SUMS = {COUNTY: "{}", STATE: "state_{}", NATION: "nation_{}"}
+_SUMS = {COUNTY: "{}", STATE: "state_{}", NATION: "nation.{}"}
 
 
 @dataclass(frozen=True)
@@ -71,36 +75,40 @@ class CountyReport:
         """County sums of every measure with their state and national totals."""
         profile = block_profile if with_providers else block_speeds
         blocks = populated_blocks(profile(self.filings), self.sources.block_pop)
-        served = F.col("serves_c")
         sums = {
-            "covered": F.lit(True),
-            "access": F.col("any_access"),
-            "down": F.col("any_down"),
-            "up": F.col("any_up"),
+            "covered": "true",
+            "access": "any_access",
+            "down": "any_down",
+            "up": "any_up",
         }
+        served = {}
         if with_tiers:
+            blocks = tiers.with_tiers(blocks)
             for direction in DIRECTIONS:
-                for name, test in tiers.tier_tests(direction).items():
-                    sums[name] = served & test
+                served.update(tiers.tier_tests(direction))
         if with_providers:
-            for name, test in providers.bucket_tests().items():
-                sums[name] = served & test
-        flags = {
-            "surveyed": F.col("any_access") | F.col("any_lack"),
-            "served": served,
-        }
+            blocks = providers.with_buckets(blocks)
+            served.update(providers.bucket_tests())
+        sums.update({name: f"serves_c AND {test}" for name, test in served.items()})
+        flags = {"surveyed": "any_access OR any_lack", "served": "serves_c"}
         table = county_sums(
             blocks, sums, geography.denominators(self.sources.county_pop), flags
         )
-        # Both windows see one row per county, so their size is bounded.
-        state, nation = Window.partitionBy("state_fips"), Window.partitionBy()
-        covered_county = F.when(F.col("served"), F.col("county_pop"))
-        totals = {
-            **{_SUMS[STATE].format(n): F.sum(n).over(state) for n in sums},
-            **{_SUMS[NATION].format(n): F.sum(n).over(nation) for n in sums},
-            "state_pop_covered": F.sum(covered_county).over(state),
-        }
-        table = table.withColumns(totals)
+        table = stored(table, "county-sums")
+        nation = table.selectExpr(
+            *[f"sum({n}) AS {n}" for n in sums], *[f"bool_or({n}) AS {n}" for n in flags]
+        )
+        # A window sees the counties of one state, of which there are few.
+        table = table.selectExpr(
+            "*",
+            *[
+                f"sum({n}) OVER (PARTITION BY state_fips) AS {_SUMS[STATE].format(n)}"
+                for n in sums
+            ],
+            "sum(CASE WHEN served THEN county_pop END) "
+            "OVER (PARTITION BY state_fips) AS state_pop_covered",
+        )
+        table = enrichment.attach_single_row(table, nation, "nation")
         if self.mode == AS_WRITTEN:
             table = table.where("surveyed")
         if with_tiers or with_providers:
@@ -108,7 +116,21 @@ class CountyReport:
         names = geography.county_data(
             self.sources.county_names, self.sources.county_housing
         ).drop("county_text", "state_text", "state_fips")
-        return geography.with_merge_level(names.join(table, "county_fips"))
+        return names.join(table, "county_fips")
+
+    def _with_provider_counts(self, table: DataFrame) -> DataFrame:
+        counts = stored(
+            providers.provider_counts_all(providers.county_providers(self.filings)),
+            "provider-counts",
+        )
+        for level in (COUNTY, STATE):
+            own = providers.counts_at(counts, level)
+            table = table.join(own, level.key)
+        nation = providers.counts_at(counts, NATION)
+        table = enrichment.attach_single_row(table, nation, "_nation")
+        return table.select("*", "_nation.*").drop("_nation")
+
+    # -- column families, as SQL text ----------------------------------------
 
     def _identity(self) -> list[str]:
         names = [
@@ -118,13 +140,8 @@ class CountyReport:
         ]
         return ["county_fips", "state_fips", *names, "population", "housing_units"]
 
-    # -- column families -----------------------------------------------------
-
-    def _share(self, measure: str, level: Level) -> Column:
-        return percent(F.col(_SUMS[level].format(measure)), F.col(level.population))
-
-    def _access(self) -> list[Column]:
-        """Access, download and upload shares.
+    def _access(self) -> list[str]:
+        """Access, download and upload shares, and the share without access.
 
         As written, the speed tests are lost below the nation and the nation
         repeats the access share.
@@ -134,31 +151,31 @@ class CountyReport:
             down, up = "down", "up"
             if self.mode == AS_WRITTEN:
                 down = up = "access" if level is NATION else "covered"
-            for short, measure in (("acc", "access"), ("ds", down), ("us", up)):
-                columns.append(
-                    self._share(measure, level).alias(
-                        f"pctpopwBB{short}_{level.access_suffix}"
-                    )
-                )
+            shares = {
+                short: percent(_SUMS[level].format(measure), level.divisor)
+                for short, measure in (("acc", "access"), ("ds", down), ("us", up))
+            }
+            columns += [
+                f"{share} AS pctpopwBB{short}_{level.access_suffix}"
+                for short, share in shares.items()
+            ]
+            columns.append(f"100 - {shares['acc']} AS pctpopwoBBacc_{level.access_suffix}")
         return columns
 
-    def _without_access(self) -> list[Column]:
-        return [
-            (F.lit(100) - self._share("access", level)).alias(
-                f"pctpopwoBBacc_{level.access_suffix}"
-            )
-            for level in LEVELS
-        ]
-
-    def _tiers(self) -> list[Column]:
-        return [
+    def _tiers(self) -> list[str]:
+        shares = [
             column
             for direction in DIRECTIONS
             for level in LEVELS
             for column in tiers.tier_shares_of(direction, level, _SUMS[level])
         ]
+        totals = [
+            f"{tiers.share_of_tiers(d, COUNTY, 0)} AS total{d.letter}SPCT"
+            for d in DIRECTIONS
+        ]
+        return shares + totals
 
-    def _most_common(self) -> list[Column]:
+    def _most_common(self) -> list[str]:
         return [
             column
             for direction in DIRECTIONS
@@ -166,122 +183,106 @@ class CountyReport:
             for column in tiers.most_common_tier(direction, level, self.mode)
         ]
 
-    def _tier_totals(self) -> list[Column]:
-        return [
-            tiers.share_of_tiers(direction, COUNTY, 0).alias(f"total{direction.letter}SPCT")
-            for direction in DIRECTIONS
-        ]
-
-    def _fast_tiers(self) -> list[Column]:
-        fast = ((DOWNLOAD, "dsgteq25"), (UPLOAD, "usgteq3"))
+    def _fast_tiers(self) -> list[str]:
         return [
-            tiers.share_of_tiers(
-                direction, level, direction.first_fast_tier, _SUMS[level]
-            ).alias(f"{stem}_{level.tier_suffix}")
-            for direction, stem in fast
+            f"{tiers.share_of_tiers(d, level, d.first_fast_tier, _SUMS[level])} "
+            f"AS {stem}_{level.tier_suffix}"
+            for d, stem in ((DOWNLOAD, "dsgteq25"), (UPLOAD, "usgteq3"))
             for level in LEVELS
         ]
 
-    def _bucket_shares(self) -> list[Column]:
-        return [
+    def _bucket_shares(self) -> list[str]:
+        shares = [
             column
             for level in LEVELS
             for column in providers.bucket_shares_of(level, _SUMS[level])
         ]
+        return ["county_pop", "state_pop_covered", *shares]
 
-    def _cumulative(self) -> list[Column]:
-        return [
-            providers.cumulative_share(
-                klass, bucket, F.col(level.population), _SUMS[level]
-            ).alias(cumulative_column(level, klass, bucket))
-            for level in LEVELS
-            for klass in CLASSES
-            for bucket in BUCKETS
-        ]
-
-    def _medians(self) -> list[Column]:
-        columns, brackets = [], {}
+    def _cumulative(self) -> list[str]:
+        """Cumulative shares as one array per level and class."""
+        arrays = []
         for level in LEVELS:
             for klass in CLASSES:
-                cumulative = [
-                    F.col(cumulative_column(level, klass, b)) for b in BUCKETS
-                ]
-                value, bracket = providers.interpolated_quantile(cumulative, self.mode)
-                columns.append(value.alias(median_column(level, klass)))
-                brackets[level, klass] = bracket
-        if self.mode == AS_WRITTEN:
-            return [*columns, providers.last_lower_bound(brackets).alias("lb")]
-        return columns + [
-            bracket.alias(lower_bound_column(*place))
-            for place, bracket in brackets.items()
-        ]
-
-    def _with_provider_counts(self, table: DataFrame) -> DataFrame:
-        found = providers.county_providers(self.filings)
-        table = table.join(providers.provider_counts(found, COUNTY), "county_fips")
-        table = table.join(providers.provider_counts(found, STATE), "state_fips")
-        return enrichment.attach_single_row(
-            table, providers.provider_counts(found, NATION)
+                running = ", ".join(
+                    providers.cumulative_share(klass, b, level.divisor, _SUMS[level])
+                    for b in BUCKETS
+                )
+                arrays.append(f"array({running}) AS {_cumulative(level, klass)}")
+        return arrays
+
+    def _with_medians(self, table: DataFrame) -> DataFrame:
+        """Cumulative arrays unpacked into columns, with their medians."""
+        places = [(level, klass) for level in LEVELS for klass in CLASSES]
+        arrays = [_cumulative(*place) for place in places]
+        brackets = {place: lower_bound_column(*place) for place in places}
+        found = table.selectExpr(
+            "*",
+            *[
+                f"{providers.bracket_below(array, self.mode)} AS {brackets[place]}"
+                for place, array in zip(places, arrays)
+            ],
         )
-
-    @staticmethod
-    def _count_columns() -> list[str]:
-        return [
-            providers.provider_count_column(level, klass)
-            for level in LEVELS
-            for klass in CLASSES
+        kept = [c for c in table.columns if c not in arrays]
+        unpacked = [
+            f"{_cumulative(*place)}[{b}] AS {cumulative_column(*place, b)}"
+            for place in places
+            for b in BUCKETS
+        ]
+        medians = [
+            f"{providers.interpolated(array, brackets[place])} AS {median_column(*place)}"
+            for place, array in zip(places, arrays)
         ]
+        bounds = list(brackets.values())
+        if self.mode == AS_WRITTEN:
+            bounds = [f"{providers.last_lower_bound(brackets)} AS lb"]
+        return found.selectExpr(*kept, *unpacked, *medians, *bounds)
 
     # -- the published steps -------------------------------------------------
 
     def access(self) -> DataFrame:
         """Counties with access, download and upload shares."""
         table = self._county_table(with_tiers=False, with_providers=False)
-        return table.select(
-            *self._identity(), *self._access(), *self._without_access()
-        )
+        return table.selectExpr(*self._identity(), *self._access())
+
+    def fast_tiers(self) -> DataFrame:
+        """Shares at 25 Mbps down and 3 Mbps up, and the totals of all tiers."""
+        table = self._county_table(with_tiers=True, with_providers=False)
+        return table.selectExpr("county_fips", *self._tiers()[-2:], *self._fast_tiers())
 
     def tiers(self) -> DataFrame:
-        """The same with tier shares, most common tiers and tier totals."""
+        """Access shares, tier shares, most common tiers and tier totals."""
         table = self._county_table(with_tiers=True, with_providers=False)
-        return self._tier_step(table).select(
-            *self._identity(),
-            "merge_level",
-            *self._access(),
-            *self._without_access(),
-            *self._tier_step_columns(),
+        return table.selectExpr(*self._tier_columns()).selectExpr(
+            "*", *self._most_common()
         )
 
     def provider_counts(self) -> DataFrame:
         """The same with distinct providers per county, state and nation."""
         table = self._county_table(with_tiers=True, with_providers=False)
-        return self._with_provider_counts(self._tier_step(table)).select(
-            *self._identity(),
-            "merge_level",
-            *self._access(),
-            *self._without_access(),
-            *self._tier_step_columns(),
-            *self._count_columns(),
-        )
+        return self._with_provider_counts(
+            table.selectExpr(*self._tier_columns())
+        ).selectExpr("*", *self._most_common())
 
     def provider_shares(self) -> DataFrame:
         """The same with population shares by number of providers."""
-        return self._full_table().select(
-            *self._shared_columns(), *self._bucket_shares()
-        )
+        table = self._county_table(with_tiers=True, with_providers=True)
+        return self._with_provider_counts(
+            table.selectExpr(*self._tier_columns(), *self._bucket_shares())
+        ).selectExpr("*", *self._most_common())
 
     def county_rows(self) -> DataFrame:
         """Everything but the rural tables."""
-        return (
-            self._full_table()
-            .select(
-                *self._shared_columns(),
+        table = self._county_table(with_tiers=True, with_providers=True)
+        counted = self._with_provider_counts(
+            table.selectExpr(
+                *self._tier_columns(),
                 *self._bucket_shares(),
-                *self._cumulative(),
                 *self._fast_tiers(),
+                *self._cumulative(),
             )
-            .select("*", *self._medians())
         )
+        return self._with_medians(counted.selectExpr("*", *self._most_common()))
 
     def final(self) -> DataFrame:
         """The whole report, joined in full with the rural tables."""
@@ -290,42 +291,14 @@ class CountyReport:
             self.county_rows(), s.rural_county, s.rural_state, s.rural_nation, self.mode
         )
 
-    def _tier_step(self, table: DataFrame) -> DataFrame:
-        table = table.select("*", *self._tiers())
-        return table.select("*", *self._most_common(), *self._tier_totals())
-
-    def _tier_step_columns(self) -> list[str]:
-        names = [
-            tiers.tier_column(direction, tier, level)
-            for direction in DIRECTIONS
-            for level in LEVELS
-            for tier in tiers.TIERS
-        ]
-        names += [
-            f"mc{d.letter.lower()}s_{what}_{level.tier_suffix}"
-            for d in DIRECTIONS
-            for level in LEVELS
-            for what in ("prop", "tier")
-        ]
-        return names + [f"total{d.letter}SPCT" for d in DIRECTIONS]
-
-    def fast_tiers(self) -> DataFrame:
-        """Shares at 25 Mbps down and 3 Mbps up, and the totals of all tiers."""
-        table = self._county_table(with_tiers=True, with_providers=False)
-        return table.select("county_fips", *self._tier_totals(), *self._fast_tiers())
-
-    def _full_table(self) -> DataFrame:
-        table = self._county_table(with_tiers=True, with_providers=True)
-        return self._with_provider_counts(self._tier_step(table))
-
-    def _shared_columns(self) -> list[Column | str]:
+    def _tier_columns(self) -> list[str]:
         return [
             *self._identity(),
-            "merge_level",
+            f"'{NATIONAL}' AS merge_level",
             *self._access(),
-            *self._without_access(),
-            *self._tier_step_columns(),
-            *self._count_columns(),
-            "county_pop",
-            "state_pop_covered",
+            *self._tiers(),
         ]
+
+
+def _cumulative(level: Level, klass: ProviderClass) -> str:
+    return f"cumulative_{level.provider_infix}_{klass.code}"
