@@ -61,5 +61,13 @@ def compose_county(state: Column, county_part: Column) -> Column:
     )
 
 
+def county_number(state: Column, county_part: Column) -> Column:
+    """:func:`compose_county` as a number; text only for an over-long part."""
+    unit = 10**COUNTY_PART_DIGITS
+    return F.when(county_part < unit, state * unit + county_part).otherwise(
+        compose_county(state, county_part).cast("int")
+    )
+
+
 def block_text(block_code: Column) -> Column:
     return zero_pad(block_code, BLOCK_DIGITS)

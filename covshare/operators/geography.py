@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covshare.functions.keys import (
-    compose_county,
+    county_number,
     county_of_block,
     key_prefix,
     state_of_block,
@@ -83,24 +83,19 @@ def denominators(county_pop: DataFrame) -> DataFrame:
 
 
 def county_data(county_names: DataFrame, county_housing: DataFrame) -> DataFrame:
-    """Names joined to housing on the county key; padded text beside the numbers."""
-    names = county_names.withColumn(
-        "county_text", compose_county(F.col("state_fp"), F.col("county_fp"))
+    """Names joined to housing on the county key; other name columns carry through."""
+    carried = [c for c in county_names.columns if c not in ("state_fp", "county_fp")]
+    names = county_names.select(
+        county_number(F.col("state_fp"), F.col("county_fp")).alias("county_fips"),
+        F.col("state_fp").alias("state_fips"),
+        *carried,
     )
     housing = county_housing.select(
-        zero_pad(F.col("county_fips"), COUNTY_DIGITS).alias("county_text"),
+        F.col("county_fips").cast("int").alias("county_fips"),
         "population",
         "housing_units",
     )
-    return names.join(housing, "county_text").select(
-        F.col("county_text").cast("int").alias("county_fips"),
-        F.col("state_fp").alias("state_fips"),
-        "county_text",
-        zero_pad(F.col("state_fp"), STATE_DIGITS).alias("state_text"),
-        *[c for c in names.columns if c not in ("state_fp", "county_fp", "county_text")],
-        "population",
-        "housing_units",
-    ).distinct()
+    return names.join(housing, "county_fips").distinct()
 
 
 def block_population(block_pop: DataFrame) -> DataFrame:

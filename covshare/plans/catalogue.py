@@ -373,8 +373,8 @@ def _(t: Inputs) -> DataFrame:
 @query("jn_county_data")
 def _(t: Inputs) -> DataFrame:
     return geography.county_data(t.county_names_raw, t.county_housing_raw).select(
-        F.col("county_text").alias("county_fips"),
-        F.col("state_text").alias("state_fips"),
+        keys.zero_pad(F.col("county_fips"), 5).alias("county_fips"),
+        keys.zero_pad(F.col("state_fips"), 2).alias("state_fips"),
         "county_name",
         "population",
         "housing_units",

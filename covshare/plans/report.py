@@ -115,7 +115,7 @@ class CountyReport:
             table = table.where("served")
         names = geography.county_data(
             self.sources.county_names, self.sources.county_housing
-        ).drop("county_text", "state_text", "state_fips")
+        ).drop("state_fips")
         return names.join(table, "county_fips")
 
     def _with_provider_counts(self, table: DataFrame) -> DataFrame:
