@@ -64,18 +64,18 @@ def national_population(county_pop: DataFrame) -> DataFrame:
 def denominators(county_pop: DataFrame) -> DataFrame:
     """County, state and national population on every county row.
 
-    The windows run over at most ``MAX_COUNTIES`` narrow rows, and adding the
-    totals in place avoids joining the table to aggregates of itself.
+    A window adds the state's total in place: a state has at most a thousand
+    counties. The nation's is a scalar subquery.
     """
-    total = F.sum("county_pop")
     state = Window.partitionBy("state_fips")
-    nation = Window.partitionBy()
-    with_totals = counties(county_pop).select(
+    with_state = counties(county_pop).select(
         "county_fips",
         "state_fips",
         "county_pop",
-        total.over(state).alias("state_pop"),
-        total.over(nation).alias("national_pop"),
+        F.sum("county_pop").over(state).alias("state_pop"),
+    )
+    with_totals = with_state.withColumn(
+        "national_pop", national_population(county_pop).scalar()
     )
     return with_totals.selectExpr(
         "*", *[f"{divisor(level.population)} AS {level.divisor}" for level in LEVELS]

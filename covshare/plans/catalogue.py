@@ -60,7 +60,7 @@ def _denominators(t: Inputs) -> DataFrame:
 
 
 def _enriched(t: Inputs) -> DataFrame:
-    return ops.enrich(t.deployment_raw, t.block_pop_raw, _denominators(t)).withColumn(
+    return ops.enrich(_filings(t), t.block_pop_raw, _denominators(t)).withColumn(
         "block_code", keys.block_text(F.col("block_code"))
     )
 
@@ -502,11 +502,11 @@ def _(t: Inputs) -> DataFrame:
 
 @query("set_distinct_blocks")
 def _(t: Inputs) -> DataFrame:
-    return (
-        _enriched(t)
-        .where(ops.ACCESS)
-        .select("state_fips", "county_fips", "block_code", *SHARES)
-        .distinct()
+    # The shares depend on the block alone, so distinct block codes are enough
+    # and nothing but them is shuffled.
+    found = _filings(t).where(ops.ACCESS).select("block_code", "county_fips").distinct()
+    return _with_shares(t, blocks.populated_blocks(found, t.block_pop_raw)).select(
+        "state_fips", "county_fips", "block_code", *SHARES
     )
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from covshare.functions.numbers import percent
 from covshare.layout import (
@@ -27,6 +28,7 @@ from covshare.layout import (
     NATIONAL,
     STATE,
     UPLOAD,
+    Direction,
     Level,
     ProviderClass,
     cumulative_column,
@@ -35,10 +37,24 @@ from covshare.layout import (
 )
 from covshare.operators import enrichment, geography, providers, tiers
 from covshare.operators.blocks import block_profile, block_speeds, populated_blocks
-from covshare.operators.filings import prepare_filings
-from covshare.operators.shares import county_sums
+from covshare.operators.filings import (
+    CONSUMER,
+    enrich,
+    prepare_filings,
+    shares_of_block,
+)
+from covshare.operators.shares import county_sums, roll_up
 from covshare.sources.scratch import stored
 
+BLOCK_KEYS = ("block_code", "county_fips", "state_fips")
+BLOCK_SHARES = (
+    "gl_pop",
+    "county_pop",
+    "pct_of_county",
+    "pct_of_state",
+    "pct_of_nation",
+)
+
 # How a level's sum of a measure is called on a county row.
 _SUMS = {COUNTY: "{}", STATE: "state_{}", NATION: "nation.{}"}
 
@@ -68,42 +84,68 @@ class CountyReport:
         self.sources = sources
         self.mode = mode
         self.filings = prepare_filings(sources.deployment, truncate_speeds)
+        self.denominators = geography.denominators(sources.county_pop)
+        self._stored: dict[object, DataFrame] = {}
 
-    # -- the county table ----------------------------------------------------
+    # -- stored tables -------------------------------------------------------
 
-    def _county_table(self, with_tiers: bool, with_providers: bool) -> DataFrame:
-        """County sums of every measure with their state and national totals."""
-        profile = block_profile if with_providers else block_speeds
-        blocks = populated_blocks(profile(self.filings), self.sources.block_pop)
-        sums = {
+    def _measures(self, with_tiers: bool, with_providers: bool) -> dict[str, str]:
+        """Conditions on blocks whose population each county adds up."""
+        served = {}
+        if with_tiers:
+            for direction in DIRECTIONS:
+                served.update(tiers.tier_tests(direction))
+        if with_providers:
+            served.update(providers.bucket_tests())
+        return {
             "covered": "true",
             "access": "any_access",
             "down": "any_down",
             "up": "any_up",
+            **{name: f"serves_c AND {test}" for name, test in served.items()},
         }
-        served = {}
+
+    def _county_sums(self, with_tiers: bool, with_providers: bool) -> DataFrame:
+        """County sums of the measures, stored; the full table serves every step."""
+        for known in ((with_tiers, with_providers), (True, True)):
+            if known in self._stored:
+                return self._stored[known]
+        profile = block_profile if with_providers else block_speeds
+        blocks = populated_blocks(profile(self.filings), self.sources.block_pop)
         if with_tiers:
             blocks = tiers.with_tiers(blocks)
-            for direction in DIRECTIONS:
-                served.update(tiers.tier_tests(direction))
         if with_providers:
             blocks = providers.with_buckets(blocks)
-            served.update(providers.bucket_tests())
-        sums.update({name: f"serves_c AND {test}" for name, test in served.items()})
-        flags = {"surveyed": "any_access OR any_lack", "served": "serves_c"}
-        table = county_sums(
-            blocks, sums, geography.denominators(self.sources.county_pop), flags
-        )
-        table = stored(table, "county-sums")
-        nation = table.selectExpr(
-            *[f"sum({n}) AS {n}" for n in sums], *[f"bool_or({n}) AS {n}" for n in flags]
+        sums = county_sums(
+            blocks,
+            self._measures(with_tiers, with_providers),
+            self.denominators,
+            {"surveyed": "any_access OR any_lack", "served": "serves_c"},
         )
+        self._stored[with_tiers, with_providers] = stored(sums, "county-sums")
+        return self._stored[with_tiers, with_providers]
+
+    def _provider_counts(self) -> DataFrame:
+        if "counts" not in self._stored:
+            found = providers.county_providers(self.filings)
+            self._stored["counts"] = stored(
+                providers.provider_counts_all(found), "provider-counts"
+            )
+        return self._stored["counts"]
+
+    # -- the county table ----------------------------------------------------
+
+    def _county_table(self, with_tiers: bool, with_providers: bool) -> DataFrame:
+        """County sums with their state and national totals, names and housing."""
+        table = self._county_sums(with_tiers, with_providers)
+        names = list(self._measures(with_tiers, with_providers))
+        nation = table.selectExpr(*[f"sum({n}) AS {n}" for n in names])
         # A window sees the counties of one state, of which there are few.
         table = table.selectExpr(
             "*",
             *[
                 f"sum({n}) OVER (PARTITION BY state_fips) AS {_SUMS[STATE].format(n)}"
-                for n in sums
+                for n in names
             ],
             "sum(CASE WHEN served THEN county_pop END) "
             "OVER (PARTITION BY state_fips) AS state_pop_covered",
@@ -113,19 +155,15 @@ class CountyReport:
             table = table.where("surveyed")
         if with_tiers or with_providers:
             table = table.where("served")
-        names = geography.county_data(
+        named = geography.county_data(
             self.sources.county_names, self.sources.county_housing
         ).drop("state_fips")
-        return names.join(table, "county_fips")
+        return named.join(table, "county_fips")
 
     def _with_provider_counts(self, table: DataFrame) -> DataFrame:
-        counts = stored(
-            providers.provider_counts_all(providers.county_providers(self.filings)),
-            "provider-counts",
-        )
+        counts = self._provider_counts()
         for level in (COUNTY, STATE):
-            own = providers.counts_at(counts, level)
-            table = table.join(own, level.key)
+            table = table.join(providers.counts_at(counts, level), level.key)
         nation = providers.counts_at(counts, NATION)
         table = enrichment.attach_single_row(table, nation, "_nation")
         return table.select("*", "_nation.*").drop("_nation")
@@ -291,6 +329,39 @@ class CountyReport:
             self.county_rows(), s.rural_county, s.rural_state, s.rural_nation, self.mode
         )
 
+    # -- the tables published beside it --------------------------------------
+
+    def tier_table(self, direction: Direction, level: Level) -> DataFrame:
+        """Tier shares of one direction at one level."""
+        served = self._county_sums(True, True).where("served")
+        rolled = roll_up(served, tiers.tier_tests(direction), level)
+        keys = [level.key] if level.key else []
+        return rolled.selectExpr(*keys, *tiers.tier_shares_of(direction, level))
+
+    def provider_count_table(self, level: Level) -> DataFrame:
+        return providers.counts_at(self._provider_counts(), level)
+
+    def provider_share_table(self, level: Level) -> DataFrame:
+        served = self._county_sums(True, True).where("served")
+        return providers.bucket_share(served, level)
+
+    def consumer_filings(self) -> DataFrame:
+        """Consumer filings of populated blocks with the shares of their block."""
+        s = self.sources
+        known = enrich(self.filings.where(CONSUMER), s.block_pop, self.denominators)
+        return known.select(*BLOCK_KEYS, "max_down", "max_up", *BLOCK_SHARES)
+
+    def block_providers(self) -> DataFrame:
+        """Provider counts of the blocks with consumer filings, and their shares."""
+        counted = providers.counted_blocks(self.filings, self.sources.block_pop)
+        known = counted.drop("state_fips").join(
+            F.broadcast(self.denominators), "county_fips"
+        )
+        counts = [f"coalesce({k.column}, 0) AS {k.column}" for k in CLASSES]
+        return known.selectExpr("*", *shares_of_block()).selectExpr(
+            *BLOCK_KEYS, *counts, *BLOCK_SHARES
+        )
+
     def _tier_columns(self) -> list[str]:
         return [
             *self._identity(),

@@ -64,6 +64,23 @@ def read_county_names(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, schemas.COUNTY_NAMES, schemas.COUNTY_NAMES_NAMES)
 
 
+def read_payload(
+    spark: SparkSession, path: str, key: str, own_key: str | None = None
+) -> DataFrame:
+    """A table of numbers under whatever names its header gives, by one key.
+
+    ``own_key`` is what the file calls the key. Without it the key is text,
+    as the national one is.
+    """
+    table = spark.read.csv(path, header=True, encoding=schemas.WESTERN)
+    found = F.col(own_key or key)
+    payload = [c for c in table.columns if c != (own_key or key)]
+    return table.select(
+        found.cast("bigint").alias(key) if own_key else found,
+        *[F.col(f"`{c}`").cast("double").alias(c) for c in payload],
+    )
+
+
 def _after_preamble(
     spark: SparkSession, path: str, schema: str, is_data_row
 ) -> DataFrame:
