@@ -11,13 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covshare.functions.keys import county_of_block, state_of_block
-from covshare.functions.numbers import any_true
 from covshare.layout import CLASSES, DIRECTIONS, SPEED_TIERS, TOP_BUCKET
 from covshare.operators.filings import (
     ACCESS,
     BUSINESS,
     CONSUMER,
-    EITHER,
     FAST_DOWN,
     FAST_UP,
     LACK,
@@ -25,52 +23,79 @@ from covshare.operators.filings import (
     populations,
 )
 
-# What a block is flagged with if any of its filings meets the condition.
-_FLAGS = {
+# What a block is flagged with if any of its filings meets the condition. The
+# flags travel through the shuffles as bits of one number per group; they are
+# two groups so that a query about one scans no columns for the other.
+_SPEED_FLAGS = {
     "any_access": ACCESS,
     "any_lack": LACK,
     "any_down": FAST_DOWN,
     "any_up": FAST_UP,
-    "serves_c": CONSUMER,
-    "serves_b": BUSINESS,
-    "serves_a": EITHER,
 }
+_CLASS_FLAGS = {"serves_c": CONSUMER, "serves_b": BUSINESS}
 
 
-def _aggregates(expressions: dict[str, str]) -> list[Column]:
-    return [F.expr(text).alias(name) for name, text in expressions.items()]
+def _mask(flags: dict[str, str]) -> str:
+    bits = [
+        f"CASE WHEN {test} THEN {1 << bit} ELSE 0 END"
+        for bit, test in enumerate(flags.values())
+    ]
+    return f"bit_or({' + '.join(bits)})"
 
 
-def _facts() -> dict[str, str]:
-    return {
-        **{name: any_true(test) for name, test in _FLAGS.items()},
-        **{
-            d.top_speed: f"max(CASE WHEN {CONSUMER} THEN {d.speed} END)"
+def _unmasked(mask: str, flags: dict[str, str]) -> dict[str, str]:
+    return {name: f"({mask} & {1 << bit}) <> 0" for bit, name in enumerate(flags)}
+
+
+def _facts() -> list[Column]:
+    return [
+        F.expr(_mask(_SPEED_FLAGS)).alias("speed_flags"),
+        F.expr(_mask(_CLASS_FLAGS)).alias("class_flags"),
+        *[
+            F.expr(f"max(CASE WHEN {CONSUMER} THEN {d.speed} END)").alias(d.top_speed)
             for d in DIRECTIONS
-        },
-    }
+        ],
+    ]
 
 
-def _merged_facts() -> dict[str, str]:
-    return {
-        **{name: f"bool_or({name})" for name in _FLAGS},
-        **{d.top_speed: f"max({d.top_speed})" for d in DIRECTIONS},
-    }
+def _merged_facts() -> list[Column]:
+    flags = [F.expr(f"bit_or({m})").alias(m) for m in ("speed_flags", "class_flags")]
+    return flags + [F.max(d.top_speed).alias(d.top_speed) for d in DIRECTIONS]
 
 
-def _provider_counts() -> dict[str, str]:
+def _provider_counts() -> list[Column]:
     # Rows are distinct (block, provider) here, so counting rows counts
     # providers. A block without filings of a class has no count.
-    return {
-        k.column: f"CASE WHEN bool_or(serves_{k.code}) "
-        f"THEN count(CASE WHEN serves_{k.code} THEN hoco_num END) END"
+    serves = _class_tests()
+    return [
+        F.expr(
+            f"CASE WHEN max({serves[k.code]}) "
+            f"THEN count(CASE WHEN {serves[k.code]} THEN hoco_num END) END"
+        ).alias(k.column)
         for k in CLASSES
+    ]
+
+
+def _class_tests() -> dict[str, str]:
+    served = _unmasked("class_flags", _CLASS_FLAGS)
+    return {"c": served["serves_c"], "b": served["serves_b"], "a": "class_flags <> 0"}
+
+
+def _described(blocks: DataFrame) -> DataFrame:
+    """Blocks with their flags and the geography in their code."""
+    flags = {
+        **_unmasked("speed_flags", _SPEED_FLAGS),
+        **{f"serves_{code}": test for code, test in _class_tests().items()},
     }
+    kept = [c for c in blocks.columns if not c.endswith("_flags")]
+    return _with_geography(
+        blocks.selectExpr(*kept, *[f"{text} AS {name}" for name, text in flags.items()])
+    )
 
 
 def block_speeds(filings: DataFrame) -> DataFrame:
     """Access flags and the best consumer speeds of each filed block."""
-    return _with_geography(filings.groupBy("block_code").agg(*_aggregates(_facts())))
+    return _described(filings.groupBy("block_code").agg(*_facts()))
 
 
 def block_profile(filings: DataFrame) -> DataFrame:
@@ -79,11 +104,10 @@ def block_profile(filings: DataFrame) -> DataFrame:
     Grouping by block and provider first makes the distinct counts plain
     counts and spreads a large block over its providers.
     """
-    per_provider = filings.groupBy("block_code", "hoco_num").agg(*_aggregates(_facts()))
-    per_block = per_provider.groupBy("block_code").agg(
-        *_aggregates({**_merged_facts(), **_provider_counts()})
+    per_provider = filings.groupBy("block_code", "hoco_num").agg(*_facts())
+    return _described(
+        per_provider.groupBy("block_code").agg(*_merged_facts(), *_provider_counts())
     )
-    return _with_geography(per_block)
 
 
 def block_providers(filings: DataFrame) -> DataFrame:

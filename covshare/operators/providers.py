@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,64 +43,59 @@ def county_providers(filings: DataFrame) -> DataFrame:
     )
 
 
+def _providers_at(providers: DataFrame, level: Level) -> DataFrame:
+    """Distinct (place, provider) at a level, each level from the one below."""
+    if level is COUNTY:
+        return providers
+    lower = providers if level is STATE else _providers_at(providers, STATE)
+    keys = [level.key] if level.key else []
+    return lower.groupBy(*keys, "hoco_num").agg(
+        *[F.expr(any_true(flag)).alias(flag) for flag in ("serves_c", "serves_b")]
+    )
+
+
 def provider_counts(providers: DataFrame, level: Level) -> DataFrame:
-    """Distinct providers of each class at a level.
+    """Distinct providers of each class at a level, from :func:`county_providers`.
 
     A place needs filings of both classes to appear, as the counts of the
     classes are joined to each other.
     """
     keys = [level.key] if level.key else []
-    classes = [
-        F.expr(any_true(flag)).alias(flag) for flag in ("serves_c", "serves_b")
-    ]
-    if level is not COUNTY:
-        providers = providers.groupBy(*keys, "hoco_num").agg(*classes)
-    counted = {
+    counts = {
         "c": "count(CASE WHEN serves_c THEN hoco_num END)",
         "b": "count(CASE WHEN serves_b THEN hoco_num END)",
         "a": "count(hoco_num)",
     }
-    counts = [
-        F.expr(counted[k.code]).alias(provider_count_column(level, k)) for k in CLASSES
-    ]
-    if not keys:
-        return providers.agg(*counts)
-    return (
-        providers.groupBy(*keys)
-        .agg(*counts, *classes)
-        .where("serves_c AND serves_b")
-        .drop("serves_c", "serves_b")
+    counted = _providers_at(providers, level).groupBy(*keys).agg(
+        *[
+            F.expr(counts[k.code]).alias(provider_count_column(level, k))
+            for k in CLASSES
+        ],
+        F.expr("bool_or(serves_c) AND bool_or(serves_b)").alias("both"),
     )
+    return (counted.where("both") if keys else counted).drop("both")
 
 
 def provider_counts_all(providers: DataFrame) -> DataFrame:
     """:func:`provider_counts` of all levels as one table.
 
-    Rows carry ``level`` and ``geo_id``, 0 for the nation.
+    Rows carry ``level`` and ``geo_id``, 0 for the nation. The levels share the
+    shuffle of the distinct providers, which Spark runs once.
     """
-    places = ["state_fips", "county_fips"]
-    by_provider = providers.groupingSets(
-        [[*places, "hoco_num"], ["state_fips", "hoco_num"], ["hoco_num"]],
-        *places,
-        "hoco_num",
-    ).agg(
-        F.grouping_id(*places, "hoco_num").alias("gid"),
-        *[F.expr(f"bool_or({c})").alias(c) for c in ("serves_c", "serves_b")],
-    )
-    # Bits of the grouping id: state, county, provider; set where left out.
-    level = F.expr("CASE gid WHEN 0 THEN 'county' WHEN 2 THEN 'state' ELSE 'nation' END")
-    place = F.expr("coalesce(CASE gid WHEN 0 THEN county_fips WHEN 2 THEN state_fips END, 0)")
-    return (
-        by_provider.groupBy(level.alias("level"), place.alias("geo_id"))
-        .agg(
-            F.expr("count(CASE WHEN serves_c THEN hoco_num END)").alias("c"),
-            F.expr("count(CASE WHEN serves_b THEN hoco_num END)").alias("b"),
-            F.count("hoco_num").alias("a"),
-            F.expr("bool_or(serves_c) AND bool_or(serves_b)").alias("both"),
+    levels = []
+    for level in LEVELS:
+        place = F.col(level.key) if level.key else F.lit(0)
+        levels.append(
+            provider_counts(providers, level).select(
+                F.lit(level.name).alias("level"),
+                place.alias("geo_id"),
+                *[
+                    F.col(provider_count_column(level, k)).alias(k.code)
+                    for k in CLASSES
+                ],
+            )
         )
-        .where("both OR level = 'nation'")
-        .drop("both")
-    )
+    return reduce(DataFrame.union, levels)
 
 
 def counts_at(counts: DataFrame, level: Level) -> DataFrame:

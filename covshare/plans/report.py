@@ -9,6 +9,7 @@ reads the filings again; everything after that works on at most
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -133,6 +134,16 @@ class CountyReport:
             )
         return self._stored["counts"]
 
+    def _store_both(self, with_tiers: bool, with_providers: bool) -> None:
+        """Both passes over the filings side by side; neither needs the other."""
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            passes = [
+                pool.submit(self._county_sums, with_tiers, with_providers),
+                pool.submit(self._provider_counts),
+            ]
+            for done in passes:
+                done.result()
+
     # -- the county table ----------------------------------------------------
 
     def _county_table(self, with_tiers: bool, with_providers: bool) -> DataFrame:
@@ -297,6 +308,7 @@ class CountyReport:
 
     def provider_counts(self) -> DataFrame:
         """The same with distinct providers per county, state and nation."""
+        self._store_both(with_tiers=True, with_providers=False)
         table = self._county_table(with_tiers=True, with_providers=False)
         return self._with_provider_counts(
             table.selectExpr(*self._tier_columns())
@@ -304,6 +316,7 @@ class CountyReport:
 
     def provider_shares(self) -> DataFrame:
         """The same with population shares by number of providers."""
+        self._store_both(with_tiers=True, with_providers=True)
         table = self._county_table(with_tiers=True, with_providers=True)
         return self._with_provider_counts(
             table.selectExpr(*self._tier_columns(), *self._bucket_shares())
@@ -311,6 +324,7 @@ class CountyReport:
 
     def county_rows(self) -> DataFrame:
         """Everything but the rural tables."""
+        self._store_both(with_tiers=True, with_providers=True)
         table = self._county_table(with_tiers=True, with_providers=True)
         counted = self._with_provider_counts(
             table.selectExpr(

@@ -4,7 +4,9 @@ import pytest
 from conftest import SF_DIR
 
 from __spark_entry__ import queries
+from covshare.operators import providers
 from covshare.operators.blocks import populated_blocks
+from covshare.operators.filings import prepare_filings
 
 QUERIES = queries()
 SAMPLE = (
@@ -58,3 +60,19 @@ def test_filings_are_aggregated_before_they_are_shuffled(spark):
 def test_populations_join_blocks_without_another_shuffle(spark):
     plan = plan_of(spark, "shr_access_county")
     assert plan.count("hashpartitioning(block_code") == 2
+
+
+def test_levels_of_provider_counts_share_one_pass(spark, tmp_path):
+    path = str(tmp_path / "filings")
+    spark.range(100).selectExpr(
+        "10010000000000 + id AS block_code", "id % 7 AS hoco_num", "'p' AS dba_name",
+        "1 AS consumer", "1 AS business", "1D AS max_down", "1D AS max_up",
+    ).write.parquet(path)
+    found = providers.county_providers(prepare_filings(spark.read.parquet(path)))
+    counted = providers.provider_counts_all(found)
+    assert counted.count() == 3
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final
