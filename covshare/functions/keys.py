@@ -47,12 +47,6 @@ def state_of_block(block_code: Column) -> Column:
     return _leading(block_code, STATE_DIGITS)
 
 
-def state_of_county(county_fips: Column) -> Column:
-    return F.call_function(
-        "div", county_fips, F.lit(10**COUNTY_PART_DIGITS)
-    ).cast("int")
-
-
 def compose_county(state: Column, county_part: Column) -> Column:
     """State number followed by the three-digit county, padded to five."""
     return zero_pad(

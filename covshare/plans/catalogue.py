@@ -10,17 +10,14 @@ from pyspark.sql import functions as F
 from covshare.functions import keys
 from covshare.layout import (
     AS_WRITTEN,
-    BUCKETS,
     CLASSES,
     COUNTY,
     DIRECTIONS,
-    DOWNLOAD,
     INTENDED,
     LEVELS,
     NATION,
     STATE,
     TIERS,
-    UPLOAD,
     Direction,
     Level,
     tier_column,
