@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing
+from covshare.llm import exact_dedup, licences, minhash, packing, quality, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def word_tokenizer() -> str:
     """Path of the tokenizer file that packing counts with."""
     import public_tokenizers
@@ -38,7 +47,9 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
+        "op3_url_filters": op3_url_filters,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_minhash": op8_minhash,
         "op10_licences": op10_licences,
