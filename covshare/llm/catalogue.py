@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing, quality, urls
+from covshare.llm import exact_dedup, licences, minhash, packing, quality, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
 
@@ -51,6 +55,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": op2_packing,
         "op3_url_filters": op3_url_filters,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_toxicity": op6_toxicity,
         "op8_minhash": op8_minhash,
         "op10_licences": op10_licences,
     }

@@ -87,13 +87,20 @@ class Words:
     def per_doc(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n_docs)
 
-    def hashes(self, lower: bool) -> np.ndarray:
-        """64 bits for each word; with `lower`, A-Z count as a-z."""
+    def hashes(self, lower: bool, prefix: int | None = None) -> np.ndarray:
+        """64 bits for each word, or for its first `prefix` bytes; with `lower`,
+        A-Z count as a-z."""
+        return self.all_hashes(lower, (prefix,))[0]
+
+    def all_hashes(self, lower: bool, prefixes: tuple[int | None, ...]) -> list[np.ndarray]:
+        """`hashes` for several prefixes; None stands for the whole word."""
         n = len(self.data)
         code = (_CODE[_LOWER] if lower else _CODE)[self.data]
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(code * _power(_BASE, "base", n)[:n], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * _power(_INVERSE, "inverse", n)[self.starts])
+        before, shift = total[self.starts], _power(_INVERSE, "inverse", n)[self.starts]
+        ends = [self.ends if p is None else np.minimum(self.starts + p, self.ends) for p in prefixes]
+        return [mix((total[e] - before) * shift) for e in ends]
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
