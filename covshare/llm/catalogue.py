@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing, quality, toxicity, urls
+from covshare.llm import exact_dedup, licences, minhash, packing, ppm, quality, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_packing": op2_packing,
         "op3_url_filters": op3_url_filters,
+        "op4_ppm": op4_ppm,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_toxicity": op6_toxicity,
         "op8_minhash": op8_minhash,
