@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing, ppm, quality, toxicity, urls
+from covshare.llm import exact_dedup, licences, minhash, packing, ppm, quality, repeats, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.judge_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_table(spark, sf_dir, "documents"))
 
@@ -62,5 +66,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_toxicity": op6_toxicity,
         "op8_minhash": op8_minhash,
+        "op9_repeats": op9_repeats,
         "op10_licences": op10_licences,
     }
