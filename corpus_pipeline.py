@@ -1,22 +1,65 @@
-"""The corpus pipeline: documents through the stages below, one after another."""
+"""The corpus pipeline: documents through the stages below, one after another.
+
+Each stage gets what the one before wrote and read again, and all but the last
+return the columns of the documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm.exact_dedup import drop_exact_duplicates
+from covshare.llm.catalogue import word_tokenizer
+from covshare.llm.exact_dedup import drop_exact_duplicates, without_ids
+from covshare.llm.minhash import near_duplicates
+from covshare.llm.packing import pack
+from covshare.llm.repeats import drop_repeats
+from covshare.llm.toxicity import toxic_documents
 from covshare.sources.scratch import scratch_path
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain of classifiers does not reject.
+
+    The chain is fitted on the labelled ones among `docs`. A null or empty text
+    is never rejected; rows that share an id go together.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rejected = toxic_documents(docs, labels).where("not kept and doc_id is not null").select("doc_id")
+    return without_ids(docs, rejected)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest id."""
     return drop_exact_duplicates(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar sets of five-word shingles (0.8 or more) the
+    one with the smallest id; documents without words all stay."""
+    return without_ids(docs, near_duplicates(docs).where("not kept").select("doc_id"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the passages of 50 bytes and more that a document
+    with a smaller id has too; n_chars is counted anew."""
+    return drop_repeats(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return pack(docs, word_tokenizer())
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("repeated_passages", repeated_passages),
+    ("packing", packing),
+]
 
-# Packing counts tokens of a public tokenizer, which SQL can't express; the
-# tests compare run() with a brute-force version.
+# Classifiers and tokens of a public tokenizer are beyond SQL; the tests compare
+# the stages and run() with brute-force versions.
 ORACLE_SQL = None
 
 
