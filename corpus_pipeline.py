@@ -14,6 +14,7 @@ from covshare.llm.minhash import near_duplicates
 from covshare.llm.packing import pack
 from covshare.llm.repeats import drop_repeats
 from covshare.llm.toxicity import toxic_documents
+from covshare.llm.workers import importable
 from covshare.sources.scratch import scratch_path
 
 
@@ -65,6 +66,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to `documents`, each written and read again."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"stage-{name}")

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing, ppm, quality, repeats, toxicity, urls
+from covshare.llm import exact_dedup, licences, minhash, packing, pieces, ppm, quality, repeats, toxicity, urls
+from covshare.llm.workers import importable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +47,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def piece_model() -> str:
+    """Path of the model file that op7 encodes with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(_table(spark, sf_dir, "documents"), piece_model())
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
 
@@ -65,6 +78,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ppm": op4_ppm,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_toxicity": op6_toxicity,
+        "op7_sentencepiece": op7_sentencepiece,
         "op8_minhash": op8_minhash,
         "op9_repeats": op9_repeats,
         "op10_licences": op10_licences,
