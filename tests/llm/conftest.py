@@ -1,0 +1,12 @@
+import pytest
+from conftest_llm import EDGE, table
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return table(spark, EDGE).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return table(spark, []).repartition(1)
