@@ -48,10 +48,6 @@ NATIONAL = "national"
 TIERS = range(len(SPEED_TIERS))
 BUCKETS = range(TOP_BUCKET + 1)
 
-# No five-digit key can take more values than this, so a table with one row
-# per county is small enough to broadcast whatever the size of the filings.
-MAX_COUNTIES = 10**COUNTY_DIGITS
-
 AS_WRITTEN = "as_written"
 INTENDED = "intended"
 

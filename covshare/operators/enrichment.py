@@ -33,33 +33,59 @@ def outer_join(left: DataFrame, right: DataFrame, key: str, mode: str) -> DataFr
     return joined.withColumn(key, F.coalesce(key, "_right_key")).drop("_right_key")
 
 
+LEVEL_KEYS = ("county_fips", "state_fips", "merge_level")
+
+
+def _suffixed(left: list[str], right: list[str]) -> tuple[list[str], list[str]]:
+    """Names of two tables side by side: those that both have end in _x and _y."""
+    shared = set(left) & set(right)
+    return (
+        [f"{c}_x" if c in shared else c for c in left],
+        [f"{c}_y" if c in shared else c for c in right],
+    )
+
+
+def _join_levels(report: DataFrame, tables: tuple[DataFrame, ...], join) -> DataFrame:
+    """Payload tables of the three levels joined one after another.
+
+    The report's hundreds of measures travel through the joins as one column, and
+    payload columns under numbers: their names may hold anything, and may be in
+    several tables, where they get suffixes as tables are joined.
+    """
+    measures = [c for c in report.columns if c not in LEVEL_KEYS]
+    columns = [F.col("_measures").getField(c) for c in measures]
+    names = measures
+    joined = report.select(
+        *LEVEL_KEYS, F.struct(*[F.col(f"`{c}`") for c in measures]).alias("_measures")
+    )
+    for key, table in zip(LEVEL_KEYS, tables):
+        payload = [c for c in table.columns if c != key]
+        numbers = {c: f"_{key}_{i}" for i, c in enumerate(payload)}
+        own = table.select(key, *[F.col(f"`{c}`").alias(n) for c, n in numbers.items()])
+        joined = join(joined, own, key)
+        names, added = _suffixed(names, payload)
+        names = names + added
+        columns = columns + [F.col(n) for n in numbers.values()]
+    return joined.select(*LEVEL_KEYS, *[c.alias(n) for c, n in zip(columns, names)])
+
+
 def with_rural_tables(
     report: DataFrame, county: DataFrame, state: DataFrame, nation: DataFrame, mode: str
 ) -> DataFrame:
-    """Full outer joins with payload tables of the three levels.
-
-    The report's hundreds of measures travel through the joins as one column.
-    """
+    """Full outer joins with payload tables of the three levels."""
     county = county.withColumn("county_fips", F.col("county_fips").cast("int"))
     state = state.withColumn("state_fips", F.col("state_fips").cast("int"))
-    keys = ["county_fips", "state_fips", "merge_level"]
-    measures = [c for c in report.columns if c not in keys]
-    packed = report.select(*keys, F.struct(*measures).alias("_measures"))
-    joined = outer_join(packed, county, "county_fips", mode)
-    joined = outer_join(joined, state, "state_fips", mode)
-    joined = outer_join(joined, nation, "merge_level", mode)
-    payload = [c for c in joined.columns if c not in (*keys, "_measures")]
-    return joined.select(*keys, "_measures.*", *payload)
+    return _join_levels(
+        report, (county, state, nation), lambda left, right, key: outer_join(left, right, key, mode)
+    )
 
 
 def left_enrich(
     report: DataFrame, county: DataFrame, state: DataFrame, nation: DataFrame
 ) -> DataFrame:
     """Left joins with payload tables of the three levels."""
-    return (
-        report.join(county, "county_fips", "left")
-        .join(state, "state_fips", "left")
-        .join(nation, "merge_level", "left")
+    return _join_levels(
+        report, (county, state, nation), lambda left, right, key: left.join(right, key, "left")
     )
 
 

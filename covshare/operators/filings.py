@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from covshare.functions.keys import county_of_block, left, state_of_block
 from covshare.functions.numbers import percent
 from covshare.layout import BROADBAND_DOWN, BROADBAND_UP, LEVELS
+from covshare.operators.joins import split_join
 
 CONSUMER = "consumer = 1"
 BUSINESS = "business = 1"
@@ -47,7 +48,7 @@ def populations(block_pop: DataFrame) -> DataFrame:
     """Population per block; a block filed with two populations is an error.
 
     Repeated rows collapse before the shuffle, and the result is partitioned by
-    block, as the joins that follow need it.
+    block, as joins with block tables need it; filings are joined by split_join.
     """
     lowest, highest = F.col("lowest"), F.col("highest")
     fault = F.concat(F.lit("block with two populations: "), F.col("block_code"))
@@ -101,18 +102,18 @@ def filings_with_denominators(
     filings: DataFrame, block_pop: DataFrame, denominators: DataFrame
 ) -> DataFrame:
     """Filings in a known county with block, county, state and national population."""
-    joined = filings.drop("state_fips").join(populations(block_pop), "block_code", "left")
-    return joined.fillna(0, subset=["gl_pop"]).join(
-        F.broadcast(denominators), "county_fips"
-    )
+    joined = split_join(filings.drop("state_fips"), populations(block_pop), "block_code", "left")
+    return split_join(joined.fillna(0, subset=["gl_pop"]), denominators, "county_fips")
 
 
 def enrich(
     filings: DataFrame, block_pop: DataFrame, denominators: DataFrame
 ) -> DataFrame:
     """Filings of populated blocks in known counties, with the block's shares."""
-    joined = filings.drop("state_fips").join(
-        populations(block_pop.where(POPULATED)), "block_code"
+    people = populations(block_pop.where(POPULATED)).withColumn(
+        "county_fips", county_of_block(F.col("block_code"))
+    )
+    known = people.join(denominators, "county_fips").drop("county_fips")
+    return split_join(filings.drop("state_fips"), known, "block_code").selectExpr(
+        "*", *shares_of_block()
     )
-    known = joined.join(F.broadcast(denominators), "county_fips")
-    return known.selectExpr("*", *shares_of_block())

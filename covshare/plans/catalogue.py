@@ -120,6 +120,28 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("src_reordered")
+def _(t: Inputs) -> DataFrame:
+    path = scratch_path(t.spark, "block-population-reordered")
+    own = {ours: theirs for theirs, ours in schemas.BLOCK_POPULATION_NAMES.items()}
+    named = t.block_pop_raw.withColumnsRenamed(own)
+    sinks.write_csv(named.select(*reversed(named.columns)), path)
+    return readers.read_block_population(t.spark, path).withColumn(
+        "block_code", keys.block_text(F.col("block_code"))
+    )
+
+
+@query("src_extra_columns")
+def _(t: Inputs) -> DataFrame:
+    path = scratch_path(t.spark, "county-names-extra")
+    named = t.county_names_raw.selectExpr(
+        "concat('S', state_fp) AS `state.name`", "county_name", "county_fp AS COUNTYFP",
+        "'H1' AS class_code", "state_fp AS STATEFP",
+    )
+    sinks.write_csv(named, path)
+    return readers.read_county_names(t.spark, path).withColumnRenamed("state.name", "state_name")
+
+
 @query("src_county_housing")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "county-housing")
@@ -151,6 +173,20 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("jn_rural_shared_names")
+def _(t: Inputs) -> DataFrame:
+    report = geography.with_merge_level(geography.counties(t.county_pop_raw))
+    payloads = [
+        table.withColumnRenamed(name, "blocks")
+        for table, name in (
+            (t.rural_county_raw, "rural_blocks_c"),
+            (t.rural_state_raw, "rural_blocks_s"),
+            (t.rural_national_raw, "rural_blocks_n"),
+        )
+    ]
+    return enrichment.with_rural_tables(report, *payloads, INTENDED)
+
+
 @query("snk_csv_roundtrip")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "roundtrip")
@@ -296,7 +332,7 @@ def _covered_blocks(t: Inputs) -> DataFrame:
 
 
 def _with_shares(t: Inputs, found: DataFrame) -> DataFrame:
-    known = found.drop("state_fips").join(F.broadcast(_denominators(t)), "county_fips")
+    known = found.drop("state_fips").join(_denominators(t), "county_fips")
     return known.selectExpr("*", *ops.shares_of_block()).withColumn(
         "block_code", keys.block_text(F.col("block_code"))
     )

@@ -9,7 +9,9 @@ import argparse
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from covshare.functions.keys import state_of_block
 from covshare.layout import AS_WRITTEN, DIRECTIONS, INTENDED, LEVELS
 from covshare.plans.report import CountyReport, Sources
 from covshare.sources import readers, sinks
@@ -48,6 +50,9 @@ def published_tables(report: CountyReport) -> Iterator[tuple[str, DataFrame]]:
     it stores serve the smaller tables too."""
     yield "county_report", report.final()
     yield "county_access", report.access()
+    yield "county_tiers", report.tiers()
+    yield "county_provider_counts", report.provider_counts()
+    yield "county_provider_shares", report.provider_shares()
     for level in LEVELS:
         for direction in DIRECTIONS:
             name = f"tiers_{direction.code}_{level.name}"
@@ -56,6 +61,11 @@ def published_tables(report: CountyReport) -> Iterator[tuple[str, DataFrame]]:
         yield f"provider_shares_{level.name}", report.provider_share_table(level)
     yield "consumer_filings", report.consumer_filings()
     yield "block_providers", report.block_providers()
+    yield "all_block_providers", report.all_block_providers()
+
+
+# As large as the filings or the blocks: written as Parquet by state.
+LARGE = ("consumer_filings", "block_providers", "all_block_providers")
 
 
 def run(
@@ -70,7 +80,12 @@ def run(
     written = []
     for name, table in published_tables(report):
         path = f"{out.rstrip('/')}/{name}"
-        sinks.write_report(table, path)
+        if name in LARGE:
+            if "state_fips" not in table.columns:
+                table = table.withColumn("state_fips", state_of_block(F.col("block_code")))
+            sinks.write_parquet(table, path, "state_fips")
+        else:
+            sinks.write_report(table, path)
         written.append(path)
     return written
 

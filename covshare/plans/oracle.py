@@ -575,6 +575,23 @@ def oracle_queries() -> dict[str, str]:
         "src_deployment_whole_speeds": _query(
             f"SELECT block_id AS block_code, hoco_num, {whole} FROM filing"
         ),
+        "src_reordered": _query(
+            f"SELECT {_BLOCK} AS block_code, gl_pop, gl_housing_units, gl_households FROM block_pop_raw"
+        ),
+        "src_extra_columns": _query(
+            "SELECT state_fp, county_fp, county_name, 'H1' AS class_code, "
+            "concat('S', CAST(state_fp AS VARCHAR)) AS state_name FROM county_names_raw"
+        ),
+        "jn_rural_shared_names": _query(
+            "SELECT county_fips, state_fips, merge_level, county_pop, rural_blocks_c AS blocks_x, "
+            "rural_blocks_s AS blocks_y, rural_blocks_n AS blocks FROM "
+            "(SELECT CAST(county_fips AS INTEGER) AS county_fips, county_pop, "
+            "CAST(floor(county_fips / 1000) AS INTEGER) AS state_fips, 'national' AS merge_level FROM county_pop_raw) r "
+            "FULL JOIN (SELECT CAST(county_fips AS INTEGER) AS county_fips, rural_blocks_c FROM rural_county_raw) c "
+            "USING (county_fips) "
+            "FULL JOIN (SELECT CAST(state_fips AS INTEGER) AS state_fips, rural_blocks_s FROM rural_state_raw) s "
+            "USING (state_fips) FULL JOIN rural_national_raw n USING (merge_level)"
+        ),
         "src_county_housing": _query("SELECT county_fips, population, housing_units FROM county_housing_raw"),
         "src_county_population": _query("SELECT county_fips, county_pop FROM county_pop_raw"),
         "src_county_names": _query("SELECT state_fp, county_fp, county_name FROM county_names_raw"),

@@ -3,8 +3,7 @@
 All measures come from one table of whole-number sums per county. The filings
 are read for it once, and once more for the providers per county. Both results
 are stored in the shared folder as soon as a step is asked for, so nothing
-reads the filings again; everything after that works on at most
-``MAX_COUNTIES`` rows.
+reads the filings again; everything after that works on one row per county.
 """
 
 from __future__ import annotations
@@ -37,7 +36,12 @@ from covshare.layout import (
     median_column,
 )
 from covshare.operators import enrichment, geography, providers, tiers
-from covshare.operators.blocks import block_profile, block_speeds, populated_blocks
+from covshare.operators.blocks import (
+    block_profile,
+    block_providers,
+    block_speeds,
+    populated_blocks,
+)
 from covshare.operators.filings import (
     CONSUMER,
     enrich,
@@ -69,9 +73,9 @@ class Sources:
     county_pop: DataFrame
     county_names: DataFrame
     county_housing: DataFrame
-    rural_county: DataFrame | None = None
-    rural_state: DataFrame | None = None
-    rural_nation: DataFrame | None = None
+    rural_county: DataFrame
+    rural_state: DataFrame
+    rural_nation: DataFrame
 
 
 class CountyReport:
@@ -189,6 +193,11 @@ class CountyReport:
         ]
         return ["county_fips", "state_fips", *names, "population", "housing_units"]
 
+    def _filled(self, table: DataFrame) -> DataFrame:
+        """No name, housing or population value is missing: 0 stands in, also as text."""
+        own = [c for c in self._identity() if c not in ("county_fips", "state_fips")]
+        return table.fillna(0, subset=own).fillna("0", subset=own)
+
     def _access(self) -> list[str]:
         """Access, download and upload shares, and the share without access.
 
@@ -326,6 +335,8 @@ class CountyReport:
         """Everything but the rural tables."""
         self._store_both(with_tiers=True, with_providers=True)
         table = self._county_table(with_tiers=True, with_providers=True)
+        if self.mode == AS_WRITTEN:
+            table = self._filled(table)
         counted = self._with_provider_counts(
             table.selectExpr(
                 *self._tier_columns(),
@@ -365,12 +376,15 @@ class CountyReport:
         known = enrich(self.filings.where(CONSUMER), s.block_pop, self.denominators)
         return known.select(*BLOCK_KEYS, "max_down", "max_up", *BLOCK_SHARES)
 
+    def all_block_providers(self) -> DataFrame:
+        """Provider counts of every block with filings of a class, without regard to
+        population."""
+        return block_providers(self.filings)
+
     def block_providers(self) -> DataFrame:
         """Provider counts of the blocks with consumer filings, and their shares."""
         counted = providers.counted_blocks(self.filings, self.sources.block_pop)
-        known = counted.drop("state_fips").join(
-            F.broadcast(self.denominators), "county_fips"
-        )
+        known = counted.drop("state_fips").join(self.denominators, "county_fips")
         counts = [f"coalesce({k.column}, 0) AS {k.column}" for k in CLASSES]
         return known.selectExpr("*", *shares_of_block()).selectExpr(
             *BLOCK_KEYS, *counts, *BLOCK_SHARES

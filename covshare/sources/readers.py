@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 from covshare.functions.keys import compose_county
 from covshare.sources import schemas
@@ -17,20 +18,29 @@ def read_table(
     delimiter: str = ",",
     encoding: str = schemas.UNICODE,
 ) -> DataFrame:
-    """A CSV with a header line, typed by ``schema`` and renamed on the way in.
+    """A CSV with a header line; its columns are found by name.
 
-    The schema is applied by position, so it may also replace the header.
+    Those that ``schema`` names are typed, renamed and come first; whatever else
+    the file has is carried along as text. A name that the header lacks is an
+    error, and so is a file of a folder whose header differs.
     """
+    options = {"header": True, "sep": delimiter, "encoding": encoding}
+    header = spark.read.csv(path, **options).columns
+    declared = {field.name: field for field in StructType.fromDDL(schema)}
+    missing = [name for name in declared if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    in_file_order = StructType([declared.get(c, StructField(c, StringType())) for c in header])
     table = spark.read.csv(
-        path,
-        schema=schema,
-        header=True,
-        sep=delimiter,
-        encoding=encoding,
-        enforceSchema=True,
-        mode="FAILFAST",
+        path, schema=in_file_order, enforceSchema=False, mode="FAILFAST", **options
     )
-    return table.withColumnsRenamed(names or {})
+    carried = [c for c in header if c not in declared]
+    return table.select(*[F.col(f"`{c}`") for c in (*declared, *carried)]).withColumnsRenamed(names or {})
+
+
+def read_by_position(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV whose header line is replaced by ``schema``."""
+    return spark.read.csv(path, schema=schema, header=True, enforceSchema=True, mode="FAILFAST")
 
 
 def read_block_population(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +61,8 @@ def read_deployment(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_county_housing(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schemas.COUNTY_HOUSING)
+    """The one file whose own column names are not used."""
+    return read_by_position(spark, path, schemas.COUNTY_HOUSING)
 
 
 def read_county_population(spark: SparkSession, path: str) -> DataFrame:
@@ -67,17 +78,21 @@ def read_county_names(spark: SparkSession, path: str) -> DataFrame:
 def read_payload(
     spark: SparkSession, path: str, key: str, own_key: str | None = None
 ) -> DataFrame:
-    """A table of numbers under whatever names its header gives, by one key.
+    """A table under whatever names its header gives, by one key.
 
     ``own_key`` is what the file calls the key. Without it the key is text,
-    as the national one is.
+    as the national one is. Columns that hold numbers only are numbers, others
+    stay text. These tables have a row per county at most, so looking at all
+    values first costs little.
     """
     table = spark.read.csv(path, header=True, encoding=schemas.WESTERN)
+    looked_at = spark.read.csv(path, header=True, encoding=schemas.WESTERN, inferSchema=True)
+    numbers = {f.name for f in looked_at.schema if isinstance(f.dataType, NumericType)}
     found = F.col(own_key or key)
     payload = [c for c in table.columns if c != (own_key or key)]
     return table.select(
         found.cast("bigint").alias(key) if own_key else found,
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in payload],
+        *[F.col(f"`{c}`").cast("double" if c in numbers else "string").alias(c) for c in payload],
     )
 
 

@@ -55,7 +55,7 @@ def paths(tmp_path):
 
 def test_every_table_is_written(spark, paths, tmp_path):
     written = job.run(spark, paths, str(tmp_path / "out"))
-    assert len(written) == 2 + 3 * 4 + 2
+    assert len(written) == 5 + 3 * 4 + 3
     report = spark.read.csv(f"{tmp_path}/out/county_report", header=True).collect()
     by_county = {r["countyFIPS"]: r for r in report}
     assert set(by_county) == {str(A), str(B), "9001"}
@@ -63,8 +63,9 @@ def test_every_table_is_written(spark, paths, tmp_path):
     assert by_county[str(A)]["rural share"] == "12.5"
     tiers = spark.read.csv(f"{tmp_path}/out/tiers_dl_state", header=True).first()
     assert float(tiers["pctDSGt100000kAndLt1Gig_hi_s"]) == pytest.approx(100 * 20 / 130)
-    filings = spark.read.csv(f"{tmp_path}/out/consumer_filings", header=True)
-    assert filings.count() == 5
+    filings = spark.read.parquet(f"{tmp_path}/out/consumer_filings")
+    assert filings.count() == 5 and "state_fips" in filings.columns
+    assert spark.read.parquet(f"{tmp_path}/out/all_block_providers").count() == 5
 
 
 def test_tables_agree_with_the_report(spark, paths):

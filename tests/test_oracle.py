@@ -5,9 +5,12 @@ from check_oracle import database, differences
 from conftest import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
+from covshare.plans.catalogue import spark_queries
+from covshare.plans.oracle import oracle_queries
 
-QUERIES = queries()
-ORACLES = oracle_sql()
+# The text queries have tests of their own.
+QUERIES = spark_queries()
+ORACLES = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +20,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)

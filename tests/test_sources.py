@@ -24,12 +24,41 @@ def test_western_text_and_declared_types(spark, tmp_path):
 
 
 def test_pruned_scan(spark, tmp_path):
-    path = write(tmp_path / "filings.csv", "x\n")
+    path = write(tmp_path / "filings.csv", ",".join(f.split(" ")[0] for f in schemas.DEPLOYMENT.split(", ")) + "\n")
     frame = readers.read_deployment(spark, path).select("hoco_num", "block_code")
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<HocoNum:bigint,BlockCode:bigint>" in plan
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = write(tmp_path / "people.csv", "state,pop2017,hh2016,block_fips,hu2016\nAL,20,7,10010201001000,8\n")
+    frame = readers.read_block_population(spark, path)
+    assert frame.columns == ["block_code", "gl_pop", "gl_housing_units", "gl_households", "state"]
+    assert tuple(frame.first()) == (10010201001000, 20, 8, 7, "AL")
+    with pytest.raises(ValueError, match="countyFIPS"):
+        readers.read_county_population(spark, write(tmp_path / "c.csv", "county,CountyPop\n1,2\n"))
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    write(tmp_path / "a.csv", "countyFIPS,CountyPop\n1001,5\n")
+    write(tmp_path / "b.csv", "CountyPop,countyFIPS\n5,1003\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        readers.read_county_population(spark, str(tmp_path)).collect()
+
+
+def test_names_carry_other_columns(spark, tmp_path):
+    path = write(tmp_path / "names.csv", "STATEFP,a.b,COUNTYFP,county_name\n1,x,1,Ay\n")
+    assert readers.read_county_names(spark, path).first().asDict() == {
+        "state_fp": 1, "county_fp": 1, "county_name": "Ay", "a.b": "x"
+    }
+
+
+def test_payload_keeps_text(spark, tmp_path):
+    path = write(tmp_path / "rural.csv", ",stateFIPS,share.2017,note\n0,1,2.5,low\n1,2,,high\n")
+    rows = [tuple(r) for r in readers.read_payload(spark, path, "state_fips", "stateFIPS").orderBy("state_fips").collect()]
+    assert rows == [(1, 0.0, 2.5, "low"), (2, 1.0, None, "high")]
+
+
 def test_header_is_replaced(spark, tmp_path):
     path = write(tmp_path / "county.csv", "GEO.id2,a,b\n1001,55000,22000\n")
     frame = readers.read_county_housing(spark, path)
@@ -38,7 +67,7 @@ def test_header_is_replaced(spark, tmp_path):
 
 
 def test_other_delimiter(spark, tmp_path):
-    path = write(tmp_path / "t.csv", "a|b\n1|x\n")
+    path = write(tmp_path / "t.csv", "k|v\n1|x\n")
     frame = readers.read_table(spark, path, "k INT, v STRING", {"v": "name"}, delimiter="|")
     assert frame.columns == ["k", "name"] and tuple(frame.first()) == (1, "x")
 
