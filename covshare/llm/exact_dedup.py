@@ -87,7 +87,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The documents that stay, with all their columns, whatever their names.
 
     Rows outside the filter of dropped ids pass without a shuffle. Of rows that
-    repeat id and text all stay or none, as they can't be told apart.
+    repeat id and text all stay or none, as they can't be told apart; a row with a
+    null id always stays.
     """
     judged = exact_duplicates(docs, id_col, text_col)
     return without_ids(docs, judged.where("not kept").select("doc_id"), id_col)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.llm.tokens import WordEncoder
+from covshare.llm.workers import short_batches
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -181,5 +182,6 @@ def pack(
     """
     if width & (width - 1):
         raise ValueError("width must be a power of two")
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(lambda batches: _pack_partition(batches, tokenizer, end_id, width, most_open), SCHEMA)

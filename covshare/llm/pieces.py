@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covshare.llm.workers import short_batches
+
 SPACE = "▁"
 _START = -1  # before the first piece, and in place of a character without a piece
 _LONGEST = 128  # characters of a word that goes through the lattice
@@ -256,6 +258,7 @@ def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 
 def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    short_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

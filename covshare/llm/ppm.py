@@ -26,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covshare.llm.workers import short_batches
 from covshare.sources.scratch import stored
 
 ORDER = 5
 END = 0xFF  # never a byte of UTF-8; also what stands before a text
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 _CHUNK_BYTES = 32 << 20
 _LEAST_CHUNK_BYTES = 1 << 20
 _MOST_WORDS = 400_000  # held in a task before counts are handed on
-_MOST_GRAMS = 4_000_000
+_MOST_GRAMS = 2_000_000
 _LOW = 24  # bits of the context and symbol of the broadcast levels
 _LOG10 = math.log(10)
 
@@ -226,26 +227,51 @@ def _chunk_words(table: pa.Table) -> pa.Table:
 
 
 def _chunk_grams(table: pa.Table) -> pa.Table:
-    keys = np.zeros(0, np.int64)
+    held, size = [np.zeros(0, np.int64)], 0
     for _, _, _, texts in _texts(iter(table.to_batches())):
-        keys = np.union1d(keys, _grams(texts)[0])
+        held.append(np.unique(_grams(texts)[0]))
+        size += len(held[-1])
+        if size > 2 * _MOST_GRAMS:
+            held, size = [np.unique(np.concatenate(held))], 0
+    keys = np.unique(np.concatenate(held))
     chunk = table.column("chunk")[0].as_py()
     return pa.table({"chunk": pa.array(np.full(len(keys), chunk)), "gram": pa.array(keys)})
 
 
+class Lookup:
+    """Values by key for keys that are all there: a table of where the keys of a
+    hash begin, which takes fewer steps than a search among all of them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = np.uint64(64 - max(1, (2 * len(keys)).bit_length()))
+        slots = self._slot(keys)
+        order = np.argsort(slots, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        counts = np.bincount(slots, minlength=1 << 64 - int(self.shift))
+        self.begin = (np.cumsum(counts) - counts).astype(np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.begin[self._slot(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
+        while len(other):
+            at[other] += 1
+            other = other[self.keys[at[other]] != keys[other]]
+        return self.values[at]
+
+
 def _score_chunk(docs: pa.Table, answers: pa.Table, total: int, distinct: int, ends: int) -> pa.Table:
     gram_rows = answers.filter(answers.column("word").is_null())
     word_rows = answers.filter(answers.column("word").is_valid())
-    grams, lengths = gram_rows.column("gram").to_numpy(), gram_rows.column("value").to_numpy()
-    order = np.argsort(grams)
-    grams, lengths = grams[order], lengths[order]
+    lengths = Lookup(gram_rows.column("gram").to_numpy(), gram_rows.column("value").to_numpy())
     known = dict(zip(word_rows.column("word").to_pylist(), (word_rows.column("value").to_numpy() + 1).tolist(), strict=True))
     base_unit = math.log10(total + distinct + 1)
     out: dict[str, list] = {k: [] for k in ("id", "train", "n_tokens", "n_known", "base_score", "score")}
     for ids, train, words, texts in _texts(iter(docs.to_batches())):
         keys, sizes = _grams(texts)
-        costs = lengths[np.searchsorted(grams, keys)]
-        scores = np.add.reduceat(costs, np.cumsum(sizes) - sizes) / _LOG10
+        scores = np.add.reduceat(lengths[keys], np.cumsum(sizes) - sizes) / _LOG10
         out["id"] += ids
         out["train"] += train
         out["score"] += scores.tolist()
@@ -288,6 +314,7 @@ def score_documents(
     training documents every symbol is equally likely.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     rest = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),

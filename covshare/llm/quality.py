@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from covshare.llm import boosting
 from covshare.llm.words import Words, blocks, find_words, mix, windows
+from covshare.llm.workers import short_batches
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 20
@@ -180,6 +181,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
 
     The sample's statistics are a few numbers a row; texts stay on the executors.
     """
+    short_batches(docs.sparkSession)
     rows = (
         labelled_sample(docs, labels, label, most_rows, id_col, text_col)
         .mapInArrow(_features_of, "features array<double>, label int")
@@ -201,6 +203,7 @@ def judge_quality(
     null text has no words and fails; repeated rows are judged alike; a null id
     stays null; other columns are ignored, an empty table gives no rows.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counts = ", ".join(f"{c} long" for c in COUNTS)
     return rows.mapInArrow(

@@ -21,7 +21,9 @@ _HELD_BYTES = 1 << 20  # of texts whose new words are looked up together
 
 # Letters whose lower case, composition and class never changed; words with
 # others, or with the name of a special token, go through the whole tokenizer.
-_PLAIN = regex.compile(r"[\x21-\x7eÀ-ɏ]+")
+_ODD = regex.compile(r"[^\x20-\x7eÀ-ɏ]|<\|")
+# Stands for a blank among ids; no run of ids holds these four bytes.
+_BETWEEN = b"\xff\xff\xff\xff"
 
 
 class WordEncoder:
@@ -35,7 +37,7 @@ class WordEncoder:
             spec = json.load(file)
         self._whole = Tokenizer.from_str(json.dumps(spec))
         splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self._split = regex.compile(splits[0])
+        self._split = regex.compile(f"{splits[0]}| ")
         # The same merges for parts that are normalised and split already.
         spec["normalizer"] = None
         spec["pre_tokenizer"]["pretokenizers"] = [
@@ -48,24 +50,23 @@ class WordEncoder:
         self._is_end = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a part
         self._is_end[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
         self._known: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {" ": _BETWEEN}
         self._bytes = 0
 
     def _learn(self, missing: set[bytes], all_words: set[bytes]) -> None:
         if self._bytes > _CACHE_BYTES:
-            self._known, self._parts, self._bytes = {}, {}, 0
+            self._known, self._parts, self._bytes = {}, {" ": _BETWEEN}, 0
             missing = all_words
-        plain, other = [], []
-        for word in missing:
-            decoded = word.decode()
-            (plain if _PLAIN.fullmatch(decoded) and "<|" not in decoded else other).append((word, decoded))
-        found = self._whole.encode_batch_fast([d for _, d in other], add_special_tokens=False)
-        self._known.update((w, np.asarray(e.ids, "<u4").tobytes()) for (w, _), e in zip(other, found, strict=True))
-        split = self._split.findall
-        parts = [split(d if d.isascii() else "".join(map(str.lower, d))) for _, d in plain]
-        self._learn_parts(list({p for ps in parts for p in ps}.difference(self._parts)))
-        ids = self._parts.__getitem__
-        self._known.update((w, b"".join(map(ids, ps))) for (w, _), ps in zip(plain, parts, strict=True))
+        joined = b" ".join(missing).decode()
+        other = [w for w in joined.split(" ") if _ODD.search(w)] if _ODD.search(joined) else []
+        found = self._whole.encode_batch_fast(other, add_special_tokens=False)
+        self._known.update((w.encode(), np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(other, found, strict=True))
+        plain = list(missing.difference(map(str.encode, other))) if other else list(missing)
+        # Parts of all words in one go, with the blanks between the words.
+        parts = self._split.findall(b" ".join(plain).decode().lower())
+        self._learn_parts(list(set(parts).difference(self._parts)))
+        ids = b"".join(map(self._parts.__getitem__, parts))
+        self._known.update(zip(plain, ids.split(_BETWEEN), strict=True) if plain else ())
         self._bytes += sum(map(len, missing)) * 4 + _ENTRY_BYTES * len(missing)
 
     def _learn_parts(self, parts: list[str]) -> None:

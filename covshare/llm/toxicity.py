@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.llm.words import Words, blocks, find_words
+from covshare.llm.workers import short_batches
 
 BUCKETS = 1 << 20
 #: Whole words and their first bytes, which inflected forms share.
 PREFIXES = (None, 4, 5, 6)
 _SALT = np.asarray([0x1F83D9AB, 0x5BE0CD19, 0x428A2F98, 0x71374491], np.uint64)
 MOST_FEATURES = 4096
-LEAST_SCORE = 3.0  # of a feature's difference between the classes, in standard deviations
+LEAST_SCORE = 4.5  # of a feature's difference between the classes, in standard deviations
 
 
 def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +173,7 @@ def fit_toxicity(
     Of a document with several label rows one is used for each category: true
     if any is. Texts stay on the executors; hashed features come to the driver.
     """
+    short_batches(docs.sparkSession)
     names = list(categories)
     ids = (
         labels.select(F.col(id_col).alias("id"), *[F.expr(f"coalesce({c}, false)").cast("int").alias(f"c{i}") for i, c in enumerate(categories.values())])
@@ -204,6 +206,7 @@ def judge_toxicity(
     and gets the base rates; repeated rows are judged alike, a null id stays
     null, other columns are ignored, an empty table gives no rows.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = ", ".join(["doc_id long", *[f"{n} double" for n in names], "kept boolean"])
     return rows.mapInArrow(lambda batches: _judged(batches, models, names, threshold), schema)

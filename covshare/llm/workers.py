@@ -1,4 +1,4 @@
-"""Where Python workers find this package."""
+"""What Python workers are given: this package, and batches that fit in memory."""
 
 from __future__ import annotations
 
@@ -16,3 +16,15 @@ def importable(spark: SparkSession) -> None:
     paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
     if context.master.startswith("local") and _ROOT not in paths:
         context.environment["PYTHONPATH"] = os.pathsep.join(p for p in (_ROOT, *paths) if p)
+
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_MOST_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch, if it has more: whole texts make
+    batches of the usual 10,000 rows so large that several copies of one, in the
+    executor and its workers, take a good part of a small executor."""
+    if int(spark.conf.get(_BATCH_ROWS)) > _MOST_ROWS:
+        spark.conf.set(_BATCH_ROWS, _MOST_ROWS)
