@@ -9,9 +9,12 @@ most documents have no candidates at all (prefix filter). Candidates are then
 confirmed on their full sets of shingles.
 
 Long lists are never expanded into all their pairs. Links are only needed up
-to connectivity, so each list tests its members against a leader; members that
-are then in one component are skipped, and lists that still hold several
-components test further leaders until every pair is tested or connected.
+to connectivity, so a list tests its members against one leader, and members
+that are then in one component need no test. What is left has a member that is
+not linked to the leader, and such a pair can only be linked if both differ from
+the leader in the same shingles, in more of them than a bound that follows from
+the sizes. So the differences are indexed, again with the rarest first, and
+that gives new and much shorter lists, until all are settled.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from covshare.llm import bitmaps
 from covshare.llm.words import blocks, find_words, mix, windows
+from covshare.llm.workers import short_batches
 from covshare.sources.scratch import stored
 
 COORDINATES = 64
@@ -120,11 +124,11 @@ def _spread_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner"
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every node of edges (a, b): the smallest node reachable.
+    """Edges (a, b) from every node but the smallest of its component to that one.
 
     Alternating stars: every node's larger neighbours, then its smaller ones, are
-    linked to its smallest neighbour until nothing changes. A node with many
-    links is a minimum combined before the shuffle and a join that can split.
+    linked to its smallest neighbour until each component is a star. A node with
+    many links is a minimum combined before the shuffle and a join that can split.
     """
     def star(pairs: DataFrame) -> DataFrame:
         """Pairs (u, v) as (v, smallest of u and its v's)."""
@@ -132,7 +136,6 @@ def components(edges: DataFrame) -> DataFrame:
         return _spread_join(pairs, lowest, "u")
 
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    seen = None
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         large = star(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -145,16 +148,19 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = stored(linked, "components")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-    roots = edges.select(F.col("b").alias("id")).distinct()
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots.select("id", "id"))
+        # A star has no node that is linked to two, or both from and to others.
+        ends = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            edges.select("b", F.lit(0), F.lit(1))
+        )
+        if ends.groupBy("a").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or up * down > 0").isEmpty():
+            return edges
 
 
 def _prefix_postings(reps: DataFrame, matches: int) -> DataFrame:
-    """(key, id): documents under the rarest of their coordinate-value pairs.
+    """(key, id, weight): documents under the rarest of their coordinate-value pairs.
+
+    The weight is the smaller, the more other documents a document shares pairs
+    with: the middle of a group of near copies has the smallest.
 
     A pair of one document only can't collide. With `c` other pairs, a document
     can reach `matches` collisions only if c >= matches, and its prefix holds the
@@ -171,96 +177,152 @@ def _prefix_postings(reps: DataFrame, matches: int) -> DataFrame:
         .where(F.size("keys") >= matches)
     )
     prefix = F.expr(f"slice(keys, 1, size(keys) - {matches - 1})")
-    return held.select("id", F.explode(prefix).alias("entry")).select(F.col("entry.key").alias("key"), "id")
+    weight = -F.aggregate("keys", F.lit(0).cast("long"), lambda total, x: total + x["lists"])
+    return held.select("id", weight.alias("weight"), F.explode(prefix).alias("entry")).select(
+        F.col("entry.key").alias("key"), "id", "weight"
+    )
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Pairs (a, b) that collide often enough and are linked by their full sets."""
-    def with_both(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        left = table.select(F.col("id").alias("a"), F.col(column).alias("of_a"))
-        right = table.select(F.col("id").alias("b"), F.col(column).alias("of_b"))
-        return rows.join(left, "a").join(right, "b")
+def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with the column's value for each."""
+    left = table.select(F.col("id").alias("a"), F.col(column).alias("of_a"))
+    right = table.select(F.col("id").alias("b"), F.col(column).alias("of_b"))
+    return _spread_join(_spread_join(pairs, right, "b"), left, "a")
 
+
+def _colliding(pairs: DataFrame, reps: DataFrame, matches: int) -> DataFrame:
     equal = F.aggregate(
         F.zip_with("of_a", "of_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
     )
-    close = with_both(pairs, reps, "sig").where(equal >= matches).select("a", "b")
+    return _with_both(pairs, reps, "sig").where(equal >= matches).select("a", "b")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked by their full sets."""
     both = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     either = F.size("of_a") + F.size("of_b") - both
-    return with_both(close, sets, "shingles").where(both * 100 >= either * percent).select("a", "b")
+    return _with_both(pairs, sets, "shingles").where(both * 100 >= either * percent).select("a", "b")
+
+
+def _difference_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For (leader, id): lists (key, id, indexed, linked, weight) such that two members
+    of a leader of which one, b, is not linked to it are in a common list if they
+    are linked: both indexed there, or a indexed there and linked to the leader.
+
+    With C the leader's set, Dx = C - X and Ix = X - C, the intersection of A and B
+    is |C| - |Da| - |Db| plus the number of differences that a and b share. So they
+    must share at least as many as make up `percent`. For b not linked to C that is
+    `short` (what b lacks to be linked to C) or more, and for any other a more than
+    (100 |Da| + percent |Ia|) / (100 + percent); if a is not linked to C either, that
+    holds for b as well. The rarest differences up to the first bound are asked
+    for, those up to the second are indexed.
+    """
+    pairs = _with_both(members.select(F.col("leader").alias("b"), F.col("id").alias("a")), sets, "shingles")
+    both = F.size(F.array_intersect("of_a", "of_b")).cast("long")
+    total = (F.size("of_a") + F.size("of_b")).cast("long")
+    gone, new = F.array_except("of_b", "of_a"), F.array_except("of_a", "of_b")
+    known = pairs.select(
+        F.col("b").alias("leader"), F.col("a").alias("id"),
+        F.concat(gone, new).alias("differences"),
+        (F.ceil(total * percent / (100 + percent)) - both).alias("short"),
+        F.floor((F.size(gone) * 100 + F.size(new) * percent) / F.lit(100 + percent)).alias("kept"),
+    ).withColumn("weight", F.size("differences").cast("long"))
+    rows = known.select(
+        "leader", "id", "short", "kept", "weight", F.explode("differences").alias("shingle")
+    ).withColumn("key", F.xxhash64("leader", "shingle"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("lists")).where("lists > 1")
+    ordered = (
+        _spread_join(rows.drop("shingle"), shared, "key")
+        .groupBy("leader", "id", "short", "kept", "weight")
+        .agg(F.sort_array(F.collect_list(F.struct("lists", "key"))).alias("keys"))  # a set's differences at most
+        # Places in the order of all differences; those of one document only come first.
+        .withColumn("alone", F.col("weight") - F.size("keys"))
+        .withColumn("indexed_to", F.col("weight") - F.col("kept"))
+        .withColumn("asked_to", F.when(F.col("short") > 0, F.col("weight") - F.col("short") + 1).otherwise(0))
+        .withColumn("use", F.greatest(F.lit(0), F.greatest("indexed_to", "asked_to") - F.col("alone")).cast("int"))
+        .select("id", "short", "weight", "alone", "indexed_to", F.posexplode(F.expr("slice(keys, 1, use)")).alias("place", "entry"))
+    )
+    return ordered.select(
+        F.col("entry.key").alias("key"), "id", (F.col("alone") + F.col("place") < F.col("indexed_to")).alias("indexed"),
+        (F.col("short") <= 0).alias("linked"), "weight",
+    )
+
+
+_DIRECT = 1024  # tests in a list that are made without a leader
 
 
 def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame | None:
-    """Components (id, component) of the linked documents, None if there are none."""
-    postings = stored(_prefix_postings(reps, matches), "postings")
-    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    postings = stored(_spread_join(postings, lists, "key").select("key", "id", "n"), "postings")
-    if postings.isEmpty():
+    """Edges (a, b) to the smallest member of each component, None without links."""
+    lists = stored(
+        _prefix_postings(reps, matches).withColumns({"indexed": F.lit(True), "linked": F.lit(False)}), "lists"
+    )
+    if lists.isEmpty():
         return None
-    sets = stored(sets_of(postings.select("id").distinct()), "sets")
-    labels, edges = None, None
-    asked, leaders = 0, 1
+    sets = stored(sets_of(lists.select("id").distinct()), "sets")
+    edges = None
     while True:
-        # Leaders of this round: places asked .. leaders - 1 of the list, in an order
-        # of its own that begins with its smallest id.
-        if labels is None:
-            known = postings.withColumn("component", F.col("id"))
-        else:
-            known = _with_component(postings, labels)
-        spans = known.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first")
-        ).where("low < high")
-        open_rows = stored(
-            _spread_join(known.where(F.col("n") > asked), spans.select("key", "first"), "key"), "open"
+        unsettled = stored(_open_lists(lists, edges), "open")
+        direct = unsettled.where(F.col("tests") <= _DIRECT)
+        with_leader = unsettled.where(F.col("tests") > _DIRECT)
+        some = direct.where("indexed").select(
+            "key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("linked").alias("other_linked")
         )
-        if open_rows.isEmpty():
-            return labels
-        if asked == 0:
-            chosen = open_rows.where("id = first").select(
-                "key", F.col("id").alias("leader"), F.col("component").alias("of_leader")
-            )
-        else:
-            chosen = _leaders(open_rows, asked, leaders)
-        pairs = (
-            _spread_join(open_rows.select("key", "id", "component"), chosen, "key")
-            .where("component <> of_leader and id <> leader")
-            .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
+        tests = (
+            direct.select("key", "id", "component", "indexed")
+            .join(some, "key")
+            .where("component <> of_other and (indexed or other_linked)")
+            .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
             .distinct()
         )
-        fresh = _confirmed(pairs, reps, sets, matches, percent)
-        edges = stored(fresh if edges is None else edges.union(fresh), "edges")
-        if not edges.isEmpty():
-            labels = components(edges)
-        asked, leaders = leaders, leaders * 8
-
-
-def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return (
-        rows.join(labels, "id", "left")
-        .withColumn("component", F.coalesce("component", "id"))
+        # Against the leader, and against the list's own best: more links are found at once.
+        stars = (
+            with_leader.where("component <> of_leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+            .union(with_leader.where("component <> of_first").select("id", "first"))
+            .where("a <> b")
+            .distinct()
+        )
+        fresh = _linked(_colliding(tests, reps, matches).union(stars), sets, percent)
+        fresh = stored(fresh, "edges")
+        if not fresh.isEmpty():
+            edges = components(fresh if edges is None else edges.union(fresh))
+        lists = with_leader.select("key", "id", "indexed", "linked", "weight")
+        if lists.isEmpty():
+            return edges
+        rest = _open_lists(lists, edges).where("id <> leader").select("leader", "id").distinct()
+        lists = stored(_difference_lists(rest, sets, percent), "lists")
+
+
+def _open_lists(lists: DataFrame, edges: DataFrame | None) -> DataFrame:
+    """Rows of the lists that hold several components, with each row's component,
+    the number of tests that the list needs at most, and its leader.
+
+    The indexed row with the smallest weight leads a list, or rather the one that
+    leads the best of the lists that this one is in: so the lists of one group
+    of near copies share a leader, which need not be in each of them."""
+    known = lists.withColumn("component", F.col("id"))
+    if edges is not None:
+        known = lists.join(edges.select(F.col("a").alias("id"), "b"), "id", "left").withColumn(
+            "component", F.coalesce("b", "id")
+        ).drop("b")
+    entry = F.when(F.col("indexed"), F.struct("weight", "id", "component"))
+    spans = (
+        known.groupBy("key")
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("indexed").cast("long")).alias("m"),
+            F.sum((F.col("indexed") & F.col("linked")).cast("long")).alias("l"),
+            F.min(entry).alias("entry"),
+        )
+        .where("low < high and (m > 1 or l > 0)")
+        .select("key", F.expr("m * m + l * n").alias("tests"), "entry")
     )
-
-
-def _leaders(open_rows: DataFrame, low: int, high: int) -> DataFrame:
-    """Members at places low .. high - 1 of each list: its smallest id first, the
-    others by a hash of list and id. No more than `high` per list are gathered
-    for each of its shares, and then for the list."""
-    order = F.when(F.col("id") == F.col("first"), F.lit(-(1 << 63)).cast("long")).otherwise(F.xxhash64("key", "id"))
-    entry = F.struct(order.alias("place"), F.col("id"), F.col("component"))
-    best = lambda c: F.expr(f"slice(array_sort({c}), 1, {high})")
-    shares = (
-        open_rows.withColumn("share", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / 4096)))
-        .withColumn("entry", entry)
-        .groupBy("key", "share")
-        .agg(F.collect_list("entry").alias("entries"))
-        .select("key", best("entries").alias("entries"))
+    rows = _spread_join(known, spans, "key").withColumns(
+        {"first": F.col("entry.id"), "of_first": F.col("entry.component")}
     )
-    return (
-        shares.groupBy("key")
-        .agg(F.flatten(F.collect_list("entries")).alias("entries"))
-        .select("key", F.posexplode(best("entries")).alias("place", "entry"))
-        .where(F.col("place") >= low)
-        .select("key", F.col("entry.id").alias("leader"), F.col("entry.component").alias("of_leader"))
+    best = rows.groupBy("id").agg(F.min("entry").alias("best")).withColumnRenamed("id", "first")
+    return _spread_join(rows.drop("entry"), best, "first").select(
+        "key", "id", "indexed", "linked", "weight", "component", "tests", "first", "of_first",
+        F.col("best.id").alias("leader"), F.col("best.component").alias("of_leader"),
     )
 
 
@@ -285,6 +347,7 @@ def near_duplicates(
     columns are ignored, an empty table gives no rows. `matches` collisions are
     asked for before the exact test: lower it for a `percent` below 80.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stored(
         rows.mapInArrow(
@@ -313,8 +376,8 @@ def near_duplicates(
     if labels is None:
         labelled = groups.withColumn("component", F.col("rep"))
     else:
-        labelled = groups.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep")
+        labelled = groups.join(labels.select(F.col("a").alias("rep"), "b"), "rep", "left").withColumn(
+            "component", F.coalesce("b", "rep")
         )
     labelled = stored(labelled.select("digest", "component"), "labelled")
     answers = _spread_join(linkable.select("id", "n", "digest"), labelled, "digest").select(
