@@ -35,14 +35,16 @@ from covshare.llm import bitmaps
 from covshare.llm.exact_dedup import copy_groups, without_ids
 from covshare.llm.minhash import _spread_join
 from covshare.llm.words import blocks, mix
+from covshare.llm.workers import short_batches
 from covshare.sources.scratch import stored
 
 LENGTH = 50
 ANCHOR = 16
-MOST_TOGETHER = 1000  # occurrences of an anchor that one group takes
+MOST_TOGETHER = 8000  # occurrences of an anchor that one group takes
 FILTER_BITS = 27  # the filter of repeated anchors has 2 ** 27 bits: 16 MB
 _KEY_BITS = 48
-_HELD = 4_000_000  # anchors in a task before their counts are handed on
+_BLOCK_BYTES = 1 << 20
+_HELD = 1_000_000  # anchors in a task before their counts are handed on
 _WHOLE = (1 << 62) - 1  # end of a span that covers a whole text
 _C = np.random.default_rng(20240603).integers(1, 1 << 63, 32, dtype=np.uint64) | np.uint64(1)
 
@@ -101,7 +103,7 @@ class Anchors:
 def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, Anchors]]:
     """(ids, anchors) of blocks of (id, text)."""
     for batch in batches:
-        for part, data, offsets in blocks(batch):
+        for part, data, offsets in blocks(batch, limit=_BLOCK_BYTES):
             yield part.column(0).to_numpy(zero_copy_only=False), Anchors(data, offsets, length)
 
 
@@ -479,6 +481,7 @@ class _Search:
 
 
 def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    short_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -486,8 +489,8 @@ def maximal_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     """Groups of maximal repeats of `length` bytes or more, with all occurrences:
     rows of (repeat, length, doc_id, start), where repeat is the SHA-256 of its bytes.
 
-    A repeat longer than a context is reported once for each of its anchors, as
-    far as the context reaches. Every anchor is gathered in one group here, so
+    A repeat longer than a context is reported in parts around its anchors, as far
+    as the contexts reach. Every anchor is gathered in one group here, so
     this is for tables without very common passages; `covered_spans` has no such
     limit. A null text is empty, rows with a null id take no part.
     """
