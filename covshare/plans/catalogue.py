@@ -751,13 +751,28 @@ def _(t: Inputs) -> DataFrame:
 
 
 def _income_file(t: Inputs, table: DataFrame, label: str) -> str:
-    """The table as CSV text behind title lines and a header."""
+    """The table as CSV text behind title lines and a header, with the files' own
+    names, a column more, and thousands separators."""
     path = scratch_path(t.spark, label)
-    lines = table.select(F.concat_ws(",", *table.columns).alias("value"))
+    own = {
+        ours: theirs
+        for names in (
+            schemas.INCOME_STATE_KEY, schemas.INCOME_COUNTY_KEY,
+            schemas.INCOME_NATION_KEY, schemas.INCOME_AMOUNTS,
+        )
+        for theirs, ours in names.items()
+    }
+    header = ",".join(f'"{own.get(c, c)}"' for c in table.columns)
+    amounts = [
+        F.concat(F.lit('"'), F.format_number(c, 0), F.lit('"'))
+        if c in schemas.INCOME_AMOUNTS.values()
+        else F.col(c)
+        for c in table.columns
+    ]
     preamble = t.spark.createDataFrame(
-        [("Income and poverty estimates",), ("",), (",".join(table.columns),)], "value STRING"
+        [("Income and poverty estimates",), ("",), (header,)], "value STRING"
     )
-    preamble.union(lines).write.text(path)
+    preamble.union(table.select(F.concat_ws(",", *amounts))).write.text(path)
     return path
 
 
@@ -765,7 +780,8 @@ def _county_income(t: Inputs) -> DataFrame:
     rows = t.income_county_raw.select(
         "state_code",
         "county_code",
-        F.lit("XX").alias("postal_code"),
+        F.lit("XX").alias("Postal Code"),
+        F.lit("A name").alias("Name"),
         "poverty",
         "median_income",
     )
@@ -780,7 +796,7 @@ def _(t: Inputs) -> DataFrame:
 @query("opt_income_join")
 def _(t: Inputs) -> DataFrame:
     state_rows = t.income_state_raw.select(
-        "state_code", F.lit("XX").alias("postal_code"), "poverty", "median_income"
+        "state_code", F.lit("XX").alias("Postal Code"), "poverty", "median_income"
     )
     state = readers.read_state_income(
         t.spark, _income_file(t, state_rows, "income-state")

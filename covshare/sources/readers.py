@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, StructField, StructType
@@ -97,22 +99,38 @@ def read_payload(
 
 
 def _after_preamble(
-    spark: SparkSession, path: str, schema: str, is_data_row
+    spark: SparkSession, path: str, names: dict[str, str], is_data_row
 ) -> DataFrame:
-    # Preamble and header are told from data by content, not by line number:
-    # a splittable scan has no line numbers.
-    return spark.read.csv(path, schema=schema, header=False).where(is_data_row)
+    """The named columns of a CSV with title lines before its header, as text.
+
+    The header is the line that holds all names. Titles and header are told from
+    data by content, not by line number: a splittable scan has no line numbers.
+    """
+    text = spark.read.text(path)
+    for name in names:
+        text = text.where(F.col("value").contains(name))
+    line = text.first()
+    if line is None:
+        raise ValueError(f"{path} has no header with {', '.join(names)}")
+    header = next(csv.reader([line.value]))
+    schema = ", ".join(f"c{i} STRING" for i in range(len(header)))
+    rows = spark.read.csv(path, schema=schema, header=False)
+    return rows.select(
+        *[F.trim(f"c{header.index(name)}").alias(ours) for name, ours in names.items()]
+    ).where(is_data_row)
 
 
 def _amount(name: str):
-    return F.regexp_replace(name, ",", "").cast("bigint")
+    """A number with thousands separators; the mark for a missing one is null, any
+    other text an error."""
+    return F.when(F.col(name) != schemas.MISSING_AMOUNT, F.regexp_replace(name, ",", "").cast("bigint"))
 
 
 def read_county_income(spark: SparkSession, path: str) -> DataFrame:
     rows = _after_preamble(
         spark,
         path,
-        schemas.INCOME_COUNTY,
+        schemas.INCOME_STATE_KEY | schemas.INCOME_COUNTY_KEY | schemas.INCOME_AMOUNTS,
         F.col("state_code").rlike("^[0-9]+$") & F.col("county_code").rlike("^[0-9]+$"),
     )
     county = compose_county(F.col("state_code"), F.col("county_code"))
@@ -125,7 +143,10 @@ def read_county_income(spark: SparkSession, path: str) -> DataFrame:
 
 def read_state_income(spark: SparkSession, path: str) -> DataFrame:
     rows = _after_preamble(
-        spark, path, schemas.INCOME_STATE, F.col("state_code").rlike("^[0-9]+$")
+        spark,
+        path,
+        schemas.INCOME_STATE_KEY | schemas.INCOME_AMOUNTS,
+        F.col("state_code").rlike("^[0-9]+$"),
     )
     return rows.select(
         F.col("state_code").cast("int").alias("state_fips"),
@@ -136,7 +157,10 @@ def read_state_income(spark: SparkSession, path: str) -> DataFrame:
 
 def read_national_income(spark: SparkSession, path: str) -> DataFrame:
     rows = _after_preamble(
-        spark, path, schemas.INCOME_NATION, F.col("poverty").rlike("^[0-9,]+$")
+        spark,
+        path,
+        schemas.INCOME_NATION_KEY | schemas.INCOME_AMOUNTS,
+        F.col("poverty").rlike("^([0-9,]+|[.])$"),
     )
     return rows.select(
         "merge_level",

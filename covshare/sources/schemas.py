@@ -19,12 +19,15 @@ COUNTY_POPULATION = "countyFIPS BIGINT, CountyPop BIGINT"
 
 COUNTY_NAMES = "STATEFP INT, COUNTYFP INT, county_name STRING"
 
-INCOME_COUNTY = (
-    "state_code STRING, county_code STRING, postal_code STRING, "
-    "poverty STRING, median_income STRING"
-)
-INCOME_STATE = "state_code STRING, postal_code STRING, poverty STRING, median_income STRING"
-INCOME_NATION = "merge_level STRING, poverty STRING, median_income STRING"
+# Columns of the income files, the amounts as text: they have separators.
+INCOME_STATE_KEY = {"State FIPS Code": "state_code"}
+INCOME_COUNTY_KEY = {"County FIPS Code": "county_code"}
+INCOME_NATION_KEY = {"merge_level": "merge_level"}
+INCOME_AMOUNTS = {
+    "Poverty Estimate, All Ages": "poverty",
+    "Median Household Income": "median_income",
+}
+MISSING_AMOUNT = "."
 
 BLOCK_POPULATION_NAMES = {
     "block_fips": "block_code",

@@ -79,18 +79,24 @@ def test_malformed_number_is_an_error(spark, tmp_path):
 
 
 def test_income_behind_a_preamble(spark, tmp_path):
+    amounts = '"Poverty Estimate, All Ages",90% CI,Median Household Income'
     text = (
         "Small area estimates\nTable 1\n\n"
-        "State FIPS Code,County FIPS Code,Postal Code,Poverty,Income\n"
-        '1,1,AL,"7,390","55,317"\n1,3,AL,21199,52562\n'
+        f"Name,County FIPS Code,State FIPS Code,Postal Code,{amounts}\n"
+        'Ay,1,1,AL,"7,390","1,2","55,317"\nBee,3,1,AL,21199,1,.\n'
     )
     path = write(tmp_path / "income_c.csv", text)
     got = sorted(tuple(r) for r in readers.read_county_income(spark, path).collect())
-    assert got == [(1001, 7390, 55317), (1003, 21199, 52562)]
-    state = write(tmp_path / "income_s.csv", "t\n\n\nState,Postal,P,I\n1,AL,10,20\n")
+    assert got == [(1001, 7390, 55317), (1003, 21199, None)]
+    state = write(tmp_path / "income_s.csv", f"t\n\n\nState FIPS Code,Postal Code,{amounts}\n1,AL,10,3,20\n")
     assert tuple(readers.read_state_income(spark, state).first()) == (1, 10, 20)
-    nation = write(tmp_path / "income_n.csv", "t\n\nmerge_level,P,I\nnational,30,40\n")
+    nation = write(tmp_path / "income_n.csv", f"t\n\nmerge_level,{amounts}\nnational,30,3,40\n")
     assert tuple(readers.read_national_income(spark, nation).first()) == ("national", 30, 40)
+    with pytest.raises(ValueError, match="no header"):
+        readers.read_state_income(spark, nation)
+    bad = write(tmp_path / "bad.csv", f"State FIPS Code,{amounts}\n1,x,3,20\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_state_income(spark, bad).collect()
 
 
 def test_sinks_overwrite_and_keep_encoding(spark, tmp_path):
