@@ -57,6 +57,18 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(score + self.bias + earlier @ self.earlier, -40, 40)))
 
 
+def _scores(present: np.ndarray, with_y: np.ndarray, n: int, positive: float) -> np.ndarray:
+    """How many standard deviations a feature's share differs between the classes;
+    0 for features of less than three documents."""
+    if positive in (0, n):
+        return np.zeros(len(present))
+    share = present / n
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positive + 1 / (n - positive)))
+    score = np.abs(with_y / positive - (present - with_y) / (n - positive)) / spread
+    score[present < 3] = 0
+    return score
+
+
 def fit_linear(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, earlier: np.ndarray, steps: int = 400, ridge: float = 5e-5) -> Linear:
     """Logistic regression on the features that tell the classes apart best, by
     accelerated gradient steps. With one class only it is a constant."""
@@ -68,10 +80,7 @@ def fit_linear(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, earlier: np.n
         return Linear(float(np.log(rate / (1 - rate))), empty.astype(np.int64), empty, np.zeros(earlier.shape[1]))
     present = np.bincount(bucket, minlength=BUCKETS)
     with_y = np.bincount(bucket, y[doc], BUCKETS)
-    share = present / n
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positive + 1 / (n - positive)))
-    score = np.abs(with_y / positive - (present - with_y) / (n - positive)) / spread
-    score[present < 3] = 0
+    score = _scores(present, with_y, n, positive)
     chosen = np.argsort(-score, kind="stable")[:MOST_FEATURES]
     chosen = np.sort(chosen[score[chosen] >= LEAST_SCORE])
     place = np.full(BUCKETS, -1)
@@ -187,12 +196,27 @@ def fit_toxicity(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     sample = texts.join(F.broadcast(ids), "id").select("id", "text", "labels")  # most_rows bounds what is broadcast
     rows = sample.mapInArrow(_sample_features, "id long, buckets binary, labels array<int>").collect()
-    rows.sort(key=lambda r: (r.id, bytes(r.buckets)))  # whatever the order in which tasks end
+    rows.sort(key=lambda r: (r.id, len(r.buckets)))  # whatever the order in which tasks end
     rows = rows[:most_rows]
-    sets = [np.frombuffer(bytes(r.buckets), "<u4").astype(np.int64) for r in rows]
+    targets = np.asarray([r.labels for r in rows], float).reshape(-1, len(names))
+    # Features that can't be chosen go before all are laid side by side.
+    present, with_y = np.zeros(BUCKETS), np.zeros((len(names), BUCKETS))
+    for r, y in zip(rows, targets, strict=True):
+        buckets = np.frombuffer(r.buckets, "<u4")
+        present[buckets] += 1
+        for i in np.flatnonzero(y):
+            with_y[i, buckets] += 1
+    keep = np.zeros(BUCKETS, bool)
+    for counts, positive in zip(with_y, targets.sum(axis=0), strict=True):
+        keep |= _scores(present, counts, len(rows), positive) >= LEAST_SCORE / 2
+    sets = []
+    for r in rows:
+        buckets = np.frombuffer(r.buckets, "<u4")
+        sets.append(buckets[keep[buckets]].astype(np.int64))
+    del rows
     doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     bucket = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-    return fit_chain(doc, bucket, np.asarray([r.labels for r in rows], float).reshape(-1, len(names)))
+    return fit_chain(doc, bucket, targets)
 
 
 def judge_toxicity(
