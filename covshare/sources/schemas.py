@@ -17,7 +17,7 @@ COUNTY_HOUSING = "county_fips BIGINT, population BIGINT, housing_units BIGINT"
 
 COUNTY_POPULATION = "countyFIPS BIGINT, CountyPop BIGINT"
 
-COUNTY_NAMES = "STATEFP INT, COUNTYFP INT, county_name STRING"
+COUNTY_NAMES = "STATEFP INT, COUNTYFP INT"  # and whatever else the file has
 
 # Columns of the income files, the amounts as text: they have separators.
 INCOME_STATE_KEY = {"State FIPS Code": "state_code"}
