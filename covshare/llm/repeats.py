@@ -1,7 +1,7 @@
 """Maximal repeats across documents from enhanced suffix arrays in pieces.
 
-Every byte string of `length` bytes holds an anchor: the 16 bytes with the
-smallest hash in it, the first of them if there are several. Equal strings
+Every byte string of `length` bytes holds an anchor: the 24 bytes (16 in strings
+of less than 40) with the smallest hash in it, the first of them if there are several. Equal strings
 have equal anchors, so occurrences of a repeat can be found by their anchors:
 
 1. Anchors are counted by hash. Those of one document only are of no interest;
@@ -39,12 +39,11 @@ from covshare.llm.workers import short_batches
 from covshare.sources.scratch import stored
 
 LENGTH = 50
-ANCHOR = 16
-MOST_TOGETHER = 8000  # occurrences of an anchor that one group takes
+MOST_TOGETHER = 50_000  # occurrences of an anchor that one group takes
 FILTER_BITS = 27  # the filter of repeated anchors has 2 ** 27 bits: 16 MB
 _KEY_BITS = 48
-_BLOCK_BYTES = 1 << 20
-_HELD = 1_000_000  # anchors in a task before their counts are handed on
+_BLOCK_BYTES = 1 << 19
+_HELD = 400_000  # anchors in a task before their counts are handed on
 _WHOLE = (1 << 62) - 1  # end of a span that covers a whole text
 _C = np.random.default_rng(20240603).integers(1, 1 << 63, 32, dtype=np.uint64) | np.uint64(1)
 
@@ -61,6 +60,11 @@ def _eights(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def anchor_size(length: int) -> int:
+    """Longer anchors are repeated by chance less often, but there are more of them."""
+    return 24 if length >= 40 else 16
+
+
 class Anchors:
     """Anchors of a block of documents: places, documents and 64-bit hashes."""
 
@@ -75,16 +79,20 @@ class Anchors:
         if n <= 0:
             return
         with np.errstate(over="ignore"):
-            grams = self.eights[:-8] * _C[0] ^ mix(self.eights[8:] * _C[1])
+            size = anchor_size(length)
+            count = len(self.eights) - size + 8
+            grams = self.eights[:count] * _C[0]
+            for i in range(8, size, 8):
+                grams = mix(grams ^ self.eights[i : i + count] * _C[i // 8])
             grams = mix(grams)
-        width = length - ANCHOR + 1  # anchors that a string may have
+        width = length - size + 1  # anchors that a string may have
         lowest = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-        size = 1
-        while size * 2 <= width:
-            lowest = np.minimum(lowest[:-size], lowest[size:])
-            size *= 2
-        if size < width:
-            lowest = np.minimum(lowest[: len(lowest) - (width - size)], lowest[width - size :])
+        step = 1
+        while step * 2 <= width:
+            lowest = np.minimum(lowest[:-step], lowest[step:])
+            step *= 2
+        if step < width:
+            lowest = np.minimum(lowest[: len(lowest) - (width - step)], lowest[width - step :])
         ends = np.repeat(offsets[1:], np.diff(offsets))[:n]
         inside = np.flatnonzero(np.arange(length, length + n) <= ends)
         anchors = (lowest[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -116,7 +124,7 @@ def _merged(keys: np.ndarray, docs: np.ndarray, uses: np.ndarray) -> tuple[np.nd
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     if not len(first):
         return keys, docs, uses
-    docs, uses = (np.minimum(np.add.reduceat(x, first), 60_000) for x in (docs, uses))
+    docs, uses = (np.minimum(np.add.reduceat(x, first), 65_535) for x in (docs, uses))
     return keys[first], docs, uses
 
 
@@ -215,7 +223,7 @@ class RepeatFilter:
 def _contexts(batches: Iterator[pa.RecordBatch], length: int, repeats) -> Iterator[pa.RecordBatch]:
     """(anchor, context, at, id, place) of repeated anchors; the anchor starts at
     byte `at` of its context and at byte `place` of its document."""
-    before, after = length - ANCHOR, length
+    before, after = length - anchor_size(length), length
     for ids, anchors in _blocks(batches, length):
         slots = anchors.slots()
         use = np.flatnonzero(repeats.value.repeated(slots) & ~repeats.value.too_many(slots))
@@ -302,13 +310,13 @@ class Repeats:
         if n < 2:
             return
         first = offsets[:-1] + at
-        after, before = np.minimum(offsets[1:] - first, length), np.minimum(at, length - ANCHOR)
+        after, before = np.minimum(offsets[1:] - first, length), np.minimum(at, length - anchor_size(length))
         right = _rows(data, first, after, length, back=False)
         order = _ranked(right, after, anchor)
         lcp = np.zeros(n, np.int64)
         lcp[1:] = _common(right, after, order[:-1], order[1:])
         lcp[1:][anchor[order][1:] != anchor[order][:-1]] = 0
-        value, lower, upper = lcp_intervals(lcp, ANCHOR)
+        value, lower, upper = lcp_intervals(lcp, anchor_size(length))
         if not len(value):
             return
         # All members of all intervals, with the child interval that each is in.
@@ -319,7 +327,7 @@ class Repeats:
         border = (lcp[rank] == value[interval]) & (rank > lower[interval])
         child = np.cumsum(border)
         # The same members by what stands before the anchor.
-        left = _rows(data, first, before, length - ANCHOR, back=True)
+        left = _rows(data, first, before, length - anchor_size(length), back=True)
         left_rank = np.empty(n, np.int64)
         left_rank[_ranked(left, before)] = np.arange(n)
         member = order[rank]
