@@ -1,5 +1,7 @@
 """Small documents with everything that may be odd about a table."""
 
+import pytest
+
 SCHEMA = (
     "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, id LONG, row STRING, "
     "spans STRING, maybe STRING, sha STRING, key STRING, size STRING, spread STRING, train STRING"
@@ -28,3 +30,13 @@ EDGE = [
     (11, "Ä" * 60 + "é" * 60),
     (12, "e" + "Ä" * 60 + "é" * 55),
 ]
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return table(spark, EDGE).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return table(spark, []).repartition(1)

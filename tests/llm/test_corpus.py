@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest_llm import EDGE, table
+from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
 
 import corpus_pipeline
 from covshare.llm import minhash, ppm, repeats

@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 from brute import ascii_lower
-from conftest_llm import EDGE, table
+from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
 
 from covshare.llm import bitmaps, exact_dedup, licences
 from pyspark.sql import functions as F

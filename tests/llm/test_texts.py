@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from brute import words
-from conftest_llm import EDGE, table
+from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
