@@ -1,13 +1,16 @@
 """Licence recognition by sentences, in SQL functions only.
 
-Texts are cut into sentences, sentences are normalised and mapped to the
-identifiers of known licence sentences, and the sequence of identifiers of a
-document is matched against ordered rules. Nothing shuffles: every document is
-judged on its own, and the two tables below are constants in the plan.
+Texts are normalised to words and the places where a sentence may end. Known
+licence sentences are looked up between any two such places, so that line breaks
+and full stops within a sentence do not hide it, and the sequence of their
+identifiers in a document is matched against ordered rules. Nothing shuffles:
+every document is judged on its own, and the tables below are constants in the
+plan.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +59,15 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+# Known sentences that official notices join without a place where
+# a sentence may end, or with a link behind. Their identifiers, joined by "|".
+JOINED = {
+    "licensed under the apache license version 2 0 the license you may not use this file except in "
+    "compliance with the license": "apache_header|apache_compliance",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache_copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache_copy",
+}
+
 # Fixed values: (licence, sequence of identifiers that must follow each other
 # within the document's identifiers), most specific first. "|" ends each one.
 RULES = (
@@ -77,17 +89,44 @@ RULES = (
 )
 
 
+#: Marks in normalised texts: a sentence may end (first with a blank behind a full
+#: stop, then also with a line break), and a blank line.
+_STOP, _END, _GAP = "\x01", "\n", "\x02"
+
+
+def _words_and_ends(text: Column) -> Column:
+    """The text's words in lower case with one character between two of them: _GAP
+    for blank lines, _END for a line break or `.`, `!`, `?` or `:` before a blank,
+    else a blank. Lines may start with comment marks; one of nothing else is blank."""
+    lower = F.translate(F.lower(F.coalesce(text, F.lit(""))), _STOP, _GAP)  # a text's own are no ends
+    for pattern, by in (
+        ("(?m)^[ \t]*(?:dnl|rem|c)(?:[ \t]+|$)", ""),  # comment marks that are letters
+        ("[.!?:][ \t]+", _STOP),
+        (f"[^a-z0-9{_END}{_STOP}]+", " "),
+        (f"[ {_STOP}]{{2,}}", _STOP),
+        (f"[ {_STOP}]?{_END}[ {_STOP}]?{_END}[ {_END}{_STOP}]*", _GAP),
+        (f"[ {_STOP}]?{_END}[ {_STOP}]?", _END),
+    ):
+        lower = F.regexp_replace(lower, pattern, by)
+    return F.trim(F.translate(lower, _STOP, _END))
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the licence sentences of a text, in order.
 
-    A sentence ends at a line break, or at `.`, `!`, `?` or `:` before a blank.
+    A known sentence starts and ends where a sentence may end, and may hold such
+    places, but no blank line. Of several that start at one place the longest
+    counts, and the next one starts behind it.
     """
-    known = F.create_map(*[F.lit(v) for v in chain.from_iterable(SENTENCES.items())])
-    lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "([.!?:])[ \t]+", "$1\n"), "\n", -1)
-    clean = F.transform(
-        lines, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
+    sentences = SENTENCES | JOINED
+    known = F.create_map(*[F.lit(v) for v in chain.from_iterable(sentences.items())])
+    anyone = "|".join(
+        re.escape(s).replace("\\ ", f"[ {_END}]") for s in sorted(sentences, key=lambda s: (-len(s), s))
+    )
+    found = F.regexp_extract_all(
+        _words_and_ends(text), F.lit(f"(?<![a-z0-9 ])({anyone})(?![a-z0-9 ])"), F.lit(1)
     )
-    return F.filter(F.transform(clean, lambda s: F.element_at(known, s)), lambda i: i.isNotNull())
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, _END, " ")))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 from brute import ascii_lower
@@ -66,3 +67,53 @@ def test_licences(spark, edge):
     assert [rows[i].licence for i in range(1, 8)] == ["Apache-2.0", None, "MIT", "GPL-3.0", "unknown", "MIT", None]
     assert rows[6].licences == "CC-BY-NC-4.0,MIT" and rows[6].sentence_ids == "ccbync_short|mit_short|"
     assert {r.licence for r in licences.scan_licences(edge).collect()} == {None}
+
+
+NOTICES = {
+    "MIT": 'Copyright (c) 2020 A. Author\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n'
+    'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, '
+    "including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+    "copies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following "
+    "conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial "
+    "portions of the Software.\n",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided "
+    "that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice.\n\n"
+    "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote "
+    "products derived from\n   this software without specific prior written permission.\n",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General "
+    "Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any "
+    "later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even "
+    "the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more "
+    "details.\n",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+    "Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any "
+    "later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even "
+    "the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more "
+    "details.\n",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was "
+    "not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in '
+    "compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0\nInternational License.\n",
+}
+
+
+def test_official_notices(spark):
+    """As they are wrapped, unwrapped, wrapped elsewhere, and in comments."""
+    ways = [
+        lambda t: t,
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+        lambda t: "\n\n".join(textwrap.fill(p, 37) for p in t.split("\n\n")),
+        *[lambda t, m=m: "".join(f"{m}{line}\n" for line in t.split("\n")) for m in ("# ", " * ", "// ", "dnl ", "C     ", "REM ")],
+    ]
+    rows = [(name, way(text)) for name, text in NOTICES.items() for way in ways]
+    got = licences.scan_licences(table(spark, enumerate(t for _, t in rows))).collect()
+    assert {(rows[r.doc_id], r.licence) for r in got} == {(row, row[0]) for row in rows}
+
+
+def test_sentences_end_at_blank_lines(spark):
+    texts = ["Licensed under the\n\nMIT License.", "#Licensed under the\n#\n# MIT License.", "Not licensed under the\nMIT License."]
+    texts += ["\n" * 50_000 + ". " * 50_000 + "\nLicensed\nunder the MIT License", "It is licensed. Licensed under\nthe MIT license! x"]
+    got = {r.doc_id: r.licence for r in licences.scan_licences(table(spark, enumerate(texts))).collect()}
+    assert [got[i] for i in range(5)] == [None, None, None, "MIT", "MIT"]
