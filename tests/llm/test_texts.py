@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from covshare.llm import boosting, packing, pieces, quality, toxicity, urls
 from covshare.llm.tokens import WordEncoder
 from covshare.llm.words import find_words, string_bytes
+from pyspark.sql import functions as F
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -167,6 +168,34 @@ def test_url_model_on_unseen_hosts():
     assert ((model.blocked([r[:3] for r in rows[500:]]) >= 0.5) == [r[3] for r in rows[500:]]).mean() > 0.95
 
 
+def url_rows(spark, named):
+    return urls.with_parts(spark.createDataFrame([(u, b) for u, b in named], "url STRING, blocked INT"))
+
+
+def test_url_sample_holds_distinct_urls(spark):
+    """An URL with most of the rows and the smallest hash does not fill the sample."""
+    named = [(f"http://{'ads-' if i % 2 else 'garden'}{i}.net/a", i % 2) for i in range(300)]
+    first = url_rows(spark, named).orderBy(F.xxhash64("url")).first()
+    rows = url_rows(spark, named + [(first.url, first.blocked)] * 400)
+    once, often = (urls.fit_urls(r, 200).blocked([("http://ads-7.net/a", "ads-7.net", "/a"), ("http://garden8.net/a", "garden8.net", "/a")]) for r in (url_rows(spark, named), rows))
+    for p in (once, often):
+        assert p[0] > 0.5 > p[1]
+
+
+def test_suffixes_count_all_rows(spark):
+    """A suffix that the sample lacks is judged by all its labelled pages."""
+    # Suffixes of the same letters and the same number of rows differ by their labels only.
+    names = ["abcd", "abdc", "acbd", "acdb", "adbc", "adcb", "bacd", "badc"]
+    hashed = lambda s: sorted(((r.h, r.url) for r in url_rows(spark, [(f"http://h{i:04d}.{s}/", 0) for i in range(2000)]).select("url", F.xxhash64("url").alias("h")).collect()))
+    named = [(u, int(s == "badc")) for s in names for _, u in hashed(s)[:25]]
+    named += [(u, 0) for _, u in hashed("dcba")[-60:]]
+    rows = url_rows(spark, named)
+    assert not any(".dcba" in r.url for r in rows.orderBy(F.xxhash64("url")).limit(150).collect())
+    pages = rows.select(F.monotonically_increasing_id().alias("page_id"), "url")
+    got = urls.judge_urls(pages, rules=(), model=urls.fit_urls(rows, 150)).where("host like '%.dcba'").collect()
+    assert len(got) == 60 and all(r.verdict == "allow" for r in got)
+
+
 def test_toxicity_held_out(spark, edge, nothing):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
