@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from covshare.llm.words import Words, blocks, find_words
 from covshare.llm.workers import short_batches
+from covshare.sources.scratch import stored
 
 BUCKETS = 1 << 20
 #: Whole words and their first bytes, which inflected forms share.
@@ -143,16 +144,26 @@ def chain_probabilities(models: list[Linear], doc: np.ndarray, bucket: np.ndarra
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text, labels) as (id, distinct buckets as 32-bit bytes, labels)."""
+    """(id, text, labels) as (id, distinct buckets, labels)."""
     for batch in batches:
         for part, data, offsets in blocks(batch):
             words = find_words(data, offsets)
             doc, bucket = _distinct(*_features(words))
-            bounds = np.searchsorted(doc, np.arange(words.n_docs + 1))
-            packed = [bucket[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(packed, pa.binary()), part.column(2)], ["id", "buckets", "labels"]
-            )
+            bounds = np.searchsorted(doc, np.arange(words.n_docs + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(bucket.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, part.column(2)], ["id", "buckets", "labels"])
+
+
+def _useful_only(batches: Iterator[pa.RecordBatch], keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(id, buckets, labels) as (id, kept buckets as 32-bit bytes, labels)."""
+    for batch in batches:
+        packed = []
+        for buckets in batch.column(1):
+            own = buckets.values.to_numpy()
+            packed.append(own[keep[own]].astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["id", "buckets", "labels"]
+        )
 
 
 def _judged(batches: Iterator[pa.RecordBatch], models: list[Linear], names: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -180,7 +191,8 @@ def fit_toxicity(
 
     At most `most_rows` labelled documents are used, chosen by a hash of the id.
     Of a document with several label rows one is used for each category: true
-    if any is. Texts stay on the executors; hashed features come to the driver.
+    if any is; of several texts with one id one is used. Texts and features stay on
+    the executors; those features come to the driver that tell the classes apart.
     """
     short_batches(docs.sparkSession)
     names = list(categories)
@@ -195,24 +207,35 @@ def fit_toxicity(
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     sample = texts.join(F.broadcast(ids), "id").select("id", "text", "labels")  # most_rows bounds what is broadcast
-    rows = sample.mapInArrow(_sample_features, "id long, buckets binary, labels array<int>").collect()
-    rows.sort(key=lambda r: (r.id, len(r.buckets)))  # whatever the order in which tasks end
-    rows = rows[:most_rows]
-    targets = np.asarray([r.labels for r in rows], float).reshape(-1, len(names))
-    # Features that can't be chosen go before all are laid side by side.
-    present, with_y = np.zeros(BUCKETS), np.zeros((len(names), BUCKETS))
-    for r, y in zip(rows, targets, strict=True):
-        buckets = np.frombuffer(r.buckets, "<u4")
-        present[buckets] += 1
-        for i in np.flatnonzero(y):
-            with_y[i, buckets] += 1
+    features = stored(
+        sample.mapInArrow(_sample_features, "id long, buckets array<int>, labels array<int>")
+        .groupBy("id", "labels")
+        .agg(F.min("buckets").alias("buckets"))
+        .select("id", "buckets", "labels"),
+        "features",
+    )
+    # Features that can't be chosen go before anything is collected: of the others
+    # there are BUCKETS at most, whatever the texts' length.
+    sums = [F.sum(F.col("labels")[i]).alias(f"c{i}") for i in range(len(names))]
+    n, *positives = features.agg(F.count(F.lit(1)), *sums).first()
+    counts = (
+        features.select(F.explode("buckets").alias("bucket"), "labels")
+        .groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("present"), *sums)
+        .where("present > 2")  # what _scores asks for
+        .toArrow()
+    )
+    bucket, present = counts.column("bucket").to_numpy(), counts.column("present").to_numpy()
     keep = np.zeros(BUCKETS, bool)
-    for counts, positive in zip(with_y, targets.sum(axis=0), strict=True):
-        keep |= _scores(present, counts, len(rows), positive) >= LEAST_SCORE / 2
-    sets = []
-    for r in rows:
-        buckets = np.frombuffer(r.buckets, "<u4")
-        sets.append(buckets[keep[buckets]].astype(np.int64))
+    for i, positive in enumerate(positives):
+        if len(bucket):
+            keep[bucket] |= _scores(present, counts.column(f"c{i}").to_numpy(), n, float(positive)) >= LEAST_SCORE / 2
+    rows = features.mapInArrow(
+        lambda batches: _useful_only(batches, keep), "id long, buckets binary, labels array<int>"
+    ).collect()
+    rows.sort(key=lambda r: r.id)  # whatever the order in which tasks end
+    targets = np.asarray([r.labels for r in rows], float).reshape(-1, len(names))
+    sets = [np.frombuffer(r.buckets, "<u4").astype(np.int64) for r in rows]
     del rows
     doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     bucket = np.concatenate(sets) if sets else np.zeros(0, np.int64)

@@ -212,6 +212,18 @@ def test_toxicity_held_out(spark, edge, nothing):
     assert toxicity.toxic_documents(nothing, labels.limit(0)).count() == 0
 
 
+def test_toxicity_sample_with_repeated_ids(spark):
+    """Copies of one sampled document do not push the others out of the sample."""
+    rows = [(i, f"a b {'vile' if i % 2 else 'kind'} c") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id LONG, toxic INT")
+    once, often = (
+        toxicity.fit_toxicity(table(spark, r), labels, {"toxic": "toxic = 1"}, most_rows=200)
+        for r in (rows, rows + rows[:1] * 600)
+    )
+    assert len(once[0].buckets) > 0
+    assert once[0].bias == often[0].bias and list(once[0].weights) == list(often[0].weights)
+
+
 @pytest.mark.parametrize("operator", [lambda d: packing.pack(d, WORDS), lambda d: pieces.encode_digests(d, PIECES)])
 def test_empty(nothing, operator):
     assert operator(nothing).count() == 0
