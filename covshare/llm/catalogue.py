@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covshare.llm import exact_dedup, licences, minhash, packing, pieces, ppm, quality, repeats, toxicity, urls
+from covshare.llm import (
+    exact_dedup,
+    licences,
+    minhash,
+    packing,
+    pieces,
+    ppm,
+    quality,
+    repeats,
+    spelling,
+    toxicity,
+    urls,
+)
 from covshare.llm.workers import importable
 
 
@@ -70,6 +82,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -82,4 +98,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_repeats": op9_repeats,
         "op10_licences": op10_licences,
+        "op13_spelling": op13_spelling,
     }
