@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from covshare.llm import (
     exact_dedup,
+    lexical,
     licences,
     minhash,
     packing,
@@ -82,6 +83,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -98,5 +103,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_repeats": op9_repeats,
         "op10_licences": op10_licences,
+        "op11_lexical": op11_lexical,
         "op13_spelling": op13_spelling,
     }

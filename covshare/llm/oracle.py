@@ -44,8 +44,36 @@ FROM found
 """
 
 
+_TERMS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(_LOWER)
+
+_LEXICAL = f"""
+WITH tokens AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+factors AS (SELECT doc_id, 25 + (75 * n * n_docs) // n_terms AS m FROM lengths, totals),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+held AS (
+  SELECT doc_id, term, count(*) AS tf FROM tokens SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id,
+         CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN factors USING (doc_id)
+  GROUP BY item_id, doc_id HAVING score > 0)
+SELECT item_id,
+       CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op5_exact_dedup": _EXACT_DEDUP,
         "op10_licences": _licences(),
+        "op11_lexical": _LEXICAL,
     }

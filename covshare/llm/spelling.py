@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from covshare.llm.runs import runs
 from covshare.llm.workers import short_batches
 from covshare.operators.joins import split_join
 from covshare.sources.scratch import stored
@@ -37,7 +38,6 @@ LEAST_COUNT = 3
 SLIP_EVERY = 97
 _WORDS_IN_INDEX = 40_000
 _MOST_WORDS = 400_000  # held in a task before counts are handed on
-_PIECE_BYTES = 4 << 20  # of a text that is split into words at once
 
 # Latin-1 bytes: letters as they are with A-Z lower-cased, all others a blank.
 _LETTERS = [*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)]
@@ -48,20 +48,6 @@ _BITS = 7
 _PACKED = 9  # codes of _BITS bits in a sort key
 
 
-def _runs(text: str | None) -> Iterator[list[bytes]]:
-    """Lower-cased runs of letters as Latin-1 bytes, some MB of text at a time."""
-    # What Latin-1 lacks becomes a question mark, which is no letter either.
-    data = (text or "").encode("latin-1", "replace").translate(_RUNS)
-    at = 0
-    while at < len(data):
-        end = at + _PIECE_BYTES
-        if end < len(data):
-            cut = data.rfind(b" ", at, end)
-            end = cut if cut > at else (data.find(b" ", end) + 1 or len(data) + 1) - 1
-        yield data[at:end].split()
-        at = end
-
-
 def _utf8(word: bytes) -> bytes:
     return word if word.isascii() else word.decode("latin-1").encode()
 
@@ -80,11 +66,12 @@ def _count_words(batches: Iterator[pa.RecordBatch], slip_every: int, least_lengt
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             before = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-            for runs in _runs(text.as_py()):
-                counts.update(runs)
-                slips = {w for w in set(runs) if zlib.crc32(_utf8(w), before) % slip_every == 0} if slip_every else ()
+            # What Latin-1 lacks becomes a question mark, which is no letter either.
+            for found in runs((text.as_py() or "").encode("latin-1", "replace"), _RUNS):
+                counts.update(found)
+                slips = {w for w in set(found) if zlib.crc32(_utf8(w), before) % slip_every == 0} if slip_every else ()
                 if slips:
-                    for w, n in Counter(filter(slips.__contains__, runs)).items():
+                    for w, n in Counter(filter(slips.__contains__, found)).items():
                         place = zlib.crc32(_utf8(w), before) % len(w)
                         counts[w] -= n
                         counts[w[:place] + w[place + 1 :]] += n
