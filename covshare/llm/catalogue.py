@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from covshare.llm import (
+    configurations,
     exact_dedup,
     lexical,
     licences,
@@ -87,6 +88,10 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return configurations.pack_few(_table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -104,5 +109,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_repeats": op9_repeats,
         "op10_licences": op10_licences,
         "op11_lexical": op11_lexical,
+        "op12_best_fit": op12_best_fit,
         "op13_spelling": op13_spelling,
     }
