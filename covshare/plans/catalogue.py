@@ -131,6 +131,22 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("src_unnamed_column")
+def _(t: Inputs) -> DataFrame:
+    """Files as other writers leave them: some with an index column that has no name,
+    some without it and in another order."""
+    path = scratch_path(t.spark, "block-population-indexed")
+    own = {ours: theirs for theirs, ours in schemas.BLOCK_POPULATION_NAMES.items()}
+    named = t.block_pop_raw.withColumnsRenamed(own)
+    indexed = named.where("block_fips % 2 = 0").select((F.col("block_fips") % 1000).alias(""), *named.columns)
+    sinks.write_csv(indexed, path)
+    named.where("block_fips % 2 <> 0").select(*reversed(named.columns)).write.mode("append").csv(path, header=True)
+    table = readers.read_block_population(t.spark, path)
+    return table.withColumnRenamed("Unnamed: 0", "own_index").withColumn(
+        "block_code", keys.block_text(F.col("block_code"))
+    )
+
+
 @query("src_extra_columns")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "county-names-extra")

@@ -578,6 +578,10 @@ def oracle_queries() -> dict[str, str]:
         "src_reordered": _query(
             f"SELECT {_BLOCK} AS block_code, gl_pop, gl_housing_units, gl_households FROM block_pop_raw"
         ),
+        "src_unnamed_column": _query(
+            f"SELECT {_BLOCK} AS block_code, gl_pop, gl_housing_units, gl_households, "
+            "CASE WHEN block_code % 2 = 0 THEN CAST(block_code % 1000 AS VARCHAR) END AS own_index FROM block_pop_raw"
+        ),
         "src_extra_columns": _query(
             "SELECT state_fp, county_fp, county_name, 'H1' AS class_code, "
             "concat('S', CAST(state_fp AS VARCHAR)) AS state_name FROM county_names_raw"

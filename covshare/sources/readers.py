@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 from covshare.functions.keys import compose_county
 from covshare.sources import schemas
+from covshare.sources.headers import header_groups
 
 
 def read_table(
@@ -23,21 +25,27 @@ def read_table(
     """A CSV with a header line; its columns are found by name.
 
     Those that ``schema`` names are typed, renamed and come first; whatever else
-    the file has is carried along as text. A name that the header lacks is an
-    error, and so is a file of a folder whose header differs.
+    the file has is carried along as text under the names of
+    :meth:`~covshare.sources.headers.Group.names`. The files of a folder may have
+    other orders and other further columns, which are null where a file lacks
+    them; a name of ``schema`` that a file lacks is an error.
     """
-    options = {"header": True, "sep": delimiter, "encoding": encoding}
-    header = spark.read.csv(path, **options).columns
     declared = {field.name: field for field in StructType.fromDDL(schema)}
-    missing = [name for name in declared if name not in header]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    in_file_order = StructType([declared.get(c, StructField(c, StringType())) for c in header])
-    table = spark.read.csv(
-        path, schema=in_file_order, enforceSchema=False, mode="FAILFAST", **options
-    )
-    carried = [c for c in header if c not in declared]
-    return table.select(*[F.col(f"`{c}`") for c in (*declared, *carried)]).withColumnsRenamed(names or {})
+    found = None
+    for group in header_groups(spark, path, delimiter, encoding):
+        missing = [name for name in declared if name not in group.header]
+        if missing:
+            raise ValueError(f"{group.files[0]} has no column {', '.join(missing)}")
+        columns = group.names(declared)
+        in_file_order = StructType([declared.get(c, StructField(c, StringType())) for c in columns])
+        table = spark.read.csv(
+            group.files, schema=in_file_order, header=True, enforceSchema=True,
+            sep=delimiter, encoding=encoding, mode="FAILFAST",
+        )
+        carried = [c for c in columns if c not in declared]
+        table = table.select(*[F.col(f"`{c}`") for c in (*declared, *carried)])
+        found = table if found is None else found.unionByName(table, allowMissingColumns=True)
+    return found.withColumnsRenamed(names or {})
 
 
 def read_by_position(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -87,14 +95,21 @@ def read_payload(
     stay text. These tables have a row per county at most, so looking at all
     values first costs little.
     """
-    table = spark.read.csv(path, header=True, encoding=schemas.WESTERN)
-    looked_at = spark.read.csv(path, header=True, encoding=schemas.WESTERN, inferSchema=True)
-    numbers = {f.name for f in looked_at.schema if isinstance(f.dataType, NumericType)}
-    found = F.col(own_key or key)
+    read, numbers, text = [], set(), set()
+    for group in header_groups(spark, path, ",", schemas.WESTERN):
+        columns = group.names([own_key or key])
+        options = {"header": True, "encoding": schemas.WESTERN}
+        in_file_order = StructType([StructField(c, StringType()) for c in columns])
+        read.append(spark.read.csv(group.files, schema=in_file_order, enforceSchema=True, **options))
+        looked_at = spark.read.csv(group.files, inferSchema=True, **options).schema
+        for name, field in zip(columns, looked_at, strict=True):
+            (numbers if isinstance(field.dataType, NumericType) else text).add(name)
+    table = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), read)
+    found = F.col(f"`{own_key or key}`")
     payload = [c for c in table.columns if c != (own_key or key)]
     return table.select(
         found.cast("bigint").alias(key) if own_key else found,
-        *[F.col(f"`{c}`").cast("double" if c in numbers else "string").alias(c) for c in payload],
+        *[F.col(f"`{c}`").cast("double" if c in numbers - text else "string").alias(c) for c in payload],
     )
 
 

@@ -1,5 +1,7 @@
 """Readers, writers and the scratch folder."""
 
+import gzip
+
 import pytest
 
 from covshare.sources import readers, schemas, sinks
@@ -39,11 +41,45 @@ def test_columns_are_found_by_name(spark, tmp_path):
         readers.read_county_population(spark, write(tmp_path / "c.csv", "county,CountyPop\n1,2\n"))
 
 
-def test_files_of_a_folder_must_agree(spark, tmp_path):
+def test_files_of_a_folder_in_other_orders(spark, tmp_path):
     write(tmp_path / "a.csv", "countyFIPS,CountyPop\n1001,5\n")
-    write(tmp_path / "b.csv", "CountyPop,countyFIPS\n5,1003\n")
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        readers.read_county_population(spark, str(tmp_path)).collect()
+    write(tmp_path / "b.csv", "CountyPop,note,countyFIPS\n6,x,1003\n")
+    write(tmp_path / "c {1}*.csv", "\nCountyPop,countyFIPS\n7,1005\n")
+    write(tmp_path / "empty.csv", "")
+    frame = readers.read_county_population(spark, str(tmp_path))
+    assert frame.columns == ["county_fips", "county_pop", "note"]
+    assert sorted(map(tuple, frame.collect())) == [(1001, 5, None), (1003, 6, "x"), (1005, 7, None)]
+    write(tmp_path / "d.csv", "CountyPop,county\n7,1005\n")
+    with pytest.raises(ValueError, match="d.csv has no column countyFIPS"):
+        readers.read_county_population(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no header"):
+        readers.read_county_population(spark, write(tmp_path / "none.csv", "\n"))
+
+
+def test_unnamed_and_repeated_names(spark, tmp_path):
+    text = ",countyFIPS,note,COUNTYFIPS,,CountyPop,note,countyFIPS,Note,note.1\n0,1001,a,9,b,5,c,8,d,e\n"
+    frame = readers.read_county_population(spark, write(tmp_path / "t.csv", text))
+    assert frame.columns == [
+        "county_fips", "county_pop", "Unnamed: 0", "note", "COUNTYFIPS.1", "Unnamed: 4", "note.1", "countyFIPS.2", "Note.2", "note.1.1",
+    ]
+    assert tuple(frame.first()) == (1001, 5, "0", "a", "9", "b", "c", "8", "d", "e")
+    assert frame.select("county_pop").where("county_fips = 1001").first()[0] == 5
+
+
+def test_marked_quoted_and_packed_headers(spark, tmp_path):
+    marked = write(tmp_path / "bom.csv", '\ufeff"countyFIPS","Pop, all",CountyPop\n1001,2,5\n')
+    assert readers.read_county_population(spark, marked).columns == ["county_fips", "county_pop", "Pop, all"]
+    with gzip.open(tmp_path / "t.csv.gz", "wt") as file:
+        file.write(",countyFIPS,CountyPop\n0,1001,5\n")
+    assert tuple(readers.read_county_population(spark, str(tmp_path / "t.csv.gz")).first()) == (1001, 5, "0")
+
+
+def test_payload_files_are_united_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", ",stateFIPS,share,code\n0,1,2.5,7\n")
+    write(tmp_path / "b.csv", "code,share,stateFIPS\nx,3,2\n")
+    frame = readers.read_payload(spark, str(tmp_path), "state_fips", "stateFIPS")
+    assert frame.columns == ["state_fips", "Unnamed: 0", "share", "code"]
+    assert sorted(map(tuple, frame.collect())) == [(1, 0.0, 2.5, "7"), (2, None, 3.0, "x")]
 
 
 def test_names_carry_other_columns(spark, tmp_path):
