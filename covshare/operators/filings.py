@@ -107,13 +107,16 @@ def filings_with_denominators(
 
 
 def enrich(
-    filings: DataFrame, block_pop: DataFrame, denominators: DataFrame
+    filings: DataFrame, block_pop: DataFrame, denominators: DataFrame, join=split_join
 ) -> DataFrame:
-    """Filings of populated blocks in known counties, with the block's shares."""
+    """Filings of populated blocks in known counties, with the block's shares.
+
+    ``join`` says how filings meet the table of blocks.
+    """
     people = populations(block_pop.where(POPULATED)).withColumn(
         "county_fips", county_of_block(F.col("block_code"))
     )
     known = people.join(denominators, "county_fips").drop("county_fips")
-    return split_join(filings.drop("state_fips"), known, "block_code").selectExpr(
+    return join(filings.drop("state_fips"), known, "block_code").selectExpr(
         "*", *shares_of_block()
     )

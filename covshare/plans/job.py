@@ -75,18 +75,32 @@ def run(
     mode: str = AS_WRITTEN,
     truncate_speeds: bool = False,
 ) -> list[str]:
-    """Write every table below ``out`` and return their paths."""
-    report = CountyReport(read_sources(spark, paths), mode, truncate_speeds)
+    """Publish every table below ``out`` and return where this run wrote them.
+
+    The raw filings are scanned once. What the run stores on the way is removed at
+    its end; if it fails, so is what it has written, and the tables that were
+    published before stay.
+    """
+    publication = sinks.Publication(spark, out)
+    report = CountyReport(read_sources(spark, paths), mode, truncate_speeds, staged=True)
     written = []
-    for name, table in published_tables(report):
-        path = f"{out.rstrip('/')}/{name}"
-        if name in LARGE:
-            if "state_fips" not in table.columns:
-                table = table.withColumn("state_fips", state_of_block(F.col("block_code")))
-            sinks.write_parquet(table, path, "state_fips")
-        else:
-            sinks.write_report(table, path)
-        written.append(path)
+    try:
+        for name, table in published_tables(report):
+            if name in LARGE:
+                path = publication.path(name, "parquet")
+                if "state_fips" not in table.columns:
+                    table = table.withColumn("state_fips", state_of_block(F.col("block_code")))
+                sinks.write_parquet(table, path, "state_fips")
+            else:
+                path = publication.path(name)
+                sinks.write_report(table, path)
+            written.append(path)
+        publication.commit()
+    except BaseException:
+        publication.abandon()
+        raise
+    finally:
+        report.close()
     return written
 
 

@@ -4,6 +4,7 @@ All measures come from one table of whole-number sums per county. The filings
 are read for it once, and once more for the providers per county. Both results
 are stored in the shared folder as soon as a step is asked for, so nothing
 reads the filings again; everything after that works on one row per county.
+Whoever publishes the tables of filings and blocks too has them staged first.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ from covshare.operators.filings import (
     shares_of_block,
 )
 from covshare.operators.shares import county_sums, roll_up
-from covshare.sources.scratch import stored
+from covshare.sources.scratch import discard, stored
+from covshare.sources.staging import stage, unstaged
 
 BLOCK_KEYS = ("block_code", "county_fips", "state_fips")
 BLOCK_SHARES = (
@@ -82,18 +84,29 @@ class CountyReport:
     """The report in the steps it is published in; each step adds columns."""
 
     def __init__(
-        self, sources: Sources, mode: str = AS_WRITTEN, truncate_speeds: bool = False
+        self,
+        sources: Sources,
+        mode: str = AS_WRITTEN,
+        truncate_speeds: bool = False,
+        staged: bool = False,
     ):
         if mode not in (AS_WRITTEN, INTENDED):
             raise ValueError(f"mode must be {AS_WRITTEN!r} or {INTENDED!r}: {mode!r}")
         self.sources = sources
         self.mode = mode
-        self.filings = prepare_filings(sources.deployment, truncate_speeds)
+        filings = prepare_filings(sources.deployment, truncate_speeds)
+        self.filings = stage(filings) if staged else unstaged(filings)
         self.denominators = geography.denominators(sources.county_pop)
         self._stored: dict[object, DataFrame] = {}
 
     # -- stored tables -------------------------------------------------------
 
+    def close(self) -> None:
+        """Remove what the report has stored; its tables can't be computed afterwards."""
+        discard(*self._stored.values())
+        self._stored.clear()
+        self.filings.close()
+
     def _measures(self, with_tiers: bool, with_providers: bool) -> dict[str, str]:
         """Conditions on blocks whose population each county adds up."""
         served = {}
@@ -116,7 +129,9 @@ class CountyReport:
             if known in self._stored:
                 return self._stored[known]
         profile = block_profile if with_providers else block_speeds
-        blocks = populated_blocks(profile(self.filings), self.sources.block_pop)
+        blocks = self.filings.by_part(
+            lambda part: populated_blocks(profile(part.filings), self.sources.block_pop)
+        )
         if with_tiers:
             blocks = tiers.with_tiers(blocks)
         if with_providers:
@@ -132,7 +147,7 @@ class CountyReport:
 
     def _provider_counts(self) -> DataFrame:
         if "counts" not in self._stored:
-            found = providers.county_providers(self.filings)
+            found = providers.county_providers(self.filings.whole())
             self._stored["counts"] = stored(
                 providers.provider_counts_all(found), "provider-counts"
             )
@@ -373,17 +388,23 @@ class CountyReport:
     def consumer_filings(self) -> DataFrame:
         """Consumer filings of populated blocks with the shares of their block."""
         s = self.sources
-        known = enrich(self.filings.where(CONSUMER), s.block_pop, self.denominators)
+        known = self.filings.by_part(
+            lambda part: enrich(
+                part.filings.where(CONSUMER), s.block_pop, self.denominators, part.join
+            )
+        )
         return known.select(*BLOCK_KEYS, "max_down", "max_up", *BLOCK_SHARES)
 
     def all_block_providers(self) -> DataFrame:
         """Provider counts of every block with filings of a class, without regard to
         population."""
-        return block_providers(self.filings)
+        return self.filings.by_part(lambda part: block_providers(part.filings))
 
     def block_providers(self) -> DataFrame:
         """Provider counts of the blocks with consumer filings, and their shares."""
-        counted = providers.counted_blocks(self.filings, self.sources.block_pop)
+        counted = self.filings.by_part(
+            lambda part: providers.counted_blocks(part.filings, self.sources.block_pop)
+        )
         known = counted.drop("state_fips").join(self.denominators, "county_fips")
         counts = [f"coalesce({k.column}, 0) AS {k.column}" for k in CLASSES]
         return known.selectExpr("*", *shares_of_block()).selectExpr(

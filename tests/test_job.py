@@ -1,12 +1,14 @@
 """Source files in, published tables out."""
 
+import os
+
 import pytest
 from conftest import block
 
 from covshare.layout import INTENDED
 from covshare.plans import job
 from covshare.plans.report import CountyReport
-from covshare.sources import schemas
+from covshare.sources import schemas, scratch, sinks, staging
 
 A, B = 1001, 1003
 
@@ -56,16 +58,16 @@ def paths(tmp_path):
 def test_every_table_is_written(spark, paths, tmp_path):
     written = job.run(spark, paths, str(tmp_path / "out"))
     assert len(written) == 5 + 3 * 4 + 3
-    report = spark.read.csv(f"{tmp_path}/out/county_report", header=True).collect()
+    report = sinks.read_published(spark, f"{tmp_path}/out", "county_report").collect()
     by_county = {r["countyFIPS"]: r for r in report}
     assert set(by_county) == {str(A), str(B), "9001"}
     assert float(by_county[str(A)]["pctpopwBBacc_county"]) == 50.0
     assert by_county[str(A)]["rural share"] == "12.5"
-    tiers = spark.read.csv(f"{tmp_path}/out/tiers_dl_state", header=True).first()
+    tiers = sinks.read_published(spark, f"{tmp_path}/out", "tiers_dl_state").first()
     assert float(tiers["pctDSGt100000kAndLt1Gig_hi_s"]) == pytest.approx(100 * 20 / 130)
-    filings = spark.read.parquet(f"{tmp_path}/out/consumer_filings")
+    filings = sinks.read_published(spark, f"{tmp_path}/out/", "consumer_filings")
     assert filings.count() == 5 and "state_fips" in filings.columns
-    assert spark.read.parquet(f"{tmp_path}/out/all_block_providers").count() == 5
+    assert sinks.read_published(spark, f"{tmp_path}/out", "all_block_providers").count() == 5
 
 
 def test_tables_agree_with_the_report(spark, paths):
@@ -92,5 +94,110 @@ def test_steps_share_the_stored_sums(spark, paths):
 def test_command_line(spark, paths, tmp_path):
     flags = [x for name, path in paths.items() for x in (f"--{name.replace('_', '-')}", path)]
     job.main([*flags, "--out", str(tmp_path / "out"), "--mode", INTENDED, "--truncate-speeds"])
-    access = spark.read.csv(f"{tmp_path}/out/county_access", header=True)
+    access = sinks.read_published(spark, f"{tmp_path}/out", "county_access")
     assert access.count() == 2
+
+
+def test_raw_filings_are_scanned_once(spark, paths, tmp_path, monkeypatch):
+    """The raw file is gone after the first thing that reads it."""
+    scans = []
+
+    def landed(table, label):
+        if label == "landed-filings":
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            scans.append(plan.count("FileScan csv"))
+        back = stored(table, label)
+        if label == "landed-filings":
+            os.remove(paths["deployment"])
+        return back
+
+    stored = staging.stored
+    monkeypatch.setattr(staging, "stored", landed)
+    assert len(job.run(spark, paths, str(tmp_path / "out"))) == 5 + 3 * 4 + 3
+    assert scans == [1]
+
+
+def leftovers(folder):
+    return sorted(f for f in os.listdir(folder) if f.startswith("covshare-"))
+
+
+def test_nothing_stored_is_left(spark, paths, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    monkeypatch.setattr(scratch.tempfile, "mkdtemp", lambda prefix: str(shared))
+    job.run(spark, paths, str(tmp_path / "out"))
+    assert leftovers(shared) == [] and not spark.catalog.listTables()
+    monkeypatch.setattr(CountyReport, "block_providers", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        job.run(spark, paths, str(tmp_path / "out"))
+    assert leftovers(shared) == [] and not spark.catalog.listTables()
+
+
+def test_a_failed_run_leaves_the_old_tables(spark, paths, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    job.run(spark, paths, out)
+    before = sorted(map(tuple, sinks.read_published(spark, out, "provider_counts_county").collect()))
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks.Publication, "abandon", lambda self: None)  # as if killed
+        patch.setattr(CountyReport, "consumer_filings", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run(spark, paths, out, INTENDED)
+    assert len(os.listdir(f"{out}/runs")) == 2
+    assert sorted(map(tuple, sinks.read_published(spark, out, "provider_counts_county").collect())) == before
+    reader = sinks.read_published(spark, out, "county_access")
+    job.run(spark, paths, out, INTENDED)
+    assert reader.count() == 2  # the run before stays for those that read it
+    assert len(os.listdir(f"{out}/runs")) == 2
+    with pytest.raises(ValueError, match="no published table"):
+        sinks.read_published(spark, out, "other")
+
+
+def test_files_by_state_are_few(spark, tmp_path):
+    """However many tasks hold rows of a state, and also for one with most of them."""
+    rows = spark.range(0, 20_000, 1, 40).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE int(id % 7) END AS state_fips", "id", "uuid() AS text"
+    )
+    path = str(tmp_path / "rows")
+    sinks.write_parquet(rows, path, "state_fips")
+    assert spark.read.parquet(path).count() == 20_000
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 7
+
+
+BLOCKS = "block_code LONG, hoco_num LONG, dba_name STRING, consumer INT, business INT, max_down DOUBLE, max_up DOUBLE"
+
+
+@pytest.fixture
+def with_a_heavy_block(spark):
+    rows = [(block(A, n % 60), n % 9, "p", 1, n % 2, n % 120.0, n % 7.0) for n in range(400)]
+    rows += [(block(A, 7), n % 30, "p", 1, 1, 1.0 * n, 3.0) for n in range(300)] + [(None, 1, "p", 1, 1, 1.0, 1.0)] * 5
+    return spark.createDataFrame(rows, BLOCKS).repartition(6)
+
+
+def test_staged_blocks_need_no_shuffle(spark, with_a_heavy_block):
+    staged = staging.stage(with_a_heavy_block, buckets=8)
+    try:
+        ordinary, heavy = staged.parts
+        assert {r[0] for r in heavy.filings.select("block_code").distinct().collect()} == {block(A, 7), None}
+        assert staged.whole().count() == 705
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        per_block = ordinary.filings.groupBy("block_code").agg({"max_down": "max"})
+        assert "Exchange" not in per_block._jdf.queryExecution().executedPlan().toString()
+        people = spark.range(60).selectExpr(f"{block(A, 0)} + id AS block_code", "id AS gl_pop")
+        joined = ordinary.join(ordinary.filings, people, "block_code")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(block_code") == 1  # of the other side
+        one = heavy.join(heavy.filings, people, "block_code")
+        assert one.count() + joined.count() == 700
+        assert "BroadcastHashJoin" in one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        staged.close()
+
+
+def test_staged_report_is_the_same(spark, paths, tmp_path):
+    plain = CountyReport(job.read_sources(spark, paths), INTENDED)
+    staged = CountyReport(job.read_sources(spark, paths), INTENDED, staged=True)
+    for (name, one), (_, other) in zip(job.published_tables(plain), job.published_tables(staged)):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), name
+    staged.close()
