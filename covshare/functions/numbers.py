@@ -6,6 +6,12 @@ one expression crosses from Python to the JVM per column, not one per operator.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType, StructField
+
 # The smallest double above zero.
 SMALLEST = "4.9E-324D"
 
@@ -39,3 +45,16 @@ def any_true(condition: str) -> str:
 
 def total(names: list[str]) -> str:
     return f"({' + '.join(names)})"
+
+
+def fill_missing(table: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """0 for every null of the columns, all if none are named; "0" where they hold text."""
+    wanted = set(table.columns if columns is None else columns)
+
+    def filled(field: StructField) -> Column:
+        own = F.col(f"`{field.name}`")
+        if field.name in wanted and isinstance(field.dataType, (NumericType, StringType)):
+            own = F.coalesce(own, F.lit(0).cast(field.dataType))
+        return own.alias(field.name)
+
+    return table.select(*[filled(field) for field in table.schema])

@@ -7,6 +7,8 @@ shuffle as one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from covshare.operators.filings import (
     POPULATED,
     populations,
 )
+from covshare.operators.joins import split_join
 
 # What a block is flagged with if any of its filings meets the condition. The
 # flags travel through the shuffles as bits of one number per group; they are
@@ -141,12 +144,52 @@ def top_speed(filings: DataFrame, speed: str, top: str) -> DataFrame:
     return _with_geography(best)
 
 
-def speed_tier(speed: Column, tiers=SPEED_TIERS) -> Column:
-    """Position of the tier a speed falls into; null below zero."""
-    tier = F.when(speed >= tiers[-1][1], len(tiers) - 1)
-    for position in range(len(tiers) - 2, 1, -1):
-        tier = tier.when(speed >= tiers[position][1], position)
-    return tier.when(speed > 0, 1).when(speed == 0, 0)
+def filings_at_top(filings: DataFrame, speed: str) -> DataFrame:
+    """The consumer filings that reach their block's highest speed, all tied ones.
+
+    The maximum is one row per block, found in two steps, and the filings meet it
+    in a join that can split a block; a window would bring a block into one task.
+    Filings without a block are left out.
+    """
+    served = filings.where(CONSUMER)
+    best = served.groupBy("block_code").agg(F.max(speed).alias("_top"))
+    return split_join(served, best, "block_code").where(F.col(speed) == F.col("_top")).drop("_top")
+
+
+def checked_edges(edges: Sequence[tuple[str, float]]) -> tuple[tuple[str, float], ...]:
+    """Tiers as (name, floor) if they make sense: floors ascend, no three are equal,
+    names are distinct."""
+    floors, names = [floor for _, floor in edges], [name for name, _ in edges]
+    rising = all(a <= b for a, b in zip(floors, floors[1:])) and all(
+        a < b for a, b in zip(floors, floors[2:])
+    )
+    if not floors or not rising or len(set(names)) < len(names):
+        raise ValueError(f"tiers need rising floors and distinct names: {edges}")
+    return tuple(edges)
+
+
+def speed_tier(speed: Column, tiers: Sequence[tuple[str, float]] = SPEED_TIERS) -> Column:
+    """Position of the tier a speed falls into; null below the first.
+
+    A tier starts at its floor and ends before the next one. Of two tiers with
+    one floor the first is exactly that speed and the second starts above it.
+    The edges are searched by halves, so a speed meets as many of them as their
+    number has bits.
+    """
+    floors = [floor for _, floor in checked_edges(tiers)]
+
+    def reaches(position: int) -> Column:
+        exact_before = position > 0 and floors[position - 1] == floors[position]
+        return speed > floors[position] if exact_before else speed >= floors[position]
+
+    def within(low: int, high: int) -> Column:
+        """The position if it is one of low to high - 1; -1 stands for below all."""
+        if high - low == 1:
+            return F.lit(low if low >= 0 else None).cast("int")
+        middle = (low + high) // 2
+        return F.when(reaches(middle), within(middle, high)).otherwise(within(low, middle))
+
+    return within(-1, len(floors))
 
 
 def provider_bucket(count: Column, top: int = TOP_BUCKET) -> Column:

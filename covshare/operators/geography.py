@@ -83,7 +83,7 @@ def county_data(county_names: DataFrame, county_housing: DataFrame) -> DataFrame
     names = county_names.select(
         county_number(F.col("state_fp"), F.col("county_fp")).alias("county_fips"),
         F.col("state_fp").alias("state_fips"),
-        *carried,
+        *[F.col(f"`{c}`") for c in carried],
     )
     housing = county_housing.select(
         F.col("county_fips").cast("int").alias("county_fips"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -183,7 +184,7 @@ def bracket_below(
     return f"array_max(filter({steps}, k -> {low} < {level} AND {reached}))"
 
 
-def interpolated(cumulative: str, bracket: str, level: float = MEDIAN_LEVEL) -> str:
+def interpolated(cumulative: str, bracket: str, level: float | str = MEDIAN_LEVEL) -> str:
     """Where the line through a step reaches ``level``; a flat step never does."""
     low, high = f"{cumulative}[{bracket}]", f"{cumulative}[{bracket} + 1]"
     return (
@@ -192,6 +193,55 @@ def interpolated(cumulative: str, bracket: str, level: float = MEDIAN_LEVEL) ->
     )
 
 
+def first_reaching(cumulative: str, size: int, level: float) -> str:
+    """Place of the first entry of an ascending array at or above ``level``, the
+    array's size if there is none; searched by halves."""
+
+    def within(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        return (
+            f"CASE WHEN {cumulative}[{middle}] >= {level} THEN {within(low, middle)} "
+            f"ELSE {within(middle + 1, high)} END"
+        )
+
+    return within(0, size)
+
+
+def quantile_rows(
+    per_county: DataFrame, levels: Sequence[float], mode: str = AS_WRITTEN
+) -> DataFrame:
+    """Interpolated quantiles of the provider count, in long form: level, geo_id,
+    class, quantile, value, bracket.
+
+    All are read off one cumulative array. Like :func:`median_rows` for each level.
+    """
+    size = len(BUCKETS)
+    read = ", ".join(
+        f"struct(double({q}) AS quantile, {first_reaching('cumulative', size, q)} AS first)"
+        for q in levels
+    )
+    found = class_rows(per_county).selectExpr(
+        "level", "geo_id", "class", "cumulative", f"inline(array({read}))"
+    )
+    # As intended, the step that ends there, if there is such a place. As written,
+    # the last step that ends at or below the level.
+    back = f"CASE WHEN first < {size} THEN 1 END"
+    if mode == AS_WRITTEN:
+        reached = f"first < {size} AND cumulative[least(first, {size - 1})] = quantile"
+        back = f"CASE WHEN {reached} THEN 1 ELSE 2 END"
+    bracketed = found.selectExpr("*", f"nullif(greatest(first - ({back}), -1), -1) AS bracket")
+    return bracketed.selectExpr(
+        "level",
+        "geo_id",
+        "class",
+        "quantile",
+        f"{interpolated('cumulative', 'bracket', 'quantile')} AS value",
+        "bracket",
+    )
+
+
 def class_rows(per_county: DataFrame) -> DataFrame:
     """Cumulative and bucket shares in long form, as arrays over the buckets.
 

@@ -11,7 +11,9 @@ from covshare.functions.numbers import percent, total
 from covshare.layout import (
     AS_WRITTEN,
     DIRECTIONS,
+    LEVELS,
     NATION,
+    SPEED_TIERS,
     STATE,
     TIERS,
     Direction,
@@ -19,7 +21,7 @@ from covshare.layout import (
     tier_column,
 )
 from covshare.operators.blocks import populated_blocks, speed_tier, top_speed
-from covshare.operators.shares import population_share
+from covshare.operators.shares import population_share, population_shares
 
 
 def tier_sum(direction: Direction, tier: int) -> str:
@@ -66,6 +68,38 @@ def tier_share(
     )
 
 
+def speed_tier_share(
+    filings: DataFrame,
+    block_pop: DataFrame,
+    denominators: DataFrame,
+    direction: Direction,
+    edges: Sequence[tuple[str, float]] = SPEED_TIERS,
+    levels: Sequence[Level] = LEVELS,
+) -> DataFrame:
+    """Percent of population by the best tier of its block, for any tiers: level,
+    geo_id, tier (position), name, share.
+
+    ``edges`` are tiers as :func:`~covshare.operators.blocks.speed_tier` takes
+    them; a block below the first is in none, but counts in the denominators.
+    """
+    best = top_speed(filings, direction.speed, direction.top_speed)
+    blocks = populated_blocks(best, block_pop).withColumn(
+        direction.tier, speed_tier(F.col(direction.top_speed), edges)
+    )
+    sums = {
+        tier_sum(direction, i): f"{direction.tier} <=> {i}" for i in range(len(edges))
+    }
+    shares = population_shares(blocks, sums, denominators)
+    rows = F.array(
+        *[
+            F.struct(F.lit(i).alias("tier"), F.lit(name).alias("name"), F.col(tier_sum(direction, i)).alias("share"))
+            for i, (name, _) in enumerate(edges)
+        ]
+    )
+    wanted = [level.name for level in levels]
+    return shares.where(F.col("level").isin(wanted)).select("level", "geo_id", F.inline(rows))
+
+
 def tier_shares_of(direction: Direction, level: Level, sums: str = "{}") -> list[str]:
     """Tier shares from the tier sums of a report row."""
     return [

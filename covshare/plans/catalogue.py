@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covshare.functions import keys
+from covshare.functions import keys, numbers
 from covshare.layout import (
     AS_WRITTEN,
     CLASSES,
@@ -29,9 +29,10 @@ from covshare.operators import (
     geography,
     providers,
     shares,
+    sketches,
     tiers,
 )
-from covshare.plans.report import CountyReport, Sources
+from covshare.plans.report import CountyReport, LevelTables, Sources
 from covshare.sources import readers, schemas, sinks
 from covshare.sources.fixtures import Inputs
 from covshare.sources.scratch import scratch_path
@@ -62,7 +63,7 @@ def _enriched(t: Inputs) -> DataFrame:
     )
 
 
-def _report(t: Inputs, mode: str = AS_WRITTEN) -> CountyReport:
+def _report(t: Inputs, mode: str = AS_WRITTEN, **more: LevelTables) -> CountyReport:
     return CountyReport(
         Sources(
             deployment=t.deployment_raw,
@@ -73,6 +74,7 @@ def _report(t: Inputs, mode: str = AS_WRITTEN) -> CountyReport:
             rural_county=t.rural_county_raw,
             rural_state=t.rural_state_raw,
             rural_nation=t.rural_national_raw,
+            **more,
         ),
         mode,
     )
@@ -213,6 +215,20 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("snk_published")
+def _(t: Inputs) -> DataFrame:
+    """Two runs published one after another and a third that fails: the second counts."""
+    out = scratch_path(t.spark, "published")
+    table = geography.counties(t.county_pop_raw).select("county_fips", "state_fips", "county_pop")
+    for rows in (table.where("county_fips % 2 = 0"), table):
+        run = sinks.Publication(t.spark, out)
+        sinks.write_parquet(rows, run.path("counties", "parquet"), "state_fips")
+        run.commit()
+    failed = sinks.Publication(t.spark, out)
+    sinks.write_parquet(table.limit(0), failed.path("counties", "parquet"), "state_fips")
+    return sinks.read_published(t.spark, out, "counties")
+
+
 @query("snk_report")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "report")
@@ -283,6 +299,18 @@ def _(t: Inputs) -> DataFrame:
     return joined.select("block_code", "hoco_num", "gl_pop", "max_down", "max_up")
 
 
+@query("fn_fill_table")
+def _(t: Inputs) -> DataFrame:
+    """Every kind of column with missing values, all filled."""
+    table = geography.county_data(t.county_names_raw, t.county_housing_raw).selectExpr(
+        "county_fips",
+        "CASE WHEN county_fips % 4 <> 1 THEN county_name END AS county_name",
+        "CASE WHEN county_fips % 3 <> 0 THEN population END AS population",
+        "CASE WHEN county_fips % 5 <> 2 THEN double(housing_units) / 2 END AS half_units",
+    )
+    return numbers.fill_missing(table)
+
+
 # -- filters -----------------------------------------------------------------
 
 
@@ -373,6 +401,14 @@ def _top_blocks(t: Inputs, direction: Direction) -> DataFrame:
     return _with_shares(t, tiers.tiered_blocks(_filings(t), t.block_pop_raw, direction))
 
 
+# Tiers besides the published ones: with and without one for exactly a speed, and
+# with speeds below the first.
+OTHER_EDGES = {
+    DIRECTIONS[0]: (("none", 0), ("some", 0), ("ten", 10), ("exactly 24.5", 24.5), ("more", 24.5), ("hundred", 100)),
+    DIRECTIONS[1]: (("one", 1), ("three", 3), ("twenty", 20)),
+}
+
+
 def _register_directions() -> None:
     for direction in DIRECTIONS:
         code = direction.code
@@ -383,6 +419,18 @@ def _register_directions() -> None:
                 "block_code", "county_fips", "state_fips", "gl_pop", d.top_speed
             )
 
+        @query(f"blk_top_filings_{code}")
+        def _(t: Inputs, d: Direction = direction) -> DataFrame:
+            return blocks.filings_at_top(_enriched(t), d.speed).select(
+                "block_code", "county_fips", "hoco_num", "gl_pop", "max_down", "max_up"
+            )
+
+        @query(f"tier_share_{code}_other_edges")
+        def _(t: Inputs, d: Direction = direction) -> DataFrame:
+            return tiers.speed_tier_share(
+                _filings(t), t.block_pop_raw, _denominators(t), d, OTHER_EDGES[d]
+            )
+
         @query(f"tier_blocks_{code}")
         def _(t: Inputs, d: Direction = direction) -> DataFrame:
             tier = F.col(d.tier).alias("tier")
@@ -634,6 +682,35 @@ def _(t: Inputs) -> DataFrame:
     return providers.median_rows(_bucket_sums(t), INTENDED)
 
 
+QUANTILES = (25, 50, 75)
+
+
+@query("prov_quantiles_as_written")
+def _(t: Inputs) -> DataFrame:
+    return providers.quantile_rows(_bucket_sums(t), QUANTILES, AS_WRITTEN)
+
+
+@query("prov_quantiles_intended")
+def _(t: Inputs) -> DataFrame:
+    return providers.quantile_rows(_bucket_sums(t), QUANTILES, INTENDED)
+
+
+@query("opt_provider_sketches")
+def _(t: Inputs) -> DataFrame:
+    """Sketches of half of the filings kept and the other half added, beside the
+    exact counts: three standard errors apart at most."""
+    filings = _filings(t)
+    kept = sketches.block_sketches(filings.where("hoco_num % 2 = 0"))
+    found = sketches.provider_estimates(sketches.add_filings(kept, filings.where("hoco_num % 2 <> 0")))
+    exact = providers.provider_counts_all(providers.county_providers(filings)).select(
+        "level", "geo_id", F.inline(F.array(*[F.struct(F.lit(k.code).alias("class"), F.col(k.code).alias("n")) for k in CLASSES]))
+    )
+    error = 3 * 1.04 / 2 ** (sketches.BITS / 2)
+    return exact.join(found, ["level", "geo_id", "class"]).select(
+        "level", "geo_id", "class", "n", (F.abs(F.col("providers") - F.col("n")) <= F.col("n") * error).alias("close")
+    )
+
+
 # -- the county report -------------------------------------------------------
 
 
@@ -809,18 +886,44 @@ def _(t: Inputs) -> DataFrame:
     return _county_income(t)
 
 
-@query("opt_income_join")
-def _(t: Inputs) -> DataFrame:
-    state_rows = t.income_state_raw.select(
+def _state_income(t: Inputs) -> DataFrame:
+    rows = t.income_state_raw.select(
         "state_code", F.lit("XX").alias("Postal Code"), "poverty", "median_income"
     )
-    state = readers.read_state_income(
-        t.spark, _income_file(t, state_rows, "income-state")
-    )
-    nation = readers.read_national_income(
+    return readers.read_state_income(t.spark, _income_file(t, rows, "income-state"))
+
+
+def _national_income(t: Inputs) -> DataFrame:
+    return readers.read_national_income(
         t.spark, _income_file(t, t.income_national_raw, "income-nation")
     )
-    return enrichment.with_income(_access_rows(t), _county_income(t), state, nation)
+
+
+@query("opt_income_join")
+def _(t: Inputs) -> DataFrame:
+    return enrichment.with_income(
+        _access_rows(t), _county_income(t), _state_income(t), _national_income(t)
+    )
+
+
+def _extended(t: Inputs, mode: str) -> DataFrame:
+    def levels(name: str) -> LevelTables:
+        return LevelTables(*[getattr(t, f"{name}_{place}_raw") for place in ("county", "state", "national")])
+
+    income = LevelTables(_county_income(t), _state_income(t), _national_income(t))
+    return _report(
+        t, mode, adoption=levels("adoption"), progress=levels("progress"), income=income
+    ).extended()
+
+
+@query("rpt_extended")
+def _(t: Inputs) -> DataFrame:
+    return _extended(t, AS_WRITTEN)
+
+
+@query("rpt_extended_intended")
+def _(t: Inputs) -> DataFrame:
+    return _extended(t, INTENDED)
 
 
 def _county_pop_from_blocks(t: Inputs, mode: str) -> DataFrame:

@@ -243,20 +243,20 @@ def _cumulative_long(level) -> str:
     return _query("\nUNION ALL ".join(parts), *_FREQ, _COUNTED, cte)
 
 
-def _step(level, klass, k: int, mode: str) -> tuple[str, str]:
-    """Condition and value of one step of the interpolated median."""
+def _step(level, klass, k: int, mode: str, at: int = 50) -> tuple[str, str]:
+    """Condition and value of one step of the interpolated median, or another quantile."""
     low = cumulative_column(level, klass, k)
     high = cumulative_column(level, klass, k + 1)
-    reached = f"{high} <= 50" if mode == "as_written" else f"{high} >= 50"
+    reached = f"{high} <= {at}" if mode == "as_written" else f"{high} >= {at}"
     value = (
         f"{k} + CASE WHEN {high} - {low} = 0 THEN CAST('inf' AS DOUBLE) "
-        f"ELSE (50 - {low}) / ({high} - {low}) END"
+        f"ELSE ({at} - {low}) / ({high} - {low}) END"
     )
-    return f"{low} < 50 AND {reached}", value
+    return f"{low} < {at} AND {reached}", value
 
 
-def _median_case(level, klass, mode: str) -> tuple[str, str]:
-    steps = [(k, *_step(level, klass, k, mode)) for k in range(TOP_BUCKET)]
+def _median_case(level, klass, mode: str, at: int = 50) -> tuple[str, str]:
+    steps = [(k, *_step(level, klass, k, mode, at)) for k in range(TOP_BUCKET)]
     steps.reverse()
     value = " ".join(f"WHEN {test} THEN {value}" for _, test, value in steps)
     bracket = " ".join(f"WHEN {test} THEN {k}" for k, test, _ in steps)
@@ -277,6 +277,60 @@ def _median_long(mode: str) -> str:
     return _query("\nUNION ALL ".join(parts), *_FREQ, _COUNTED, *ctes)
 
 
+def _quantiles_long(mode: str) -> str:
+    ctes, parts = [], []
+    for level in LEVELS:
+        ctes.append(f"cum_{level.name} AS ({_level_rows(level, _cumulative_columns(level))})")
+        for klass in CLASSES:
+            for at in (25, 50, 75):
+                value, bracket = _median_case(level, klass, mode, at)
+                parts.append(
+                    f"SELECT '{level.name}' AS level, {level.key or 'CAST(0 AS INT)'} AS geo_id, "
+                    f"'{klass.code}' AS class, CAST({at} AS DOUBLE) AS quantile, {value} AS value, "
+                    f"{bracket} AS bracket FROM cum_{level.name}"
+                )
+    return _query("\nUNION ALL ".join(parts), *_FREQ, _COUNTED, *ctes)
+
+
+def _sketched() -> str:
+    """The exact counts, which the sketches come close to."""
+    parts = []
+    for level in LEVELS:
+        key = level.key or "CAST(0 AS INT)"
+        group = f"GROUP BY {level.key}" if level.key else ""
+        for k in CLASSES:
+            own = _big(f"count(DISTINCT CASE WHEN {_CLASS_TEST[k.code]} THEN hoco_num END)")
+            parts.append(
+                f"SELECT '{level.name}' AS level, {key} AS geo_id, '{k.code}' AS class, {own} AS n, "
+                f"TRUE AS close FROM filing {group} "
+                f"HAVING bool_or({_CLASS_TEST['c']}) AND bool_or({_CLASS_TEST['b']})"
+            )
+    return _query("\nUNION ALL ".join(parts))
+
+
+# The tiers of the queries with other edges: position, name, condition on the speed.
+_OTHER_TIERS = {
+    "dl": (
+        (0, "none", "{0} = 0"), (1, "some", "{0} > 0 AND {0} < 10"), (2, "ten", "{0} >= 10 AND {0} < 24.5"),
+        (3, "exactly 24.5", "{0} = 24.5"), (4, "more", "{0} > 24.5 AND {0} < 100"), (5, "hundred", "{0} >= 100"),
+    ),
+    "ul": (
+        (0, "one", "{0} >= 1 AND {0} < 3"), (1, "three", "{0} >= 3 AND {0} < 20"), (2, "twenty", "{0} >= 20"),
+    ),
+}
+
+
+def _other_tiers(direction) -> str:
+    parts = []
+    for tier, name, test in _OTHER_TIERS[direction.code]:
+        people = f"sum(CASE WHEN {test.format(direction.top_speed)} THEN gl_pop END)"
+        rows = _by_level(f"{direction.top_speed}s", {"share": people})
+        parts.append(
+            f"SELECT level, geo_id, CAST({tier} AS INT) AS tier, '{name}' AS name, share FROM ({rows})"
+        )
+    return _query("\nUNION ALL ".join(parts), _top(direction))
+
+
 def _bucket_long() -> str:
     parts = []
     for level in LEVELS:
@@ -557,6 +611,29 @@ LEFT JOIN {nation} n ON n.merge_level = 'national'""",
     )
 
 
+def _extended(mode: str) -> str:
+    return f"""WITH report AS ({_final(mode)}),
+{oracle_ctes()},
+{_COMMON},
+more AS (
+SELECT r.*, adopting_c, adopting_s, adopting_n, progress_c, progress_s, progress_n,
+       CAST((SELECT max(CASE WHEN pctpopwoBBacc_county < 0 THEN 1 ELSE 0 END) FROM report) AS INT) AS less_than_zero,
+       pctpopwoBBacc_county + pctpopwBBacc_county AS totalpct
+FROM report r
+LEFT JOIN adoption_county_raw ac ON ac.county_fips = r.county_fips
+LEFT JOIN adoption_state_raw ast ON ast.state_fips = r.state_fips
+LEFT JOIN adoption_national_raw an ON an.merge_level = r.merge_level
+LEFT JOIN progress_county_raw pc ON pc.county_fips = r.county_fips
+LEFT JOIN progress_state_raw ps ON ps.state_fips = r.state_fips
+LEFT JOIN progress_national_raw pn ON pn.merge_level = r.merge_level)
+SELECT m.* EXCLUDE (county_fips, state_fips, merge_level), c.county_fips, s.state_code AS state_fips, n.merge_level,
+       poverty_allages_c, medianHHinc_c, s.poverty AS poverty_allages_s, s.median_income AS medianHHinc_s,
+       n.poverty AS poverty_allages_n, n.median_income AS medianHHinc_n
+FROM ({_INCOME_COUNTY}) c LEFT JOIN more m ON m.county_fips = c.county_fips
+RIGHT JOIN income_state_raw s ON s.state_code = m.state_fips
+JOIN income_national_raw n ON n.merge_level = m.merge_level"""
+
+
 _INCOME_COUNTY = """SELECT CAST(state_code * 1000 + county_code AS INT) AS county_fips,
        poverty AS poverty_allages_c, median_income AS medianHHinc_c FROM income_county_raw"""
 
@@ -709,6 +786,19 @@ UNION ALL SELECT state_fips, county_fips, block_code, CAST(0 AS DOUBLE), CAST(0
         "prov_share_all_classes": _bucket_long(),
         "prov_median_as_written": _median_long(as_written),
         "prov_median_intended": _median_long(intended),
+        "prov_quantiles_as_written": _quantiles_long(as_written),
+        "prov_quantiles_intended": _quantiles_long(intended),
+        "opt_provider_sketches": _sketched(),
+        "rpt_extended": _extended(as_written),
+        "rpt_extended_intended": _extended(intended),
+        "fn_fill_table": _query(
+            """SELECT county_fips, CASE WHEN county_fips % 4 <> 1 THEN county_name ELSE '0' END AS county_name,
+       CASE WHEN county_fips % 3 <> 0 THEN population ELSE 0 END AS population,
+       CASE WHEN county_fips % 5 <> 2 THEN CAST(housing_units AS DOUBLE) / 2 ELSE 0 END AS half_units
+FROM county_data""",
+            _COUNTY_DATA,
+        ),
+        "snk_published": _query("SELECT county_fips, state_fips, county_pop FROM county"),
         # the county report
         "rpt_access": _select_report([*_IDENTITY, *_ACCESS_NAMES], "step_access", _access_step(as_written)),
         "rpt_access_intended": _select_report(
@@ -842,6 +932,12 @@ FROM avail WHERE {where} GROUP BY {_BLOCK_COLUMNS})""",
         sql[f"tier_blocks_{d.code}"] = _query(
             f"SELECT block_code, {_tier_case(top)} AS tier, {_SHARES} FROM {top}s", _top(d)
         )
+        sql[f"tier_share_{d.code}_other_edges"] = _other_tiers(d)
+        sql[f"blk_top_filings_{d.code}"] = _query(
+            f"""SELECT block_code, county_fips, hoco_num, gl_pop, max_down, max_up
+FROM (SELECT *, max({d.speed}) OVER (PARTITION BY block_code) AS best FROM avail WHERE consumer = 1)
+WHERE {d.speed} = best"""
+        )
         sql[f"tier_share_{d.code}_whole_speeds"] = _query(
             _tier_share(d, COUNTY, f"floor({top})"), _top(d)
         )

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covshare.functions.numbers import percent
+from covshare.functions.numbers import fill_missing, percent
 from covshare.layout import (
     AS_WRITTEN,
     BUCKETS,
@@ -66,9 +66,21 @@ BLOCK_SHARES = (
 _SUMS = {COUNTY: "{}", STATE: "state_{}", NATION: "nation.{}"}
 
 
+@dataclass(frozen=True)
+class LevelTables:
+    """Payload tables keyed by county_fips, state_fips and merge_level."""
+
+    county: DataFrame
+    state: DataFrame
+    nation: DataFrame
+
+
 @dataclass(frozen=True)
 class Sources:
-    """The tables a report is made from, under their canonical column names."""
+    """The tables a report is made from, under their canonical column names.
+
+    The last ones are optional and only reach the extended report.
+    """
 
     deployment: DataFrame
     block_pop: DataFrame
@@ -78,6 +90,9 @@ class Sources:
     rural_county: DataFrame
     rural_state: DataFrame
     rural_nation: DataFrame
+    adoption: LevelTables | None = None
+    progress: LevelTables | None = None
+    income: LevelTables | None = None
 
 
 class CountyReport:
@@ -200,18 +215,23 @@ class CountyReport:
 
     # -- column families, as SQL text ----------------------------------------
 
-    def _identity(self) -> list[str]:
-        names = [
+    def _names(self) -> list[str]:
+        return [
             c
             for c in self.sources.county_names.columns
             if c not in ("state_fp", "county_fp")
         ]
+
+    def _identity(self) -> list[str]:
+        names = [f"`{c}`" for c in self._names()]
         return ["county_fips", "state_fips", *names, "population", "housing_units"]
 
     def _filled(self, table: DataFrame) -> DataFrame:
-        """No name, housing or population value is missing: 0 stands in, also as text."""
-        own = [c for c in self._identity() if c not in ("county_fips", "state_fips")]
-        return table.fillna(0, subset=own).fillna("0", subset=own)
+        """No name, housing or population value is missing: 0 stands in, also as text.
+
+        Nothing else in the table can be null.
+        """
+        return fill_missing(table, [*self._names(), "population", "housing_units"])
 
     def _access(self) -> list[str]:
         """Access, download and upload shares, and the share without access.
@@ -296,7 +316,7 @@ class CountyReport:
                 for place, array in zip(places, arrays)
             ],
         )
-        kept = [c for c in table.columns if c not in arrays]
+        kept = [f"`{c}`" for c in table.columns if c not in arrays]
         unpacked = [
             f"{_cumulative(*place)}[{b}] AS {cumulative_column(*place, b)}"
             for place in places
@@ -369,6 +389,29 @@ class CountyReport:
             self.county_rows(), s.rural_county, s.rural_state, s.rural_nation, self.mode
         )
 
+    def extended(self) -> DataFrame:
+        """The whole report with the optional sources there are.
+
+        Adoption and progress join from the report's side; then a flag tells whether
+        any county has a negative share without access, and the shares with and
+        without are added up; income joins from its own side.
+        """
+        table, s = self.final(), self.sources
+        for payload in (s.adoption, s.progress):
+            if payload is not None:
+                table = enrichment.left_enrich(table, payload.county, payload.state, payload.nation)
+        table = enrichment.flag_any_negative(table, "pctpopwoBBacc_county", "less_than_zero")
+        table = table.withColumn(
+            "totalpct", F.col("pctpopwoBBacc_county") + F.col("pctpopwBBacc_county")
+        )
+        if s.income is not None:
+            table = enrichment.with_income(table, s.income.county, s.income.state, s.income.nation)
+        return table
+
+    def is_extended(self) -> bool:
+        s = self.sources
+        return any(payload is not None for payload in (s.adoption, s.progress, s.income))
+
     # -- the tables published beside it --------------------------------------
 
     def tier_table(self, direction: Direction, level: Level) -> DataFrame:

@@ -1,5 +1,6 @@
 """Hand-computed results for the edge rules."""
 
+import dataclasses
 import math
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from covshare.functions import keys
-from covshare.functions.numbers import divisor, percent
+from covshare.functions.numbers import divisor, fill_missing, percent
 from covshare.layout import (
     AS_WRITTEN,
     COUNTY,
@@ -19,8 +20,9 @@ from covshare.layout import (
     STATE,
     tier_column,
 )
-from covshare.operators import blocks, enrichment, geography, providers, shares, tiers
+from covshare.operators import blocks, enrichment, geography, providers, shares, sketches, tiers
 from covshare.operators.filings import populations, with_provenance
+from covshare.plans.report import CountyReport
 
 C = 1001
 
@@ -248,3 +250,103 @@ def test_join_all_and_flag(spark):
     assert [r["below"] for r in flagged.collect()] == [1, 1]
     clean = enrichment.flag_any_negative(frame.where("x > 0"), "x", "below")
     assert [r["below"] for r in clean.collect()] == [0]
+
+
+def test_tiers_by_any_edges(world):
+    """A floor given twice, speeds below the first, and a single tier."""
+    speeds = [-1.0, 0.0, 0.5, 10.0, 24.5, 24.6, 1e9, None]
+    frame = world([], [], []).spark.createDataFrame([(i, s) for i, s in enumerate(speeds)], "i INT, s DOUBLE")
+
+    def tiers_of(*edges):
+        rows = frame.select("i", blocks.speed_tier(F.col("s"), edges).alias("tier")).orderBy("i").collect()
+        return [r["tier"] for r in rows]
+
+    assert tiers_of(("none", 0), ("some", 0), ("ten", 10), ("exactly", 24.5), ("more", 24.5)) == [
+        None, 0, 1, 2, 3, 4, 4, None,
+    ]
+    assert tiers_of(("all", 10)) == [None, None, None, 0, 0, 0, 0, None]
+    assert tiers_of(*SPEED_TIERS) == [None, 0, 1, 6, 7, 7, 11, None]
+    for wrong in ((), (("a", 1), ("b", 0)), (("a", 1), ("b", 1), ("c", 1)), (("a", 1), ("a", 2))):
+        with pytest.raises(ValueError, match="rising floors"):
+            tiers_of(*wrong)
+
+
+def test_share_by_any_edges(world):
+    w = edges(world)
+    shares_ = tiers.speed_tier_share(*w.tables(), DOWNLOAD, (("slow", 20), ("fast", 100)), [COUNTY, NATION])
+    rows = {(r["level"], r["tier"], r["name"]): r["share"] for r in shares_.collect()}
+    assert rows == {(at, i, name): share for at in ("county", "nation") for i, name, share in ((0, "slow", 40.0), (1, "fast", 30.0))}
+
+
+def test_filings_tied_at_the_top(world):
+    a, b = block(C, 1), block(C, 2)
+    w = world(
+        [(a, 1, 1, 0, 50.0, 1.0), (a, 2, 1, 1, 50.0, 9.0), (a, 3, 0, 1, 90.0, 1.0), (a, 4, 1, 0, 10.0, 1.0),
+         (a, 1, 1, 0, 50.0, 1.0), (b, 1, 1, 0, 0.0, 0.0), (None, 1, 1, 0, 5.0, 5.0)],
+        [], [],
+    )
+    top = blocks.filings_at_top(w.filings(), "max_down")
+    assert sorted((r["block_code"], r["hoco_num"]) for r in top.collect()) == [(a, 1), (a, 1), (a, 2), (b, 1)]
+    assert top.columns == w.filings().columns
+
+
+@pytest.mark.parametrize("mode", [AS_WRITTEN, INTENDED])
+def test_quantiles_agree_with_the_median(world, mode):
+    """All places that a level can have on a cumulative array, ties included."""
+    spark = world([], [], []).spark
+    arrays = [[0.0] * 9, [100.0] * 9, [25.0 * min(i, 4) for i in range(9)], [50.0] * 3 + [75.0] * 6,
+              [0.0, 25.0, 25.0, 50.0, 50.0, 75.0, 75.0, 75.0, 75.0], [10.0 * i for i in range(9)], [49.0] * 9]
+    frame = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "i INT, cumulative ARRAY<DOUBLE>")
+    for level in (0, 25, 50, 75, 100):
+        first = F.expr(providers.first_reaching("cumulative", 9, level))
+        found = {r["i"]: r["first"] for r in frame.select("i", first.alias("first")).collect()}
+        assert found == {i: next((k for k, x in enumerate(a) if x >= level), 9) for i, a in enumerate(arrays)}
+    # quantile_rows on one county's buckets against median_rows.
+    people = {f"prov_{k}_{b}": (b + 1) * 10 for k in "cba" for b in range(9)}
+    county = spark.range(1).selectExpr(
+        "1001 AS county_fips", "1 AS state_fips", *[f"450D AS {lv}_divisor" for lv in ("county", "state", "nation")],
+        *[f"{v}L AS {n}" for n, v in people.items()],
+    )
+    medians = {tuple(r) for r in providers.median_rows(county, mode).collect()}
+    quantiles = providers.quantile_rows(county, [50, 10, 90], mode).collect()
+    assert {(r["level"], r["geo_id"], r["class"], r["value"], r["bracket"]) for r in quantiles if r["quantile"] == 50} == medians
+    assert {r["bracket"] for r in quantiles if r["quantile"] == 10} == {0 if mode == AS_WRITTEN else 1}
+    assert len(quantiles) == 3 * 9
+
+
+def test_sketches_unite(world):
+    spark = world([], [], []).spark
+    rows = spark.range(30_000).selectExpr(
+        f"{block(C, 0)} + id % 40 AS block_code", "id % 7001 AS hoco_num", "int(id % 2) AS consumer", "int(id % 3 = 0) AS business"
+    )
+    kept = sketches.block_sketches(rows.where("hoco_num < 5000"))
+    both = sketches.add_filings(kept, rows.where("hoco_num > 4000"))  # some of them again
+    found = {(r["level"], r["class"]): r["providers"] for r in sketches.provider_estimates(both).collect()}
+    whole = {(r["level"], r["class"]): r["providers"] for r in sketches.provider_estimates(sketches.block_sketches(rows)).collect()}
+    assert set(found) == {(lv, k) for lv in ("county", "state", "nation") for k in "cba"}
+    for key, n in found.items():
+        exact = 7001 if key[1] != "a" else rows.where("consumer = 1 OR business = 1").select("hoco_num").distinct().count()
+        assert abs(n - exact) <= 0.05 * exact and abs(n - whole[key]) <= 0.05 * exact
+
+
+def test_missing_values_are_filled(world):
+    spark = world([], [], []).spark
+    frame = spark.createDataFrame(
+        [(None, None, None, None, "x"), (1, 2.5, "a", True, None)], "i INT, d DOUBLE, `s.t` STRING, b BOOLEAN, kept STRING"
+    )
+    assert [tuple(r) for r in fill_missing(frame, ["i", "d", "s.t", "b"]).collect()] == [(0, 0.0, "0", None, "x"), (1, 2.5, "a", True, None)]
+    assert fill_missing(frame).schema["i"].dataType == frame.schema["i"].dataType
+    assert tuple(fill_missing(frame).first()) == (0, 0.0, "0", None, "x")
+
+
+def test_report_fills_its_table(world):
+    """As written, missing names and housing are 0 in the report; as intended they stay."""
+    w = world([(block(C, n), n, 1, 1, 30.0, 5.0) for n in (1, 2)], [(block(C, n), 50) for n in (1, 2)], [(C, 100)])
+    s = w.sources()
+    names = w.spark.createDataFrame([(1, 1, None, "7", None)], "state_fp INT, county_fp INT, county_name STRING, `Unnamed: 0` STRING, `a.b` DOUBLE")
+    housing = w.spark.createDataFrame([(C, None, 5)], "county_fips LONG, population LONG, housing_units LONG")
+    sources = dataclasses.replace(s, county_names=names, county_housing=housing)
+    row = CountyReport(sources).county_rows().first()
+    assert (row["county_name"], row["Unnamed: 0"], row["a.b"], row["population"], row["housing_units"]) == ("0", "7", 0.0, 0, 5)
+    row = CountyReport(sources, INTENDED).county_rows().first()
+    assert (row["county_name"], row["Unnamed: 0"], row["a.b"], row["population"]) == (None, "7", None, None)
