@@ -201,3 +201,38 @@ def test_staged_report_is_the_same(spark, paths, tmp_path):
     for (name, one), (_, other) in zip(job.published_tables(plain), job.published_tables(staged)):
         assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), name
     staged.close()
+
+
+@pytest.fixture
+def optional_paths(tmp_path):
+    amounts = '"Poverty Estimate, All Ages",Median Household Income'
+    found = {}
+    for name in ("adoption", "progress"):
+        found[f"{name}_county"] = write(tmp_path / f"{name}_c.csv", f",countyFIPS,{name} share", [(0, A, 7)])
+        found[f"{name}_state"] = write(tmp_path / f"{name}_s.csv", f"stateFIPS,{name}_s", [(1, 8)])
+        found[f"{name}_nation"] = write(tmp_path / f"{name}_n.csv", f"merge_level,{name}_n", [("national", 9)])
+    found["income_county"] = write(
+        tmp_path / "income_c.csv", f"Estimates\n\nState FIPS Code,County FIPS Code,{amounts}", [(1, 1, 10, 50000), (1, 5, 3, 4)]
+    )
+    found["income_state"] = write(tmp_path / "income_s.csv", f"t\n\nState FIPS Code,{amounts}", [(1, 20, 40000)])
+    found["income_nation"] = write(tmp_path / "income_n.csv", f"t\nmerge_level,{amounts}", [("national", 30, 30000)])
+    return found
+
+
+def test_optional_sources_reach_the_extended_report(spark, paths, optional_paths):
+    report = CountyReport(job.read_sources(spark, paths | optional_paths), INTENDED)
+    assert "county_report_extended" in [name for name, _ in job.published_tables(report)]
+    (row,) = report.extended().collect()  # the one county that the income files have too
+    assert (row["county_fips"], row["adoption share"], row["progress_s"], row["progress_n"]) == (A, 7.0, 8.0, 9.0)
+    assert (row["poverty_allages_c"], row["medianHHinc_s"], row["medianHHinc_n"]) == (10, 40000, 30000)
+    assert (row["less_than_zero"], row["totalpct"], row["rural share"]) == (0, 100.0, 12.5)
+    some = CountyReport(job.read_sources(spark, paths | {k: v for k, v in optional_paths.items() if "progress" in k}))
+    found = {r["county_fips"]: r["progress share"] for r in some.extended().collect()}
+    assert found == {A: 7.0, B: None, 9001: None}
+
+
+def test_an_optional_source_is_whole(spark, paths, optional_paths):
+    assert not CountyReport(job.read_sources(spark, paths)).is_extended()
+    del optional_paths["income_state"]
+    with pytest.raises(ValueError, match="income needs files"):
+        job.read_sources(spark, paths | optional_paths)
