@@ -86,24 +86,32 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns, whatever their names.
 
-    Rows outside the filter of dropped ids pass without a shuffle. Of rows that
-    repeat id and text all stay or none, as they can't be told apart; a row with a
-    null id always stays.
+    Rows outside the filter of dropped ids pass without a shuffle. Rows that repeat
+    an id are judged by their texts, one by one; of rows that repeat id and text all
+    stay or none, as they can't be told apart. A row with a null id always stays.
     """
     judged = exact_duplicates(docs, id_col, text_col)
-    return without_ids(docs, judged.where("not kept").select("doc_id"), id_col)
+    return without_rows(docs, judged.where("not kept").select("doc_id", "text_sha256"), id_col, text_digest(docs[f"`{text_col}`"]))
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """`docs` without the rows whose id is in the one column of `ids`; rows with
-    a null id stay. Only rows that the filter of ids lets through shuffle."""
-    gone = stored(ids.select(F.col(ids.columns[0]).alias("gone")).distinct(), "ids")
-    packed = docs.select(F.col(id_col).alias("id"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+def text_key(text: Column) -> Column:
+    """Tells apart the texts of rows that repeat an id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, rows: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """`docs` without the rows whose id and `key` are the two columns of a row of
+    `rows`; those with a null id stay. Only rows that the filter of ids lets through
+    shuffle, and only theirs have the key worked out."""
+    gone = stored(rows.toDF("gone", "gone_key").distinct(), "rows")
+    packed = docs.select(
+        docs[f"`{id_col}`"].alias("id"), F.struct(key.alias("key")).alias("of"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    )
     asked = bitmaps.maybe_in(packed, F.col("id"), bitmaps.members(gone, "gone"), "maybe")
     straight = asked.where("not maybe").select("row")
     tested = (
         asked.where("maybe")
-        .join(gone, F.col("id") == F.col("gone"), "left_anti")
+        .join(gone, (F.col("id") == F.col("gone")) & (F.col("of.key") == F.col("gone_key")), "left_anti")
         .select("row")
     )
     return straight.unionByName(tested).select("row.*")

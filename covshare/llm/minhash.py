@@ -20,16 +20,18 @@ that gives new and much shorter lists, until all are settled.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covshare.llm import bitmaps
+from covshare.llm.exact_dedup import text_key, without_rows
 from covshare.llm.words import blocks, find_words, mix, windows
 from covshare.llm.workers import short_batches
-from covshare.sources.scratch import stored
+from covshare.sources.scratch import discard, stored
 
 COORDINATES = 64
 # A pair of similarity 0.8 has 64 x 0.8 = 51 collisions on average with a standard
@@ -94,13 +96,14 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
+                    part.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(0, signature.size + 1, COORDINATES), pa.int32()), pa.array(signature.ravel())
                     ),
                 ],
-                ["id", "n", "digest", "sig"],
+                ["id", "text_key", "n", "digest", "sig"],
             )
 
 
@@ -136,6 +139,7 @@ def components(edges: DataFrame) -> DataFrame:
         return _spread_join(pairs, lowest, "u")
 
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
+    held = None
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         large = star(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -148,6 +152,8 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = stored(linked, "components")
+        discard(held)
+        held = edges
         # A star has no node that is linked to two, or both from and to others.
         ends = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
             edges.select("b", F.lit(0), F.lit(1))
@@ -204,66 +210,99 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _with_both(pairs, sets, "shingles").where(both * 100 >= either * percent).select("a", "b")
 
 
-def _difference_lists(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For (leader, id): lists (key, id, indexed, linked, weight) such that two members
-    of a leader of which one, b, is not linked to it are in a common list if they
-    are linked: both indexed there, or a indexed there and linked to the leader.
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For (leader, id): what the id's set C is missing or has besides (`gone`, `new`),
+    `linked` (to the leader), `near` and `wide` (zones around it), and two numbers.
 
     With C the leader's set, Dx = C - X and Ix = X - C, the intersection of A and B
     is |C| - |Da| - |Db| plus the number of differences that a and b share. So they
-    must share at least as many as make up `percent`. For b not linked to C that is
-    `short` (what b lacks to be linked to C) or more, and for any other a more than
-    (100 |Da| + percent |Ia|) / (100 + percent); if a is not linked to C either, that
-    holds for b as well. The rarest differences up to the first bound are asked
-    for, those up to the second are indexed.
+    must share at least as many as make up `percent`. With b not linked to C, that is
+    more than `kept` = (100 |Da| + percent |Ia|) / (100 + percent) by what b lacks to be
+    linked to C; if a is not linked to C either, that holds for b as well. As they can't
+    share more than |Da| + |Ia|, it is also at least `asked`, which follows from b alone:
+    (percent (|B| + |C|) - (100 + percent) |B and C|) / 100.
+
+    One minus the similarity is a metric: what is linked to an id in the near zone
+    is in the wide one.
     """
-    pairs = _with_both(members.select(F.col("leader").alias("b"), F.col("id").alias("a")), sets, "shingles")
+    zone = max(0, 3 * percent - 200)
+    wide = max(0, zone + percent - 100)
     both = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     total = (F.size("of_a") + F.size("of_b")).cast("long")
-    gone, new = F.array_except("of_b", "of_a"), F.array_except("of_a", "of_b")
-    known = pairs.select(
+    found = (
+        _with_both(pairs.select(F.col("leader").alias("b"), F.col("id").alias("a")), sets, "shingles")
+        .withColumns({"both": both, "total": total, "gone": F.array_except("of_b", "of_a"), "new": F.array_except("of_a", "of_b")})
+        .withColumn("either", F.col("total") - F.col("both"))
+    )
+    in_wide = F.col("both") * 100 >= F.col("either") * wide
+    return found.select(
         F.col("b").alias("leader"), F.col("a").alias("id"),
-        F.concat(gone, new).alias("differences"),
-        (F.ceil(total * percent / (100 + percent)) - both).alias("short"),
-        F.floor((F.size(gone) * 100 + F.size(new) * percent) / F.lit(100 + percent)).alias("kept"),
-    ).withColumn("weight", F.size("differences").cast("long"))
+        (F.col("both") * 100 >= F.col("either") * percent).alias("linked"),
+        (F.col("both") * 100 >= F.col("either") * zone).alias("near"),
+        in_wide.alias("wide"),
+        F.when(in_wide, F.concat("gone", "new")).alias("differences"),
+        F.ceil((F.col("total") * percent - F.col("both") * (100 + percent)) / F.lit(100)).alias("asked"),
+        F.floor((F.size("gone") * 100 + F.size("new") * percent) / F.lit(100 + percent)).alias("kept"),
+    )
+
+
+def _difference_lists(compared: DataFrame) -> DataFrame:
+    """Lists (key, id, indexed, linked, weight) such that two ids in the wide zone of a
+    leader of which one, b, is not linked to it are in a common list if they are
+    linked: both indexed there, or a indexed there and linked to the leader.
+
+    The rarest differences of b up to `asked` (see `_compared`) are asked for, and
+    those of every id up to `kept` are indexed.
+    """
+    known = compared.where("wide").withColumn("weight", F.size("differences").cast("long"))
     rows = known.select(
-        "leader", "id", "short", "kept", "weight", F.explode("differences").alias("shingle")
+        "leader", "id", "asked", "kept", "weight", F.explode("differences").alias("shingle")
     ).withColumn("key", F.xxhash64("leader", "shingle"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("lists")).where("lists > 1")
     ordered = (
         _spread_join(rows.drop("shingle"), shared, "key")
-        .groupBy("leader", "id", "short", "kept", "weight")
+        .groupBy("leader", "id", "asked", "kept", "weight")
         .agg(F.sort_array(F.collect_list(F.struct("lists", "key"))).alias("keys"))  # a set's differences at most
         # Places in the order of all differences; those of one document only come first.
         .withColumn("alone", F.col("weight") - F.size("keys"))
         .withColumn("indexed_to", F.col("weight") - F.col("kept"))
-        .withColumn("asked_to", F.when(F.col("short") > 0, F.col("weight") - F.col("short") + 1).otherwise(0))
+        .withColumn("asked_to", F.when(F.col("asked") > 0, F.col("weight") - F.col("asked") + 1).otherwise(0))
         .withColumn("use", F.greatest(F.lit(0), F.greatest("indexed_to", "asked_to") - F.col("alone")).cast("int"))
-        .select("id", "short", "weight", "alone", "indexed_to", F.posexplode(F.expr("slice(keys, 1, use)")).alias("place", "entry"))
+        .select("id", "asked", "weight", "alone", "indexed_to", F.posexplode(F.expr("slice(keys, 1, use)")).alias("place", "entry"))
     )
     return ordered.select(
         F.col("entry.key").alias("key"), "id", (F.col("alone") + F.col("place") < F.col("indexed_to")).alias("indexed"),
-        (F.col("short") <= 0).alias("linked"), "weight",
+        (F.col("asked") <= 0).alias("linked"), "weight",
     )
 
 
-_DIRECT = 1024  # tests in a list that are made without a leader
+# Tests in a list that are made without a leader. Lists of differences are short, and
+# a leader for each would compare the same documents again and again.
+_DIRECT, _DIRECT_LATER = 64, 1 << 10
+_ROUNDS = 4  # with leaders; what they leave is tested directly
 
 
 def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame | None:
-    """Edges (a, b) to the smallest member of each component, None without links."""
+    """Edges (a, b) to the smallest member of each component, None without links.
+
+    In each round a list with many tests compares its members with a leader. Those
+    near it leave the list: the differences from the leader are indexed, and any
+    link of theirs is in the lists of that index. Those further off stay for the
+    next round's leader. So lists only lose members, and new ones hold ids that
+    share what sets them apart from a leader.
+    """
     lists = stored(
         _prefix_postings(reps, matches).withColumns({"indexed": F.lit(True), "linked": F.lit(False)}), "lists"
     )
     if lists.isEmpty():
         return None
-    sets = stored(sets_of(lists.select("id").distinct()), "sets")
-    edges = None
-    while True:
-        unsettled = stored(_open_lists(lists, edges), "open")
-        direct = unsettled.where(F.col("tests") <= _DIRECT)
-        with_leader = unsettled.where(F.col("tests") > _DIRECT)
+    sets = sets_of(lists.select("id").distinct())
+    found, known = [], None
+    few = _DIRECT
+    for left in reversed(range(_ROUNDS + 1)):
+        open_lists = stored(_open_lists(lists, known), "open")
+        discard(lists)
+        direct = open_lists.where(F.col("tests") <= few) if left else open_lists
         some = direct.where("indexed").select(
             "key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("linked").alias("other_linked")
         )
@@ -274,39 +313,57 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
             .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
             .distinct()
         )
-        # Against the leader, and against the list's own best: more links are found at once.
-        stars = (
-            with_leader.where("component <> of_leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
-            .union(with_leader.where("component <> of_first").select("id", "first"))
-            .where("a <> b")
-            .distinct()
+        found.append(stored(_linked(_colliding(tests, reps, matches), sets, percent), "edges"))
+        with_leader = open_lists.where((F.col("tests") > few) & (F.col("id") != F.col("leader")))
+        if not left or with_leader.isEmpty():
+            discard(open_lists)
+            break
+        compared = stored(_compared(with_leader.select("leader", "id").distinct(), sets, percent), "compared")
+        found.append(stored(compared.where("linked").select(F.col("id").alias("a"), F.col("leader").alias("b")), "edges"))
+        # Until the end it is enough to know that those linked to one leader belong together.
+        own = found[-1].groupBy("a").agg(F.min("b").alias("b"))
+        known, before = stored(own if known is None else own.union(known).groupBy("a").agg(F.min("b").alias("b")), "known"), known
+        near = compared.where("near").select("leader", "id")
+        further = with_leader.join(near, ["leader", "id"], "left_anti")
+        lists = stored(
+            further.select("key", "id", "indexed", "linked", "weight").union(_difference_lists(_unsettled(compared, known))), "lists"
         )
-        fresh = _linked(_colliding(tests, reps, matches).union(stars), sets, percent)
-        fresh = stored(fresh, "edges")
-        if not fresh.isEmpty():
-            edges = components(fresh if edges is None else edges.union(fresh))
-        lists = with_leader.select("key", "id", "indexed", "linked", "weight")
-        if lists.isEmpty():
-            return edges
-        rest = _open_lists(lists, edges).where("id <> leader").select("leader", "id").distinct()
-        lists = stored(_difference_lists(rest, sets, percent), "lists")
+        discard(compared, open_lists, before)
+        few = _DIRECT_LATER
+    discard(sets, known)
+    every = reduce(DataFrame.union, found)
+    edges = None if every.isEmpty() else components(every)
+    discard(*found)
+    return edges
+
+
+def _component(rows: DataFrame, known: DataFrame | None, column: str, name: str) -> DataFrame:
+    """Rows with what an id belongs to as far as is known, (a, b): itself if nothing is."""
+    if known is None:
+        return rows.withColumn(name, F.col(column))
+    centres = known.select(F.col("a").alias(column), F.col("b").alias(name))
+    return _spread_join(rows, centres, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def _unsettled(compared: DataFrame, known: DataFrame) -> DataFrame:
+    """What was compared with leaders in whose wide zone there is an id of another component."""
+    of_id = _component(compared.where("wide").select("leader", "id"), known, "id", "component")
+    spans = of_id.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    some = _component(spans, known, "leader", "own").where("low <> own or high <> own").select("leader")
+    return _spread_join(compared, some, "leader")
 
 
-def _open_lists(lists: DataFrame, edges: DataFrame | None) -> DataFrame:
+def _open_lists(lists: DataFrame, known: DataFrame | None) -> DataFrame:
     """Rows of the lists that hold several components, with each row's component,
     the number of tests that the list needs at most, and its leader.
 
     The indexed row with the smallest weight leads a list, or rather the one that
     leads the best of the lists that this one is in: so the lists of one group
     of near copies share a leader, which need not be in each of them."""
-    known = lists.withColumn("component", F.col("id"))
-    if edges is not None:
-        known = lists.join(edges.select(F.col("a").alias("id"), "b"), "id", "left").withColumn(
-            "component", F.coalesce("b", "id")
-        ).drop("b")
-    entry = F.when(F.col("indexed"), F.struct("weight", "id", "component"))
+    members = _component(lists, known, "id", "component")
+    entry = F.when(F.col("indexed"), F.struct("weight", "id"))
     spans = (
-        known.groupBy("key")
+        members.groupBy("key")
         .agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
             F.sum(F.col("indexed").cast("long")).alias("m"),
@@ -316,13 +373,10 @@ def _open_lists(lists: DataFrame, edges: DataFrame | None) -> DataFrame:
         .where("low < high and (m > 1 or l > 0)")
         .select("key", F.expr("m * m + l * n").alias("tests"), "entry")
     )
-    rows = _spread_join(known, spans, "key").withColumns(
-        {"first": F.col("entry.id"), "of_first": F.col("entry.component")}
-    )
-    best = rows.groupBy("id").agg(F.min("entry").alias("best")).withColumnRenamed("id", "first")
+    rows = _spread_join(members, spans, "key").withColumn("first", F.col("entry.id"))
+    best = rows.groupBy("id").agg(F.min("entry").alias("best")).select(F.col("id").alias("first"), F.col("best.id").alias("leader"))
     return _spread_join(rows.drop("entry"), best, "first").select(
-        "key", "id", "indexed", "linked", "weight", "component", "tests", "first", "of_first",
-        F.col("best.id").alias("leader"), F.col("best.component").alias("of_leader"),
+        "key", "id", "indexed", "linked", "weight", "component", "tests", "leader"
     )
 
 
@@ -342,48 +396,94 @@ def near_duplicates(
     100 * intersection >= percent * union are linked; component_id is the
     smallest id reachable over links, and kept tells whether that is the
     document's own. Equal sets are one node from the start, so copies are never
-    paired. Rows that repeat an id are one document each with the same answer
-    for equal texts. A row with a null id has no links and is kept. Other
-    columns are ignored, an empty table gives no rows. `matches` collisions are
+    paired. Rows that repeat an id are one document each, judged by its own text;
+    equal texts get the same answer. A row with a null id has no links and is kept.
+    Other columns are ignored, an empty table gives no rows. `matches` collisions are
     asked for before the exact test: lower it for a `percent` below 80.
     """
+    return _judged(docs, id_col, text_col, shingle_words, percent, matches).drop("text_key")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80
+) -> DataFrame:
+    """The documents whose component has no smaller id, with all their columns.
+
+    Documents without words, and those with a null id, all stay. Rows that repeat
+    an id are judged by their texts, one by one.
+    """
+    judged = _judged(docs, id_col, text_col, shingle_words, percent, MATCHES)
+    return without_rows(docs, judged.where("not kept").select("doc_id", "text_key"), id_col, text_key(docs[f"`{text_col}`"]))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, percent: int, matches: int) -> DataFrame:
+    """The rows of `near_duplicates`, with the key of each row's text.
+
+    Every distinct set is a node with a number of its own, whatever ids it has.
+    """
     short_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+        text_key(F.col(text_col)).alias("text_key"),
+    )
     signed = stored(
         rows.mapInArrow(
-            lambda batches: _signatures(batches, shingle_words), "id long, n long, digest binary, sig array<int>"
+            lambda batches: _signatures(batches, shingle_words), "id long, text_key long, n long, digest binary, sig array<int>"
         ),
         "signatures",
     )
     linkable = signed.where("n > 0 and id is not null")
-    groups = stored(linkable.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "groups")
+    # The row that stands for a set; of an id with several texts, one is named by its key.
+    groups = stored(
+        linkable.groupBy("digest").agg(F.min(F.struct("id", "text_key")).alias("rep"))
+        .select("digest", "rep.*", F.monotonically_increasing_id().alias("node")),
+        "groups",
+    )
     reps = stored(
-        linkable.join(groups.select("digest", F.col("rep").alias("id")), ["digest", "id"]).dropDuplicates(["digest"]).select("id", "sig"),
+        _spread_join(linkable, groups.select("digest", F.col("id").alias("of"), F.col("text_key").alias("key"), "node"), "digest")
+        .where("id = of and text_key = key")
+        .dropDuplicates(["node"])
+        .select(F.col("node").alias("id"), "sig"),
         "reps",
     )
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        """Shingle sets of some documents; only rows near those ids shuffle."""
-        wanted = stored(ids, "wanted")
-        near = bitmaps.maybe_in(rows.where("id is not null"), F.col("id"), bitmaps.members(wanted, "id"), "maybe").where("maybe").drop("maybe")
-        return (
-            near.join(wanted, "id", "left_semi")
-            .mapInArrow(lambda batches: _shingle_sets(batches, shingle_words), "id long, shingles array<long>")
-            .dropDuplicates(["id"])
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Shingle sets of some nodes; only rows near their ids shuffle."""
+        wanted = stored(groups.join(nodes.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "id", "text_key"), "wanted")
+        near = bitmaps.maybe_in(rows.where("id is not null"), F.col("id"), bitmaps.members(wanted, "id"), "maybe").where("maybe")
+        found = stored(
+            near.select("id", "text", "text_key")
+            .join(wanted, ["id", "text_key"])
+            .dropDuplicates(["node"])
+            .select("node", "text")
+            .mapInArrow(lambda batches: _shingle_sets(batches, shingle_words), "id long, shingles array<long>"),
+            "sets",
         )
+        discard(wanted)
+        return found
 
     labels = _links(reps, sets_of, matches, percent)
+    discard(reps)
     if labels is None:
-        labelled = groups.withColumn("component", F.col("rep"))
+        labelled = groups.select("digest", F.col("id").alias("component"))
     else:
-        labelled = groups.join(labels.select(F.col("a").alias("rep"), "b"), "rep", "left").withColumn(
-            "component", F.coalesce("b", "rep")
+        # The smallest id of each component, for those of more than one node.
+        known = groups.select("digest", "id", F.col("node").alias("a")).join(labels, "a", "left")
+        centres = labels.select(F.col("b").alias("a")).distinct().withColumn("centre", F.lit(True))
+        of = stored(
+            known.join(centres, "a", "left").select(
+                "digest", "id", F.when(F.col("b").isNotNull(), F.col("b")).when(F.col("centre"), F.col("a")).alias("component")
+            ),
+            "nodes",
         )
-    labelled = stored(labelled.select("digest", "component"), "labelled")
-    answers = _spread_join(linkable.select("id", "n", "digest"), labelled, "digest").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+        least = of.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
+        labelled = _spread_join(of, least, "component", "left").select("digest", F.coalesce("least", "id").alias("component"))
+    labelled = stored(labelled, "labelled")
+    discard(groups, labels, None if labels is None else of)
+    answers = _spread_join(linkable.select("id", "text_key", "n", "digest"), labelled, "digest").select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "text_key"
+    )
+    others = signed.where("n = 0 or id is null").select("id", "n", "id", "text_key")
+    return answers.union(others).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
     )
-    others = signed.where("n = 0 or id is null").select("id", "n", "id")
-    return answers.union(others).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-

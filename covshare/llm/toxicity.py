@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covshare.llm.exact_dedup import text_key, without_rows
 from covshare.llm.words import Words, blocks, find_words
 from covshare.llm.workers import short_batches
 from covshare.sources.scratch import stored
@@ -177,8 +178,8 @@ def _judged(batches: Iterator[pa.RecordBatch], models: list[Linear], names: list
             known = used[bucket]
             p = chain_probabilities(models, *_distinct(doc[known], bucket[known]), words.n_docs)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *[pa.array(p[:, i]) for i in range(len(names))], pa.array(p[:, -1] < threshold)],
-                ["doc_id", *names, "kept"],
+                [part.column(0), *[pa.array(p[:, i]) for i in range(len(names))], pa.array(p[:, -1] < threshold), part.column(2)],
+                ["doc_id", *names, "kept", "text_key"],
             )
 
 
@@ -253,9 +254,18 @@ def judge_toxicity(
     and gets the base rates; repeated rows are judged alike, a null id stays
     null, other columns are ignored, an empty table gives no rows.
     """
+    return _judged_rows(docs, models, names, threshold, id_col, text_col).drop("text_key")
+
+
+def _judged_rows(
+    docs: DataFrame, models: list[Linear], names: list[str], threshold: float, id_col: str, text_col: str
+) -> DataFrame:
+    """The rows of `judge_toxicity` with the key of each row's text."""
     short_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = ", ".join(["doc_id long", *[f"{n} double" for n in names], "kept boolean"])
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_key(F.col(text_col)).alias("text_key")
+    )
+    schema = ", ".join(["doc_id long", *[f"{n} double" for n in names], "kept boolean", "text_key long"])
     return rows.mapInArrow(lambda batches: _judged(batches, models, names, threshold), schema)
 
 
@@ -271,3 +281,19 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, categories: dict[str, st
     """`judge_toxicity` of all documents by a chain fitted on the labelled ones."""
     categories = categories or CATEGORIES
     return judge_toxicity(docs, fit_toxicity(docs, labels, categories), list(categories))
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None, threshold: float = 0.3,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The documents that are not rejected, with all their columns.
+
+    The chain is fitted on the labelled ones among them. A null or empty text and a row
+    with a null id stay; rows that repeat an id are judged by their texts, one by one.
+    """
+    categories = categories or CATEGORIES
+    models = fit_toxicity(docs, labels, categories, id_col=id_col, text_col=text_col)
+    judged = _judged_rows(docs.where(F.length(text_col) > 0), models, list(categories), threshold, id_col, text_col)
+    rejected = judged.where("not kept and doc_id is not null").select("doc_id", "text_key")
+    return without_rows(docs, rejected, id_col, text_key(docs[f"`{text_col}`"]))
