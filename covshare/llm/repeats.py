@@ -5,7 +5,7 @@ of less than 40) with the smallest hash in it, the first of them if there are se
 have equal anchors, so occurrences of a repeat can be found by their anchors:
 
 1. Anchors are counted by hash. Those of one document only are of no interest;
-   a filter of fixed size tells which hashes are repeated.
+   a filter of bounded size tells which hashes are repeated.
 2. The contexts of repeated anchors (as far as a string of `length` bytes with
    the anchor can reach) are grouped by hash. Each group gets an enhanced suffix
    array: contexts sorted by what follows the anchor's start, with common prefix
@@ -28,23 +28,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covshare.llm import bitmaps
-from covshare.llm.exact_dedup import copy_groups, without_ids
+from covshare.llm.exact_dedup import copy_groups, text_key, without_rows
 from covshare.llm.minhash import _spread_join
 from covshare.llm.words import blocks, mix
 from covshare.llm.workers import short_batches
-from covshare.sources.scratch import stored
+from covshare.sources.scratch import discard, stored
 
 LENGTH = 50
 MOST_TOGETHER = 50_000  # occurrences of an anchor that one group takes
-FILTER_BITS = 27  # the filter of repeated anchors has 2 ** 27 bits: 16 MB
+# The filter of repeated anchors has a bit for four bytes of text about, in these
+# bounds: 2 ** 29 bits are 64 MB.
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 20, 29
 _KEY_BITS = 48
 _BLOCK_BYTES = 1 << 19
 _HELD = 400_000  # anchors in a task before their counts are handed on
 _WHOLE = (1 << 62) - 1  # end of a span that covers a whole text
+_SPAN = ("id", "text_key", "start", "end")
 _C = np.random.default_rng(20240603).integers(1, 1 << 63, 32, dtype=np.uint64) | np.uint64(1)
 
 
@@ -100,19 +103,20 @@ class Anchors:
             return
         new = np.concatenate([[True], anchors[1:] != anchors[:-1]])
         self.place = anchors[new]
-        self.hash = grams[self.place]
+        # Hashed again: those that were the smallest of several are mostly small, and
+        # would share few of the filter's slots.
+        with np.errstate(over="ignore"):
+            self.hash = mix(grams[self.place] * _C[31])
         self.doc = np.searchsorted(offsets, self.place, "right") - 1
         self.window_place, self.window_anchor = inside, np.cumsum(new) - 1
 
-    def slots(self) -> np.ndarray:
-        return (self.hash >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
 
-def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, Anchors]]:
-    """(ids, anchors) of blocks of (id, text)."""
+def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, Anchors]]:
+    """(ids, text keys, anchors) of blocks of (id, text, text_key)."""
     for batch in batches:
         for part, data, offsets in blocks(batch, limit=_BLOCK_BYTES):
-            yield part.column(0).to_numpy(zero_copy_only=False), Anchors(data, offsets, length)
+            ids, keys = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            yield ids, keys, Anchors(data, offsets, length)
 
 
 # --- 1. which anchors are repeated -------------------------------------------
@@ -146,7 +150,7 @@ def _count_anchors(batches: Iterator[pa.RecordBatch], length: int, share_bits: i
             [pa.array(np.arange(1 << share_bits)), pa.array(packed, pa.binary())], ["share", "packed"]
         )
 
-    for _, anchors in _blocks(batches, length):
+    for _, _, anchors in _blocks(batches, length):
         found = anchors.hash >> np.uint64(64 - _KEY_BITS)
         order = np.lexsort((anchors.doc, found))
         k, d = found[order], anchors.doc[order]
@@ -166,7 +170,7 @@ def _count_anchors(batches: Iterator[pa.RecordBatch], length: int, share_bits: i
         yield out()
 
 
-def _repeated_share(table: pa.Table, share_bits: int, most_together: int) -> pa.Table:
+def _repeated_share(table: pa.Table, share_bits: int, filter_bits: int, most_together: int) -> pa.Table:
     """One share of the hashes: its part of the filter, and the slots of anchors
     with too many occurrences for one group."""
     columns: list[list[np.ndarray]] = [[], [], [], []]
@@ -180,9 +184,9 @@ def _repeated_share(table: pa.Table, share_bits: int, most_together: int) -> pa.
         high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64), docs.astype(np.int64), uses.astype(np.int64)
     )
     share = table.column("share")[0].as_py()
-    slots = (keys >> np.uint64(_KEY_BITS - FILTER_BITS)).astype(np.int64)
-    bits = np.zeros(1 << (FILTER_BITS - share_bits), np.uint8)
-    bits[slots[docs > 1] - (share << (FILTER_BITS - share_bits))] = 1
+    slots = (keys >> np.uint64(_KEY_BITS - filter_bits)).astype(np.int64)
+    bits = np.zeros(1 << (filter_bits - share_bits), np.uint8)
+    bits[slots[docs > 1] - (share << (filter_bits - share_bits))] = 1
     hot = np.unique(slots[(docs > 1) & (uses > most_together)])
     return pa.table(
         {
@@ -194,19 +198,23 @@ def _repeated_share(table: pa.Table, share_bits: int, most_together: int) -> pa.
 
 
 class RepeatFilter:
-    """Of fixed size: a bit for each slot that a repeated anchor falls into, and
+    """Of bounded size: a bit for each slot that a repeated anchor falls into, and
     the slots of anchors that are not gathered in one group. Both only widen
     what is looked at: the exact comparison comes after."""
 
-    def __init__(self, rows, share_bits: int):
-        part = 1 << (FILTER_BITS - 3 - share_bits)
-        self.bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    def __init__(self, rows, share_bits: int, filter_bits: int):
+        part = 1 << (filter_bits - 3 - share_bits)
+        self.filter_bits = filter_bits
+        self.bits = np.zeros(1 << (filter_bits - 3), np.uint8)
         hot = [np.zeros(0, np.int64)]
         for row in rows:
             self.bits[row.share * part : (row.share + 1) * part] = np.frombuffer(row.bits, np.uint8)
             hot.append(np.frombuffer(row.hot, "<i8"))
         self.hot = np.sort(np.concatenate(hot))
 
+    def slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.filter_bits)).astype(np.int64)
+
     def repeated(self, slots: np.ndarray) -> np.ndarray:
         return (self.bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8) & 1).astype(bool)
 
@@ -221,11 +229,11 @@ class RepeatFilter:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int, repeats) -> Iterator[pa.RecordBatch]:
-    """(anchor, context, at, id, place) of repeated anchors; the anchor starts at
-    byte `at` of its context and at byte `place` of its document."""
+    """(anchor, context, at, id, text_key, place) of repeated anchors; the anchor
+    starts at byte `at` of its context and at byte `place` of its document."""
     before, after = length - anchor_size(length), length
-    for ids, anchors in _blocks(batches, length):
-        slots = anchors.slots()
+    for ids, keys, anchors in _blocks(batches, length):
+        slots = repeats.value.slots(anchors.hash)
         use = np.flatnonzero(repeats.value.repeated(slots) & ~repeats.value.too_many(slots))
         if not len(use):
             continue
@@ -237,11 +245,12 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int, repeats) -> Iterat
             [
                 pa.array(anchors.hash[use].view(np.int64)),
                 pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
-                pa.array((place - begin).astype(np.int32)),
+                pa.array((place - begin).astype(np.int8)),
                 pa.array(ids[doc]),
-                pa.array(place - anchors.offsets[doc]),
+                pa.array(keys[doc]),
+                pa.array((place - anchors.offsets[doc]).astype(np.int32)),
             ],
-            ["anchor", "context", "at", "id", "place"],
+            ["anchor", "context", "at", "id", "text_key", "place"],
         )
 
 
@@ -356,57 +365,98 @@ class Repeats:
         return group, self.member[np.arange(len(group)) - begin[group] + self.start[group]]
 
 
+_TOGETHER = 1 << 14  # contexts that are worked through at once, or one anchor's
+
+
+def _runs(table: pa.Table) -> Iterator[pa.Table]:
+    """The contexts of some anchors at a time: a share may hold far more of them
+    than the arrays of nested intervals leave room for."""
+    order = np.argsort(table.column("anchor").to_numpy(), kind="stable")
+    anchor = table.column("anchor").to_numpy()[order]
+    ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+    sizes = np.diff(ends, prepend=0)
+    ends = ends[sizes > 1]  # an anchor that only shares its filter slot is alone
+    begin = ends - sizes[sizes > 1]
+    first = 0
+    while first < len(ends):
+        held = np.cumsum(ends[first:] - begin[first:])
+        last = first + max(1, int(np.searchsorted(held, _TOGETHER, "right")))
+        use = np.concatenate([order[a:b] for a, b in zip(begin[first:last], ends[first:last], strict=True)])
+        yield table.take(pa.array(use)).combine_chunks()
+        first = last
+
+
 def _repeats_of(table: pa.Table, length: int) -> tuple[Repeats, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    table = table.combine_chunks()
-    context = table.column("context").chunk(0) if table.num_rows else pa.array([], pa.binary())
+    context = table.column("context").chunk(0)
     _, offsets, data = context.cast(pa.large_binary()).buffers()
     offsets = np.frombuffer(offsets, np.int64)[: len(context) + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    data = np.frombuffer(data, np.uint8)
     at = table.column("at").to_numpy().astype(np.int64)
     found = Repeats(table.column("anchor").to_numpy(), data, offsets, at, length)
-    return found, table.column("id").to_numpy(), table.column("place").to_numpy(), data, offsets[:-1] + at
+    return found, table.column("id").to_numpy(), table.column("place").to_numpy().astype(np.int64), data, offsets[:-1] + at
 
 
 def _covered(table: pa.Table, length: int) -> pa.Table:
-    """(id, start, end): for each context what its repeats cover of it, where a
-    document with a smaller id has them too."""
-    found, ids, place, _, _ = _repeats_of(table, length)
-    left, right = np.full(len(ids), -1), np.full(len(ids), -1)
-    if len(found.start):
-        group, member = found.expanded()
-        sizes = found.end - found.start
-        smallest = np.minimum.reduceat(ids[member], np.cumsum(sizes) - sizes)
-        later = ids[member] > smallest[group]
-        np.maximum.at(left, member[later], found.left[group[later]])
-        np.maximum.at(right, member[later], found.right[group[later]])
-    use = right >= 0  # all cover the anchor, so their union is one span
-    return pa.table({"id": ids[use], "start": (place - left)[use], "end": (place + right)[use]})
+    """(id, text_key, start, end): for each context what its repeats cover of it,
+    where a document with a smaller id has them too."""
+    out = [pa.table({name: pa.array([], pa.int64()) for name in _SPAN})]
+    for part in _runs(table):
+        found, ids, place, _, _ = _repeats_of(part, length)
+        left, right = np.full(len(ids), -1), np.full(len(ids), -1)
+        if len(found.start):
+            group, member = found.expanded()
+            sizes = found.end - found.start
+            smallest = np.minimum.reduceat(ids[member], np.cumsum(sizes) - sizes)
+            later = ids[member] > smallest[group]
+            np.maximum.at(left, member[later], found.left[group[later]])
+            np.maximum.at(right, member[later], found.right[group[later]])
+        use = right >= 0  # all cover the anchor, so their union is one span
+        keys = part.column("text_key").to_numpy()
+        spans = (ids[use], keys[use], (place - left)[use], (place + right)[use])
+        out.append(pa.table(dict(zip(_SPAN, spans, strict=True))))
+    return pa.concat_tables(out)
+
+
+_PART = "part binary, length int, id long, text_key long, start int"
 
 
 def _groups(table: pa.Table, length: int) -> pa.Table:
-    found, ids, place, data, first = _repeats_of(table, length)
-    out: dict[str, list] = {k: [] for k in ("repeat", "length", "id", "start")}
-    group, member = found.expanded() if len(found.start) else (np.zeros(0, np.int64),) * 2
-    digest = {}
-    for g, m in zip(group.tolist(), member.tolist(), strict=True):
-        a, b = first[m] - found.left[g], first[m] + found.right[g]
-        if g not in digest:
-            digest[g] = hashlib.sha256(data[a:b].tobytes()).hexdigest()
-        out["repeat"].append(digest[g])
-        out["length"].append(int(b - a))
-        out["id"].append(int(ids[m]))
-        out["start"].append(int(place[m] - found.left[g]))
-    return pa.table(out, schema=pa.schema([("repeat", pa.string()), ("length", pa.int64()), ("id", pa.int64()), ("start", pa.int64())]))
+    """(part, length, id, text_key, start): the maximal repeats of the contexts and
+    their occurrences; `part` is a hash of a repeat's bytes."""
+    out: list[tuple[list, ...]] = []
+    for part in _runs(table):
+        found, ids, place, data, first = _repeats_of(part, length)
+        if not len(found.start):
+            continue
+        some = found.member[found.start]  # a member of each group, for its bytes
+        begin, size = first[some] - found.left, found.left + found.right
+        raw = data.tobytes()
+        strings = [raw[a:b] for a, b in zip(begin.tolist(), (begin + size).tolist(), strict=True)]
+        # An anchor chosen for a string that reaches beyond the repeat need not be one
+        # wherever the repeat is; only those chosen within it have all occurrences.
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        own = Anchors(np.frombuffer(b"".join(strings), np.uint8), offsets, length)
+        within = np.zeros(len(size), bool)
+        within[own.doc[own.place == offsets[own.doc] + found.left[own.doc]]] = True
+        group, member = found.expanded()
+        group, member = group[within[group]], member[within[group]]
+        digest = np.asarray([hashlib.blake2b(s, digest_size=16).digest() for s in strings], object)
+        keys = part.column("text_key").to_numpy()
+        out.append((digest[group], size[group], ids[member], keys[member], place[member] - found.left[group]))
+    columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, t) for t in (object, int, int, int, int)]
+    types = (pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+    names = [field.split()[0] for field in _PART.split(", ")]
+    return pa.table({n: pa.array(c.tolist() if t == pa.binary() else c.astype(np.int64), t) for n, c, t in zip(names, columns, types, strict=True)})
 
 
 # --- 3. strings around anchors with very many occurrences ----------------------
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int, repeats) -> Iterator[pa.RecordBatch]:
-    """(one, two, id, start): 128 bits for each string of `length` bytes whose
-    anchor is not gathered in one group."""
-    for ids, anchors in _blocks(batches, length):
-        slots = anchors.slots()
+    """(one, two, id, text_key, start): 128 bits for each string of `length` bytes
+    whose anchor is not gathered in one group."""
+    for ids, keys, anchors in _blocks(batches, length):
+        slots = repeats.value.slots(anchors.hash)
         hot = repeats.value.repeated(slots) & repeats.value.too_many(slots)
         place = anchors.window_place[hot[anchors.window_anchor]]
         if not len(place):
@@ -420,12 +470,13 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int, repeats) -> Iterato
                     total = mix(total ^ anchors.eights[place + step] * _C[(salt + j) % 32])
                 halves.append(total.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [*map(pa.array, halves), pa.array(ids[doc]), pa.array(place - anchors.offsets[doc])], ["one", "two", "id", "start"]
+            [*map(pa.array, halves), pa.array(ids[doc]), pa.array(keys[doc]), pa.array((place - anchors.offsets[doc]).astype(np.int32))],
+            ["one", "two", "id", "text_key", "start"],
         )
 
 
 def _covered_strings(strings: DataFrame, length: int) -> DataFrame:
-    """(id, start, end) of the strings that a document with a smaller id has too."""
+    """(id, text_key, start, end) of the strings that a document with a smaller id has too."""
     lowest = (
         strings.groupBy("one", "two").agg(F.min("id").alias("lowest"), F.max("id").alias("highest")).where("lowest < highest")
     )
@@ -433,12 +484,21 @@ def _covered_strings(strings: DataFrame, length: int) -> DataFrame:
     # that very many documents have can be split.
     key = F.struct("one", "two")
     return (
-        _spread_join(strings.select(key.alias("string"), "id", "start"), lowest.select(key.alias("string"), "lowest"), "string")
+        _spread_join(strings.select(key.alias("string"), "id", "text_key", "start"), lowest.select(key.alias("string"), "lowest"), "string")
         .where("id > lowest")
-        .select("id", "start", (F.col("start") + length).alias("end"))
+        .select("id", "text_key", F.col("start").cast("long").alias("start"), (F.col("start").cast("long") + length).alias("end"))
     )
 
 
+def _equal_strings(strings: DataFrame, length: int) -> DataFrame:
+    """The strings that two documents have, with all occurrences."""
+    shared = strings.groupBy("one", "two").agg(F.min("id").alias("lowest"), F.max("id").alias("highest")).where("lowest < highest")
+    key = F.struct("one", "two")
+    return _spread_join(
+        strings.select(key.alias("string"), "id", "text_key", "start"), shared.select(key.alias("string")), "string"
+    ).select("string.*", "id", "text_key", "start")
+
+
 # --- the operator ----------------------------------------------------------------
 
 
@@ -450,88 +510,206 @@ class _Search:
     """The steps up to contexts, shared by the operator's outputs."""
 
     def __init__(self, rows: DataFrame, length: int, most_together: int):
-        """rows: (id, text) without exact copies."""
+        """rows: (id, text, text_key) without exact copies."""
         if length < 24:
             raise ValueError("repeats shorter than 24 bytes have no anchors")
         self.rows, self.length = rows, length
         spark = rows.sparkSession
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        share_bits = min(_power_of_two(max(shuffles, size / 2e7)), FILTER_BITS - 3)
+        filter_bits = min(max(_power_of_two(size / 4), LEAST_FILTER_BITS), MOST_FILTER_BITS)
+        share_bits = min(_power_of_two(max(shuffles, size / 2e7)), filter_bits - 3)
         self.groups = 1 << _power_of_two(max(4 * shuffles, size / 4e6))
         counted = rows.mapInArrow(
             lambda batches: _count_anchors(batches, length, share_bits), "share long, packed binary"
         )
         shares = counted.where(F.octet_length("packed") > 0).groupBy("share").applyInArrow(
-            lambda table: _repeated_share(table, share_bits, most_together), "share long, bits binary, hot binary"
+            lambda table: _repeated_share(table, share_bits, filter_bits, most_together), "share long, bits binary, hot binary"
         )
-        found = RepeatFilter(shares.toLocalIterator(), share_bits)  # 16 MB in all, by shares
+        found = RepeatFilter(shares.toLocalIterator(), share_bits, filter_bits)  # 64 MB at most, by shares
         self.any_hot = len(found.hot) > 0
         self.filter = spark.sparkContext.broadcast(found)
 
     def contexts(self) -> DataFrame:
         length, repeats = self.length, self.filter
         return self.rows.mapInArrow(
-            lambda batches: _contexts(batches, length, repeats), "anchor long, context binary, at int, id long, place long"
+            lambda batches: _contexts(batches, length, repeats), "anchor long, context binary, at tinyint, id long, text_key long, place int"
         ).withColumn("share", F.pmod(F.xxhash64("anchor"), F.lit(self.groups)))
 
     def spans(self) -> DataFrame:
-        length, repeats = self.length, self.filter
+        length = self.length
         spans = self.contexts().groupBy("share").applyInArrow(
-            lambda table: _covered(table, length), "id long, start long, end long"
+            lambda table: _covered(table, length), "id long, text_key long, start long, end long"
         )
         if self.any_hot:
-            strings = self.rows.mapInArrow(
-                lambda batches: _strings(batches, length, repeats), "one long, two long, id long, start long"
-            )
-            spans = spans.union(_covered_strings(strings, length))
+            spans = spans.union(_covered_strings(self.strings(), length))
         return spans
 
+    def strings(self) -> DataFrame:
+        length, repeats = self.length, self.filter
+        return self.rows.mapInArrow(
+            lambda batches: _strings(batches, length, repeats), "one long, two long, id long, text_key long, start int"
+        )
+
 
 def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     short_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), text_key(F.col(text_col)).alias("text_key")
+    )
 
 
-def maximal_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Groups of maximal repeats of `length` bytes or more, with all occurrences:
-    rows of (repeat, length, doc_id, start), where repeat is the SHA-256 of its bytes.
+def maximal_repeats(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", most_together: int = MOST_TOGETHER
+) -> DataFrame:
+    """Maximal repeats of `length` bytes or more that two documents have, with all
+    occurrences: rows of (repeat, length, doc_id, start), where repeat is the SHA-256 of
+    its bytes.
+
+    Contexts show a long repeat in parts around its anchors. Parts with the same
+    occurrences, but for one shift, that touch or overlap are joined, and each is
+    extended to both sides as far as all its occurrences go on alike. So every set of
+    occurrences that some context (26 bytes before an anchor to 50 behind it) has
+    alone is found whole; a repeat of which every context is also elsewhere, each
+    at another place, is not. A repeat with all occurrences in one document may be missing. A null
+    text is empty, rows with a null id take no part, rows that repeat an id are told
+    apart by the key of their text, and rows that repeat both count once. Texts are
+    not changed, an empty table gives no rows.
+    """
+    rows = _plain(docs, id_col, text_col).where("id is not null").dropDuplicates(["id", "text_key"])
+    rows = stored(rows, "texts")
+    search = _Search(rows, length, most_together)
+    parts = search.contexts().groupBy("share").applyInArrow(lambda table: _groups(table, length), _PART)
+    if search.any_hot:
+        parts = parts.union(
+            _equal_strings(search.strings(), length).select(
+                F.concat(F.hex("one"), F.hex("two")).cast("binary"), F.lit(length), "id", "text_key", "start"
+            )
+        )
+    return _whole(stored(parts.distinct(), "parts"), rows)
+
 
-    A repeat longer than a context is reported in parts around its anchors, as far
-    as the contexts reach. Every anchor is gathered in one group here, so
-    this is for tables without very common passages; `covered_spans` has no such
-    limit. A null text is empty, rows with a null id take no part.
+def _whole(parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Parts of repeats joined to whole ones.
+
+    What tells occurrences apart is a combined hash of their places relative to the
+    first one, so no part's occurrences are gathered.
     """
-    search = _Search(_plain(docs, id_col, text_col).where("id is not null"), length, 1 << 40)
-    return search.contexts().groupBy("share").applyInArrow(
-        lambda table: _groups(table, length), "repeat string, length long, id long, start long"
-    ).select("repeat", "length", F.col("id").alias("doc_id"), "start").distinct()
+    first = parts.groupBy("part", "length").agg(F.min(F.struct("id", "text_key", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+    placed = _spread_join(parts, first.drop("length"), "part").withColumn("shift", F.col("start") - F.col("first.start"))
+    shapes = placed.groupBy("part", "length", "first", "n").agg(
+        F.bit_xor(F.xxhash64("id", "text_key", "shift")).alias("shape"),
+        F.bit_xor(F.xxhash64("shift", "text_key", "id", F.lit(1))).alias("shape2"),
+    )
+    by = Window.partitionBy("first.id", "first.text_key", "n", "shape", "shape2").orderBy("first.start", "length", "part")
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    # A part that begins behind the end of all before it begins another repeat.
+    begins = F.coalesce(F.col("first.start") > F.max(F.col("first.start") + F.col("length")).over(before), F.lit(True))
+    runs = shapes.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(by))
+    whole = (
+        runs.groupBy("first.id", "first.text_key", "n", "shape", "shape2", "run")
+        .agg(
+            F.min(F.struct("first.start", "part")).alias("some"),
+            F.max(F.col("first.start") + F.col("length")).alias("end"),
+        )
+        .select(
+            "id", "text_key", F.col("some.start").alias("at"), F.col("some.part").alias("part"),
+            (F.col("end") - F.col("some.start")).alias("whole_length"),
+        )
+    )
+    # The leftmost part begins where the whole does, so its occurrences are those of the whole.
+    joined = stored(whole, "runs")
+    texts = [rows.select(F.col("id").alias(f"{x}id"), F.col("text_key").alias(f"{x}key"), F.col("text").alias(f"{x}text")) for x in ("", "other_")]
+    both = (
+        _spread_join(parts.select("part", F.col("id").alias("other_id"), F.col("text_key").alias("other_key"), "start"), joined, "part")
+        .withColumnRenamed("text_key", "key")
+        .join(texts[0], ["id", "key"])
+        .join(texts[1], ["other_id", "other_key"])
+        .select("part", "at", "start", F.col("whole_length").alias("length"), "text", "other_text")
+    )
+    extended = (
+        both.mapInArrow(_extensions, "part binary, before int, behind int")
+        .groupBy("part")
+        .agg(F.min("before").alias("before"), F.min("behind").alias("behind"))
+    )
+    # Parts of one repeat that lie apart are the same when they are extended.
+    found = (
+        joined.join(extended, "part")
+        .withColumns({"at": F.col("at") - F.col("before"), "whole_length": F.col("whole_length") + F.col("before") + F.col("behind")})
+        .groupBy("id", "text_key", "at", "whole_length")
+        .agg(F.min(F.struct("part", "before")).alias("some"))
+    )
+    named = stored(
+        found.join(rows, ["id", "text_key"]).select(
+            "some.part", "some.before", "whole_length",
+            F.sha2(F.substring(F.col("text").cast("binary"), F.col("at") + 1, F.col("whole_length")), 256).alias("repeat"),
+        ),
+        "repeats",
+    )
+    return _spread_join(parts.drop("length"), named, "part").select(
+        "repeat", F.col("whole_length").alias("length"), F.col("id").alias("doc_id"), (F.col("start") - F.col("before")).alias("start")
+    )
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> int:
+    """How many bytes two arrays begin with alike."""
+    n = min(len(a), len(b))
+    at, step = 0, 64
+    while at < n:
+        differ = np.flatnonzero(a[at : min(at + step, n)] != b[at : min(at + step, n)])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = at + step, 2 * step
+    return n
+
+
+def _extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, before, behind): how far an occurrence goes on like the first one."""
+    for batch in batches:
+        before, behind = [], []
+        places = zip(*(batch.column(c).to_pylist() for c in ("at", "start", "length")), strict=True)
+        for (at, start, length), one, other in zip(places, batch.column("text"), batch.column("other_text"), strict=True):
+            a, b = (np.frombuffer((t.as_py() or "").encode(), np.uint8) for t in (one, other))
+            before.append(_alike(a[:at][::-1], b[:start][::-1]))
+            behind.append(_alike(a[at + length :], b[start + length :]))
+        # The first one goes on like itself, which bounds nothing: its other occurrences do.
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("part"), pa.array(before, pa.int32()), pa.array(behind, pa.int32())], ["part", "before", "behind"]
+        )
 
 
 def covered_spans(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", most_together: int = MOST_TOGETHER
 ) -> DataFrame:
-    """(id, spans): for each document the byte spans covered by a string of
+    """(id, text_key, spans): for each document the byte spans covered by a string of
     `length` bytes that a document with a smaller id has too; spans may overlap
-    and reach beyond the text's end. Documents without any are left out."""
+    and reach beyond the text's end. Documents without any are left out; those that
+    repeat an id are told apart by the key of their text."""
     rows = _plain(docs, id_col, text_col).where("id is not null")
-    digests = stored(rows.select("id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")), "digests")
-    copies = stored(copy_groups(digests).where("id > smallest").select("id").distinct(), "copies")
-    search = _Search(without_ids(rows, copies, "id"), length, most_together)
-    spans = search.spans().union(copies.select("id", F.lit(0).cast("long"), F.lit(_WHOLE)))
-    return stored(
-        spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans"
+    digests = stored(
+        rows.select(F.struct("id", "text_key").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")), "digests"
+    )
+    copies = stored(
+        copy_groups(digests).where("id.id > smallest.id").select("id.*").distinct(), "copies"
+    )
+    search = _Search(without_rows(rows, copies, "id", F.col("text_key")), length, most_together)
+    spans = search.spans().union(copies.select("id", "text_key", F.lit(0).cast("long"), F.lit(_WHOLE)))
+    found = stored(
+        spans.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans"
     )
+    discard(digests, copies)
+    return found
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str) -> DataFrame:
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`docs` as (row, spans): rows outside the filter of ids with spans pass
     without a shuffle."""
-    packed = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    key = text_key(docs[f"`{text_col}`"])
+    packed = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("text_key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     asked = bitmaps.maybe_in(packed, F.col("id"), bitmaps.members(spans, "id"), "maybe")
     none = F.lit(None).cast(spans.schema["spans"].dataType)
     straight = asked.where("not maybe").select("row", none.alias("spans"))
-    tested = asked.where("maybe").join(spans, "id", "left").select("row", "spans")
+    tested = asked.where("maybe").join(spans, ["id", "text_key"], "left").select("row", "spans")
     return straight.union(tested)
 
 
@@ -576,11 +754,11 @@ def judge_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     Texts are their UTF-8 bytes. A byte is removed if a string of `length` bytes
     over it also starts in a document with a smaller id, judged on the texts as
-    they came. A null text is empty; of rows that repeat an id and text none is
-    smaller, so they are judged alike; a row with a null id keeps everything and
+    they came. A null text is empty; of rows that repeat an id none is smaller, each
+    is judged by its own text; a row with a null id keeps everything and
     counts for nobody. Other columns are ignored, an empty table gives no rows.
     """
-    joined = _with_spans(docs, covered_spans(docs, length, id_col, text_col), id_col)
+    joined = _with_spans(docs, covered_spans(docs, length, id_col, text_col), id_col, text_col)
     rows = joined.select(
         F.col("row").getField(id_col).cast("long").alias("doc_id"), F.col("row").getField(text_col).cast("string").alias("text"), "spans"
     )
@@ -624,7 +802,7 @@ def drop_repeats(
     A character of several bytes goes only if all its bytes do. `chars_col`, if
     the table has it, becomes the new number of characters.
     """
-    joined = _with_spans(docs, covered_spans(docs, length, id_col, text_col), id_col)
+    joined = _with_spans(docs, covered_spans(docs, length, id_col, text_col), id_col, text_col)
     cut = joined.select(F.col("row").getField(text_col).cast("string").alias("text"), "spans", "row")
     # The text travels once: the row goes without it.
     rest = F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != text_col])

@@ -153,14 +153,59 @@ def test_interval_tree_finds_all_maximal_repeats():
     assert expected and got == expected
 
 
-def test_maximal_repeats_are_repeats(spark):
-    rows = repeated_rows()
+def brute_maximal(rows, length):
+    """{(repeat bytes): occurrences} of maximal repeats that two documents have."""
+    data = {i: t.encode() for i, t in rows if t}
+    left = {(i, p) for i, d in data.items() for p in range(len(d) - length + 1)}
+    out = {}
+    n = length
+    while left:
+        by_string = defaultdict(list)
+        for i, p in left:
+            by_string[data[i][p : p + n]].append((i, p))
+        left = set()
+        for string, places in by_string.items():
+            if len({i for i, _ in places}) < 2:
+                continue
+            before = {data[i][p - 1] if p else (i, p) for i, p in places}
+            behind = {data[i][p + n] if p + n < len(data[i]) else (i, p) for i, p in places}
+            if len(before) > 1 and len(behind) > 1:
+                out[string] = set(places)
+            left.update((i, p) for i, p in places if p + n < len(data[i]))
+        n += 1
+    return out
+
+
+@pytest.mark.parametrize("most_together", [2, 1000])
+def test_maximal_repeats(spark, most_together):
+    """Whole repeats of several hundred bytes with all occurrences, nested ones too."""
+    rng = random.Random(13)
+    letters = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    long, inner = letters(260), letters(90)
+    rows = [(i, letters(60) + long[: 260 - 20 * (i % 3)] + letters(40)) for i in range(8)]
+    rows += [(20 + i, letters(30) + long[70:200] + letters(30) + inner) for i in range(5)]
+    rows += [(40 + i, inner + letters(i) + inner + letters(20)) for i in range(3)] + [(50, rows[0][1]), (51, None), (52, "ab" * 90), (53, "ab" * 60)]
     texts = {i: (t or "").encode() for i, t in rows}
     found = defaultdict(set)
-    for r in repeats.maximal_repeats(table(spark, rows)).collect():
-        assert hashlib.sha256(texts[r.doc_id][r.start : r.start + r.length]).hexdigest() == r.repeat and r.length >= 50
-        found[r.repeat].add((r.doc_id, r.start))
-    assert found and all(len(places) > 1 for places in found.values())
+    for r in repeats.maximal_repeats(table(spark, rows).repartition(3), most_together=most_together).collect():
+        string = texts[r.doc_id][r.start : r.start + r.length]
+        assert hashlib.sha256(string).hexdigest() == r.repeat
+        assert (r.doc_id, r.start) not in found[string]
+        found[string].add((r.doc_id, r.start))
+    expected = brute_maximal(rows, 50)
+    many = {s: p for s, p in found.items() if len({i for i, _ in p}) > 1}
+    # All are maximal repeats with all their occurrences.
+    assert all(expected[s] == p for s, p in many.items())
+
+    def places(string):
+        return sum(t.startswith(string, p) for t in texts.values() for p in range(len(t)))
+
+    # Those are missing of which every string is in further places too.
+    for string, occurrences in expected.items():
+        if string not in many:
+            width = 50 if most_together == 2 else min(77, len(string))
+            assert all(places(string[k : k + width]) > len(occurrences) for k in range(len(string) - width + 1))
+    assert max(map(len, many)) > 250 and inner.encode() in many
 
 
 def test_ppm(spark, edge, nothing):
@@ -258,3 +303,78 @@ def test_pipeline(spark, tmp_path):
     for r in pieces:
         tokens[r.doc_id] += r.length
     assert all(tokens[r.doc_id] == r.doc_tokens for r in pieces)
+
+
+def overlapping_groups(seed, width=150):
+    """Near copies of several texts that are near copies of each other in turn."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10**6)}"
+
+    def edited(text, edits):
+        text = list(text)
+        for _ in range(edits):
+            text[rng.randrange(len(text))] = word()
+        return text
+
+    base = [word() for _ in range(width)]
+    texts = []
+    for family in range(5):
+        # Some families are linked to the one before, some too far from it.
+        base = edited(base, (3, 14)[family % 2])
+        centre = base
+        texts += [edited(centre, rng.choice((0, 1, 2, 4, 6, 9, 12, 20))) for _ in range(60)]
+        texts += [centre[: width - 4 * k] for k in range(1, 12)]
+    rows = list(enumerate((" ".join(t) for t in texts), 10))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("shingle_words, direct, later, rounds", [(4, 128, 1 << 14, 4), (5, 8, 8, 4), (5, 8, 1 << 14, 4), (5, 8, 8, 1)])
+def test_overlapping_groups(spark, monkeypatch, shingle_words, direct, later, rounds):
+    """Also where several rounds of leaders are needed, and where the last one cuts them short."""
+    monkeypatch.setattr(minhash, "_DIRECT", direct)
+    monkeypatch.setattr(minhash, "_DIRECT_LATER", later)
+    monkeypatch.setattr(minhash, "_ROUNDS", rounds)
+    # A bound below the share of collisions that any linked pair has.
+    check_near(spark, overlapping_groups(shingle_words), shingle_words=shingle_words, matches=30)
+
+
+TWICE = [(1, PASSAGE * 2 + "alone"), (5, PASSAGE * 2 + "alone"), (5, "quite another text " * 5), (7, "x" + PASSAGE + "y"), (7, "quite another text " * 5)]
+
+
+def test_an_id_with_two_texts(spark):
+    got = Counter(
+        (r.doc_id, r.n_bytes, r.n_removed) for r in repeats.judge_repeats(table(spark, TWICE)).collect()
+    )
+    n, m = len(TWICE[0][1]), len(TWICE[2][1])
+    assert got == Counter([(1, n, 0), (5, n, n), (5, m, 0), (7, len(PASSAGE) + 2, len(PASSAGE)), (7, m, m)])
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    rows = [(1, texts[0]), (5, texts[0] + " more"), (5, texts[1]), (7, texts[1] + " more"), (9, texts[2]), (9, texts[2])]
+    near = Counter((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(table(spark, rows)).collect())
+    assert near == Counter([(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False), (9, 9, True), (9, 9, True)])
+    left = Counter((r.doc_id, r.text) for r in minhash.drop_near_duplicates(table(spark, rows)).collect())
+    assert left == Counter([rows[0], rows[2], rows[4], rows[5]])
+
+
+def test_pipeline_on_odd_tables(spark, edge, nothing, tmp_path):
+    """An empty table, null ids and texts, ids with two texts, columns with clashing names."""
+    labels = spark.createDataFrame([(4, 1, 0), (6, 1, 0), (8, 1, 0), (7, 1, 0), (9, 0, 1)], "doc_id LONG, quality INT, toxic INT")
+    more = edge.union(table(spark, [(5, "quite another text"), (None, None), (20, _letters(3)), (20, _letters(4))]))
+    for name, docs in (("none", nothing), ("odd", more)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert bool(out) == (name == "odd")
+    ids = {r.doc_id for r in out}
+    assert {2, 3, 5, 20, None} <= ids and 4 not in ids  # 4 equals 5 but for case
+    whole = spark.read.parquet(f"{tmp_path}/odd/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, whole, f"{tmp_path}/odd")
+        assert kept.dtypes == whole.dtypes
+        texts = Counter((r.doc_id, r.text) for r in kept.collect())
+        assert texts[5, "quite another text"] == 1 and texts[20, _letters(3)] == texts[20, _letters(4)] == 1
+
+
+def _letters(seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))
