@@ -163,7 +163,8 @@ def _judged(batches: Iterator[pa.RecordBatch], model: boosting.Trees, threshold:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, label) of at most `most_rows` labelled documents, chosen by a hash
     of the id. Labels are thinned before the join, so that only ids of the sample
-    are joined to texts; a row without label or text is left out."""
+    are joined to texts; a row without label or text is left out, and of several texts
+    with one id the smallest is used."""
     ids = (
         labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
         .where("id is not null and label in (0, 1)")
@@ -173,7 +174,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_rows: i
         .limit(most_rows)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return texts.join(F.broadcast(ids), "id").select("text", "label")  # most_rows bounds what is broadcast
+    sample = texts.join(F.broadcast(ids), "id")  # most_rows bounds what is broadcast
+    return sample.groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text") -> boosting.Trees:

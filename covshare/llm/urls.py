@@ -184,13 +184,13 @@ def _scored(batches: Iterator[pa.RecordBatch], trees: boosting.Trees, suffixes:
 
 def judge_urls(
     pages: DataFrame, rules=RULES, model: UrlModel | None = None, threshold: float = 0.5,
-    id_col: str = "page_id", url_col: str = "url",
+    id_col: str = "page_id", url_col: str = "url", labelled: DataFrame | None = None,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, blocked_probability.
 
     The longest rule that fits decides; where none does, the model blocks at
-    `threshold`. Without a model one is fitted on the pages' own URLs, labelled
-    by `labelled_urls`. Pages are joined to their suffix's counts, which adaptive
+    `threshold`. Without a model one is fitted on `labelled`, rows of (url, blocked 0
+    or 1), or without those on the pages' own URLs, labelled by `labelled_urls`. Pages are joined to their suffix's counts, which adaptive
     execution broadcasts if they are small and else deals out, a common suffix to
     several tasks. A null URL, or one without `://`, has an empty host and path and
     is judged by the model like any other; repeated rows are judged alike, other
@@ -200,7 +200,7 @@ def judge_urls(
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     ruled = rows.withColumn("rule", rule).withColumn("says", verdict)
     if model is None:
-        model = fit_urls(labelled_urls(rows))
+        model = fit_urls(labelled_urls(rows) if labelled is None else with_parts(labelled))
     trees, suffixes, table = model.trees, model.suffixes, model.table
     if table is None:
         counts = [(s, *c) for s, c in suffixes.counts.items()]

@@ -135,6 +135,65 @@ def test_trees_are_monotone_and_learn():
         assert (steps >= -1e-9).all()
 
 
+def test_splits_and_scores_against_a_plain_version():
+    """The first split has the largest gain of all, and flattened trees score as nested ones."""
+    rng = np.random.default_rng(4)
+    for trial in range(8):
+        x = rng.integers(0, 6, size=(60, 3)).astype(float)
+        y = (x[:, trial % 3] + rng.normal(size=60) > 3).astype(float)
+        trees = boosting.fit(x, y, trees=3, depth=2, ridge=1.0, least_weight=2.0)
+        p = 1 / (1 + np.exp(-trees.base))
+        g, h = y - p, np.full(60, p * (1 - p))
+        gains = {}
+        for j in range(3):
+            for cut in np.unique(x[:, j])[:-1]:
+                left = x[:, j] <= cut
+                if min(h[left].sum(), h[~left].sum()) >= 2.0:
+                    gains[j, cut] = sum(g[s].sum() ** 2 / (h[s].sum() + 1) / 2 for s in (left, ~left)) - g.sum() ** 2 / (h.sum() + 1) / 2
+        best = max(gains.values(), default=0)
+        if best > 1e-6:
+            assert gains[trees.feature[0, 0], trees.threshold[0, 0]] == pytest.approx(best)
+
+        def nested(t, node, row):
+            j = trees.feature[t, node]
+            if j < 0:
+                return trees.value[t, node]
+            return nested(t, 2 * node + 1 + (row[j] > trees.threshold[t, node]), row)
+
+        z = rng.normal(3, 3, size=(40, 3))
+        z[0] = np.nan
+        expected = [trees.base + sum(nested(t, 0, row) for t in range(3)) for row in z]
+        assert trees.log_odds(z) == pytest.approx(expected)
+
+
+def test_quality_sample_has_one_row_per_id(spark):
+    """Copies of a sampled document weigh no more than it does."""
+    rows = [(i, f"a b c {'x' * (i % 7)}") for i in range(50)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id LONG, quality INT")
+    sample = quality.labelled_sample(table(spark, rows + rows[:1] * 300 + [(1, "z")]), labels, "quality", 40)
+    assert sample.count() == 40
+    assert {r.text for r in sample.collect()} <= {t for _, t in rows}
+
+
+def test_labelled_urls_as_an_argument(spark):
+    """Held-out precision and recall on hosts none of whose words were fitted."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("therionsatl") for _ in range(rng.randrange(5, 9)))
+
+    def url(blocked):
+        if blocked:
+            return f"http://{word()}-{word()}-{rng.randrange(10**6)}.{word()}.biz/{rng.randrange(10**9)}?a=1&b={rng.randrange(10**9)}&c=3"
+        return f"https://{word()}.{rng.choice(('org', 'biz'))}/{word()}/{word()}"
+
+    labelled = spark.createDataFrame([(url(i % 3 == 0), int(i % 3 == 0)) for i in range(900)], "url STRING, blocked INT")
+    held = [(i, url(i % 3 == 0)) for i in range(600)]
+    pages = spark.createDataFrame(held, "page_id LONG, url STRING")
+    verdicts = {r.page_id: r.verdict for r in urls.judge_urls(pages, rules=(), labelled=labelled).collect()}
+    blocked = {i for i, v in verdicts.items() if v == "block"}
+    right = {i for i in blocked if i % 3 == 0}
+    assert len(right) / len(blocked) > 0.95 and len(right) / 200 > 0.95
+
+
 def test_urls(spark, nothing):
     cases = {
         "http://www.Example.com/en/1?x=/": ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
@@ -205,7 +264,7 @@ def test_toxicity_held_out(spark, edge, nothing):
         labels.where("doc_id % 4 = 0").select("doc_id", labels.toxic.alias("label")), "doc_id"
     ).groupBy("label", "kept").count().collect()
     n = {(r.label, r.kept): r["count"] for r in judged}
-    assert n[1, False] / (n[1, False] + n.get((1, True), 0)) > 0.8
+    assert n[1, False] / (n[1, False] + n.get((1, True), 0)) > 0.85
     assert n.get((0, False), 0) / n[0, True] < 0.01
     rows = toxicity.judge_toxicity(edge, models, names).collect()
     assert len(rows) == len(EDGE) and all(r.kept for r in rows)
