@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from covshare.llm.catalogue import word_tokenizer
-from covshare.llm.exact_dedup import drop_exact_duplicates, without_ids
-from covshare.llm.minhash import near_duplicates
+from covshare.llm.exact_dedup import drop_exact_duplicates
+from covshare.llm.minhash import drop_near_duplicates
 from covshare.llm.packing import pack
 from covshare.llm.repeats import drop_repeats
-from covshare.llm.toxicity import toxic_documents
+from covshare.llm.toxicity import drop_toxic
 from covshare.llm.workers import importable
 from covshare.sources.scratch import scratch_path
 
@@ -22,22 +22,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of classifiers does not reject.
 
     The chain is fitted on the labelled ones among `docs`. A null or empty text
-    is never rejected; rows that share an id go together.
+    is never rejected, nor is a row with a null id; rows that share an id are judged
+    one by one.
     """
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = toxic_documents(docs, labels).where("not kept and doc_id is not null").select("doc_id")
-    return without_ids(docs, rejected)
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest id."""
+    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest id,
+    as often as it occurs; rows with a null id all stay."""
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar sets of five-word shingles (0.8 or more) the
-    one with the smallest id; documents without words all stay."""
-    return without_ids(docs, near_duplicates(docs).where("not kept").select("doc_id"))
+    one with the smallest id; documents without words, or with a null id, all stay."""
+    return drop_near_duplicates(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to `documents`, each written and read again."""
+    """All stages applied to `documents`, each written and read again.
+
+    An empty table gives no rows. Null and empty texts and null ids go through all
+    stages as each one's docstring says; rows that repeat an id are judged by their
+    texts. Further columns of `documents`, whatever their names, reach the last stage.
+    """
     importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
