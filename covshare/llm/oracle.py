@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from covshare.llm.licences import RULES, SENTENCES
+from covshare.llm.licences import GAP, RULES, STEPS, STOP, known_sentences
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
@@ -18,25 +18,49 @@ FROM (SELECT doc_id, sha256({_LOWER}) AS sha FROM documents)
 """
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _licences() -> str:
-    known = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
+    known = ", ".join(f"({_text(s)}, {_text(i)})" for s, i in known_sentences().items())
     first = " ".join(f"WHEN contains('|' || sentence_ids, '|{r}') THEN '{n}'" for n, r in RULES)
     every = ", ".join(f"CASE WHEN contains('|' || sentence_ids, '|{r}') THEN '{n}' END" for n, r in RULES)
+    normal = f"translate({_LOWER}, {_text(STOP)}, {_text(GAP)})"
+    for pattern, by in STEPS:
+        normal = f"regexp_replace({normal}, {_text(pattern)}, {_text(by)}, 'g')"
     return f"""
-WITH known(sentence, id) AS (VALUES {known}),
-lines AS (
-  SELECT doc_id, unnest(s) AS sentence, unnest(range(len(s))) AS place
-  FROM (SELECT doc_id, string_split(
-          regexp_replace(coalesce(text, ''), '([.!?:])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)) AS s
+WITH RECURSIVE known(sentence, ids) AS (VALUES {known}),
+paragraphs AS (
+  SELECT doc_id, unnest(p) AS paragraph, unnest(range(len(p))) AS par
+  FROM (SELECT doc_id, string_split(trim(translate({normal}, {_text(STOP)}, chr(10))), {_text(GAP)}) AS p
         FROM documents)),
-clean AS (
-  SELECT doc_id, place, trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')) AS sentence
-  FROM lines),
-ids AS (
-  SELECT doc_id, string_agg(id || '|', '' ORDER BY place) AS ids
-  FROM clean JOIN known USING (sentence) GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, par, pieces, unnest(range(len(pieces))) AS place
+  FROM (SELECT doc_id, par, string_split(paragraph, chr(10)) AS pieces FROM paragraphs)),
+starts AS (
+  SELECT doc_id, par, place, array_to_string(pieces[place + 1 : place + 200], ' ') AS plain,
+         array_to_string(pieces[place + 1 : place + 200], chr(10)) AS ends
+  FROM pieces),
+tried AS (
+  SELECT doc_id, par, place, ids, length(sentence) AS n,
+         place + len(string_split(substr(ends, 1, length(sentence)), chr(10))) AS behind
+  FROM starts JOIN known
+    ON starts_with(plain, sentence) AND substr(ends, length(sentence) + 1, 1) IN ('', chr(10))),
+longest AS (
+  SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY doc_id, par, place ORDER BY n DESC) = 1),
+linked AS (
+  SELECT a.doc_id, a.par, a.place, any_value(a.ids) AS ids, min(b.place) AS next
+  FROM longest a LEFT JOIN longest b ON b.doc_id = a.doc_id AND b.par = a.par AND b.place >= a.behind
+  GROUP BY a.doc_id, a.par, a.place),
+taken AS (
+  SELECT l.* FROM linked l JOIN (SELECT doc_id, par, min(place) AS place FROM linked GROUP BY doc_id, par) f
+    ON f.doc_id = l.doc_id AND f.par = l.par AND f.place = l.place
+  UNION ALL
+  SELECT l.* FROM taken t JOIN linked l ON l.doc_id = t.doc_id AND l.par = t.par AND l.place = t.next),
 found AS (
-  SELECT d.doc_id, coalesce(ids, '') AS sentence_ids FROM documents d LEFT JOIN ids USING (doc_id))
+  SELECT d.doc_id, coalesce(string_agg(ids || '|', '' ORDER BY par, place), '') AS sentence_ids
+  FROM documents d LEFT JOIN taken USING (doc_id) GROUP BY d.doc_id)
 SELECT doc_id, sentence_ids,
        array_to_string(list_sort(list_distinct([{every}])), ',') AS licences,
        CASE WHEN sentence_ids = '' THEN NULL {first} ELSE 'unknown' END AS licence

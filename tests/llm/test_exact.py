@@ -3,10 +3,12 @@ import re
 import textwrap
 from collections import Counter
 
+import duckdb
 from brute import ascii_lower
 from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
 
 from covshare.llm import bitmaps, exact_dedup, licences
+from covshare.llm.oracle import llm_oracles
 from pyspark.sql import functions as F
 
 
@@ -26,6 +28,12 @@ def test_many_copies(spark):
     assert Counter(map(tuple, exact_dedup.exact_duplicates(table(spark, rows)).collect())) == expected(rows)
 
 
+def test_drop_by_text(spark):
+    rows = [(1, "a"), (5, "A"), (5, "unique five"), (7, "a"), (8, "c"), (None, "c")]
+    kept = exact_dedup.drop_exact_duplicates(table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(5, "unique five"), (7, "a"), (8, "c"), (None, "c")])
+
+
 def test_drop_keeps_columns(edge):
     kept = exact_dedup.drop_exact_duplicates(edge)
     assert kept.columns == edge.columns
@@ -117,3 +125,59 @@ def test_sentences_end_at_blank_lines(spark):
     texts += ["\n" * 50_000 + ". " * 50_000 + "\nLicensed\nunder the MIT License", "It is licensed. Licensed under\nthe MIT license! x"]
     got = {r.doc_id: r.licence for r in licences.scan_licences(table(spark, enumerate(texts))).collect()}
     assert [got[i] for i in range(5)] == [None, None, None, "MIT", "MIT"]
+
+
+MORE_NOTICES = {
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+    "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.\n",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)\n",
+    "Zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held "
+    "liable for any damages\narising from the use of this software.\n",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General "
+    "Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later "
+    "version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU\nLesser General Public License for more details.\n",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General "
+    "Public License as published\nby the Free Software Foundation, either version 3 of the License, or\n(at your option) any later "
+    "version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU Affero General Public License for more details.\n",
+    "EPL-2.0": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\n"
+    "which is available at https://www.eclipse.org/legal/epl-2.0/\n",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to "
+    "this software to the public domain\nworldwide. This software is distributed without any warranty.\n",
+    "WTFPL": "Everyone is permitted to copy and distribute verbatim or modified\ncopies of this license document, and changing it is "
+    "allowed as long\nas the name is changed.\n",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.\n",
+    "OFL-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.\nThis license is copied below\n",
+}
+
+
+def test_licences_agree_with_the_sql(spark, tmp_path):
+    """Wrapped, joined and cut notices, sentences inside others, one behind another."""
+    ways = [
+        lambda t: t,
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+        lambda t: "\n\n".join(textwrap.fill(p, 29, break_long_words=False, break_on_hyphens=False) for p in t.split("\n\n")),
+        lambda t: "".join(f"C {line}\n" for line in t.split("\n")),
+        lambda t: t + t.upper() + "Released under\nthe MIT License! " + t,
+        lambda t: t[: len(t) // 2] + "\n\n" + t[len(t) // 2 :],
+        lambda t: "x " + t,
+    ]
+    notices = NOTICES | MORE_NOTICES
+    rows = list(enumerate(way(text) for text in notices.values() for way in ways))
+    rows += [(10_000 + i, t) for i, t in enumerate([None, "", "\n\x01\x02\n ", "c\nc\n\nAll rights\nreserved.", "all rights reserved all rights reserved"])]
+    path = f"{tmp_path}/documents.parquet"
+    table(spark, rows).repartition(2).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    found = licences.scan_licences(spark.read.parquet(path))
+    expected = con.execute(llm_oracles()["op10_licences"]).fetchall()
+    names = [d[0] for d in con.description]
+    got = sorted(tuple(r[n] for n in names) for r in found.collect())
+    assert got == sorted(expected)
+    by_id = {r[names.index("doc_id")]: r[names.index("licence")] for r in got}
+    for k, name in enumerate(notices):
+        assert [by_id[k * len(ways) + w] for w in range(5)] == [name] * 5
+    assert all(by_id[k * len(ways) + 7] != name or name in ("LGPL-2.1",) for k, name in enumerate(notices) if "\n\n" not in notices[name])
