@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +35,13 @@ END = 0xFF  # never a byte of UTF-8; also what stands before a text
 _BLOCK = 1 << 20
 _CHUNK_BYTES = 32 << 20
 _LEAST_CHUNK_BYTES = 1 << 20
-_MOST_WORDS = 400_000  # held in a task before counts are handed on
+_BATCH_ROWS = 1 << 16
+_MOST_WORDS = 300_000  # held in a task before counts are handed on
 _MOST_GRAMS = 2_000_000
 _LOW = 24  # bits of the context and symbol of the broadcast levels
 _LOG10 = math.log(10)
+_SHARE_GRAMS = 1 << 19  # worked out together, about; contexts that share three bytes are never parted
+_NO_WORD, _NO_GRAM = b"", -1  # in the column that a row of the other kind leaves open
 
 
 def _normal(text: str | None) -> list[bytes]:
@@ -90,43 +94,47 @@ def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _gram_batch(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+def _rows(words: list[bytes], word_counts: list[int], grams: np.ndarray, gram_counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of (word, gram, n): a word with _NO_GRAM, or _NO_WORD with a gram. Batches
+    are short, as the executor holds each beside what it makes of it."""
+    for at in range(0, len(words), _BATCH_ROWS):
+        some = words[at : at + _BATCH_ROWS]
+        columns = [pa.array(some, pa.binary()), pa.array(np.full(len(some), _NO_GRAM)), pa.array(word_counts[at : at + _BATCH_ROWS], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["word", "gram", "n"])
+    for at in range(0, len(grams), _BATCH_ROWS):
+        some = grams[at : at + _BATCH_ROWS]
+        columns = [pa.repeat(pa.scalar(_NO_WORD, pa.binary()), len(some)), pa.array(some), pa.array(gram_counts[at : at + _BATCH_ROWS])]
+        yield pa.RecordBatch.from_arrays(columns, ["word", "gram", "n"])
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, count in training texts) of a task; 0 for those of other texts only."""
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a task's training texts and the grams of all its texts with
+    their counts in training texts, 0 for those of other texts only."""
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for _, train, _, texts in _texts(batches):
+    words: Counter[bytes] = Counter()
+    for _, train, found, texts in _texts(batches):
+        for w, flag in zip(found, train, strict=True):
+            if flag:
+                words.update(w)
         for flag in (True, False):
-            grams, _ = _grams([t for t, f in zip(texts, train, strict=True) if f is flag])
-            found, n = np.unique(grams, return_counts=True)
-            keys, counts = np.concatenate([keys, found]), np.concatenate([counts, n * flag])
+            grams, n = _distinct(_grams([t for t, f in zip(texts, train, strict=True) if f is flag])[0])
+            keys, counts = np.concatenate([keys, grams]), np.concatenate([counts, n * flag])
         if len(keys) > _MOST_GRAMS:
             keys, counts = _add_up(keys, counts)
             if len(keys) > _MOST_GRAMS // 2:
-                yield _gram_batch(keys, counts)
+                yield from _rows([], [], keys, counts)
                 keys, counts = keys[:0], counts[:0]
-    yield _gram_batch(*_add_up(keys, counts))
-
+        if len(words) > _MOST_WORDS:
+            yield from _rows(list(words), list(words.values()), keys[:0], counts[:0])
+            words.clear()
+    yield from _rows(list(words), list(words.values()), *_add_up(keys, counts))
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, count in training texts) of a task."""
-    def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-        )
-        counts.clear()
-        return batch
 
-    counts: Counter[bytes] = Counter()
-    for _, train, words, _ in _texts(batches):
-        for w, flag in zip(words, train, strict=True):
-            if flag:
-                counts.update(w)
-        if len(counts) > _MOST_WORDS:
-            yield out()
-    yield out()
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each occurs."""
+    ordered = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    return ordered[first], np.diff(np.append(first, len(ordered)))
 
 
 class LowLevels:
@@ -218,24 +226,24 @@ def code_lengths(grams: np.ndarray, counts: np.ndarray, low: LowLevels) -> np.nd
     return out
 
 
-def _chunk_words(table: pa.Table) -> pa.Table:
+def _asked(table: pa.Table) -> pa.Table:
+    """(chunk, word, gram): the distinct words and grams of a chunk."""
     words: set[bytes] = set()
-    for _, _, found, _ in _texts(iter(table.to_batches())):
-        words.update(*found)
-    chunk = table.column("chunk")[0].as_py()
-    return pa.table({"chunk": pa.array([chunk] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())})
-
-
-def _chunk_grams(table: pa.Table) -> pa.Table:
     held, size = [np.zeros(0, np.int64)], 0
-    for _, _, _, texts in _texts(iter(table.to_batches())):
-        held.append(np.unique(_grams(texts)[0]))
+    for _, _, found, texts in _texts(iter(table.to_batches())):
+        words.update(*found)
+        held.append(_distinct(_grams(texts)[0])[0])
         size += len(held[-1])
         if size > 2 * _MOST_GRAMS:
-            held, size = [np.unique(np.concatenate(held))], 0
-    keys = np.unique(np.concatenate(held))
+            held, size = [_distinct(np.concatenate(held))[0]], 0
+    keys, _ = _distinct(np.concatenate(held))
     chunk = table.column("chunk")[0].as_py()
-    return pa.table({"chunk": pa.array(np.full(len(keys), chunk)), "gram": pa.array(keys)})
+    schema = pa.schema([("chunk", pa.int64()), ("word", pa.binary()), ("gram", pa.int64())])
+    rows = [
+        pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, chunk)), batch.column("word"), batch.column("gram")], schema=schema)
+        for batch in _rows(list(words), [0] * len(words), keys, np.zeros(len(keys), np.int64))
+    ]
+    return pa.Table.from_batches(rows, schema)
 
 
 class Lookup:
@@ -258,13 +266,15 @@ class Lookup:
         other = np.flatnonzero(self.keys[at] != keys)
         while len(other):
             at[other] += 1
+            if at.max() >= len(self.keys):
+                raise KeyError("a key that is not in the table")
             other = other[self.keys[at[other]] != keys[other]]
         return self.values[at]
 
 
 def _score_chunk(docs: pa.Table, answers: pa.Table, total: int, distinct: int, ends: int) -> pa.Table:
-    gram_rows = answers.filter(answers.column("word").is_null())
-    word_rows = answers.filter(answers.column("word").is_valid())
+    is_word = pc.equal(answers.column("gram"), _NO_GRAM)
+    gram_rows, word_rows = answers.filter(pc.invert(is_word)), answers.filter(is_word)
     lengths = Lookup(gram_rows.column("gram").to_numpy(), gram_rows.column("value").to_numpy())
     known = dict(zip(word_rows.column("word").to_pylist(), (word_rows.column("value").to_numpy() + 1).tolist(), strict=True))
     base_unit = math.log10(total + distinct + 1)
@@ -311,7 +321,8 @@ def score_documents(
     A null text is empty: only its end is scored. A null id counts as an empty
     text for the fold. Rows that repeat train and are scored as often as they
     occur, other columns are ignored, an empty table gives no rows, and without
-    training documents every symbol is equally likely.
+    training documents every symbol is equally likely. White space is scored as
+    single blanks between words, whatever it was.
     """
     spark = docs.sparkSession
     short_batches(spark)
@@ -320,17 +331,21 @@ def score_documents(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
         (rest != held_out_fold).alias("train"),
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size, ends = rows.agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.when(F.col("train"), 1))
+    ).first()
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(1, -(-size // _CHUNK_BYTES), min(shuffles, size // _LEAST_CHUNK_BYTES))
 
-    words = stored(
-        rows.where("train").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "words"
+    counts = stored(
+        rows.mapInArrow(_count, "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts"
     )
-    grams = stored(rows.mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    ends = rows.where("train").count()
-    seen = words.agg(F.sum("c"), F.count(F.lit(1))).first()
-    total, distinct = (seen[0] or 0) + ends, seen[1] + (ends > 0)
+    is_word = F.col("gram") == _NO_GRAM
+    words, grams = counts.where(is_word), counts.where(~is_word).select("gram", "n")
+    total, distinct, n_grams = counts.agg(
+        F.coalesce(F.sum(F.when(is_word, F.col("n"))), F.lit(0)), F.count(F.when(is_word, 1)), F.count(F.when(~is_word, 1))
+    ).first()
+    total, distinct = total + ends, distinct + (ends > 0)
 
     # 2 ** 24 rows at most, whatever the corpus.
     low_rows = (
@@ -342,24 +357,25 @@ def score_documents(
         keys = table.column("gram").to_numpy()
         return pa.table({"gram": keys, "value": code_lengths(keys, table.column("n").to_numpy(), low.value)})
 
+    # Contexts that end in the same three bytes stay together.
     context = F.shiftright("gram", 8).bitwiseAND((1 << 24) - 1)
+    shares = max(4 * shuffles, -(-n_grams // _SHARE_GRAMS))
     coded = (
-        grams.withColumn("share", F.pmod(F.xxhash64(context), F.lit(4 * shuffles)))
+        grams.withColumn("share", F.pmod(F.xxhash64(context), F.lit(shares)))
         .groupBy("share")
         .applyInArrow(lengths, "gram long, value double")
     )
+    values = words.select("word", "gram", F.col("n").cast("double").alias("value")).union(
+        stored(coded, "lengths").select(F.lit(_NO_WORD).alias("word"), "gram", "value")
+    )
 
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.coalesce("id", F.lit(0))), F.lit(chunks)))
-    asked_words = dealt.groupBy("chunk").applyInArrow(_chunk_words, "chunk long, word binary")
-    asked_grams = dealt.groupBy("chunk").applyInArrow(_chunk_grams, "chunk long, gram long")
+    # By text too: an id may be missing, or that of many rows.
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
     answers = (
-        asked_words.join(words, "word")
-        .select("chunk", "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
-        .union(
-            asked_grams.join(stored(coded, "lengths"), "gram").select(
-                "chunk", F.lit(None).cast("binary").alias("word"), "gram", "value"
-            )
-        )
+        dealt.groupBy("chunk")
+        .applyInArrow(_asked, "chunk long, word binary, gram long")
+        .join(values, ["word", "gram"])
+        .select("chunk", "word", "gram", "value")
     )
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         lambda docs_of, answers_of: _score_chunk(docs_of, answers_of, total, distinct, ends), SCHEMA
