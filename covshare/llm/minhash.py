@@ -278,7 +278,7 @@ def _difference_lists(compared: DataFrame) -> DataFrame:
 
 # Tests in a list that are made without a leader. Lists of differences are short, and
 # a leader for each would compare the same documents again and again.
-_DIRECT, _DIRECT_LATER = 64, 1 << 10
+_DIRECT, _DIRECT_LATER = 128, 1 << 14
 _ROUNDS = 4  # with leaders; what they leave is tested directly
 
 
