@@ -212,7 +212,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """For (leader, id): what the id's set C is missing or has besides (`gone`, `new`),
-    `linked` (to the leader), `near` and `wide` (zones around it), and two numbers.
+    `linked` (to the leader), `near` and `wide` (zones around it), and three numbers.
 
     With C the leader's set, Dx = C - X and Ix = X - C, the intersection of A and B
     is |C| - |Da| - |Db| plus the number of differences that a and b share. So they
@@ -220,7 +220,9 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     more than `kept` = (100 |Da| + percent |Ia|) / (100 + percent) by what b lacks to be
     linked to C; if a is not linked to C either, that holds for b as well. As they can't
     share more than |Da| + |Ia|, it is also at least `asked`, which follows from b alone:
-    (percent (|B| + |C|) - (100 + percent) |B and C|) / 100.
+    (percent (|B| + |C|) - (100 + percent) |B and C|) / 100. For a pair that is known it is
+    (lack of a + lack of b) / 2 (100 + percent), with `lack` of x being
+    2 (100 |Dx| + percent |Ix|) - (100 - percent) |C|.
 
     One minus the similarity is a metric: what is linked to an id in the near zone
     is in the wide one.
@@ -243,36 +245,62 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.when(in_wide, F.concat("gone", "new")).alias("differences"),
         F.ceil((F.col("total") * percent - F.col("both") * (100 + percent)) / F.lit(100)).alias("asked"),
         F.floor((F.size("gone") * 100 + F.size("new") * percent) / F.lit(100 + percent)).alias("kept"),
+        (F.size("gone") * 200 + F.size("new") * 2 * percent - F.size("of_b") * (100 - percent)).cast("long").alias("lack"),
     )
 
 
 def _difference_lists(compared: DataFrame) -> DataFrame:
-    """Lists (key, id, indexed, linked, weight) such that two ids in the wide zone of a
-    leader of which one, b, is not linked to it are in a common list if they are
-    linked: both indexed there, or a indexed there and linked to the leader.
+    """Lists (key, id, component, indexed, linked, weight, rest, lack) such that two ids in
+    the wide zone of a leader of which one, b, is not linked to it are in a common list if
+    they are linked: both indexed there, or a indexed there and linked to the leader.
 
     The rarest differences of b up to `asked` (see `_compared`) are asked for, and
-    those of every id up to `kept` are indexed.
+    those of every id up to `kept` are indexed. `rest` counts this difference and those
+    after it in the order of all: where two ids meet first, they share as many at most.
     """
-    known = compared.where("wide").withColumn("weight", F.size("differences").cast("long"))
+    known = compared.withColumn("weight", F.size("differences").cast("long"))
     rows = known.select(
-        "leader", "id", "asked", "kept", "weight", F.explode("differences").alias("shingle")
+        "leader", "id", "component", "asked", "kept", "weight", "lack", F.explode("differences").alias("shingle")
     ).withColumn("key", F.xxhash64("leader", "shingle"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("lists")).where("lists > 1")
     ordered = (
         _spread_join(rows.drop("shingle"), shared, "key")
-        .groupBy("leader", "id", "asked", "kept", "weight")
+        .groupBy("leader", "id", "component", "asked", "kept", "weight", "lack")
         .agg(F.sort_array(F.collect_list(F.struct("lists", "key"))).alias("keys"))  # a set's differences at most
         # Places in the order of all differences; those of one document only come first.
         .withColumn("alone", F.col("weight") - F.size("keys"))
         .withColumn("indexed_to", F.col("weight") - F.col("kept"))
         .withColumn("asked_to", F.when(F.col("asked") > 0, F.col("weight") - F.col("asked") + 1).otherwise(0))
         .withColumn("use", F.greatest(F.lit(0), F.greatest("indexed_to", "asked_to") - F.col("alone")).cast("int"))
-        .select("id", "asked", "weight", "alone", "indexed_to", F.posexplode(F.expr("slice(keys, 1, use)")).alias("place", "entry"))
+        .select(
+            "id", "component", "asked", "weight", "lack", "alone", "indexed_to",
+            F.posexplode(F.expr("slice(keys, 1, use)")).alias("place", "entry"),
+        )
     )
     return ordered.select(
-        F.col("entry.key").alias("key"), "id", (F.col("alone") + F.col("place") < F.col("indexed_to")).alias("indexed"),
-        (F.col("asked") <= 0).alias("linked"), "weight",
+        F.col("entry.key").alias("key"), "id", "component", (F.col("alone") + F.col("place") < F.col("indexed_to")).alias("indexed"),
+        (F.col("asked") <= 0).alias("linked"), "weight", (F.col("weight") - F.col("alone") - F.col("place")).alias("rest"), "lack",
+    )
+
+
+def _tests(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of lists that have to be tested, each once.
+
+    Of two rows that are indexed one asks for the other. A pair is left out where it
+    can't share enough from there on, were that the first list it meets in (see
+    `_difference_lists`); what is linked can, in the first one.
+    """
+    some = lists.where("indexed").select(
+        "key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("linked").alias("other_linked"),
+        F.col("rest").alias("other_rest"), F.col("lack").alias("other_lack"),
+    )
+    return (
+        lists.select("key", "id", "component", "indexed", "rest", "lack")
+        .join(some, "key")
+        .where("component <> of_other and ((indexed and id > other) or (not indexed and other_linked))")
+        .where(F.least("rest", "other_rest") * (2 * (100 + percent)) >= F.col("lack") + F.col("other_lack"))
+        .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
+        .distinct()
     )
 
 
@@ -291,28 +319,19 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
     next round's leader. So lists only lose members, and new ones hold ids that
     share what sets them apart from a leader.
     """
-    lists = stored(
-        _prefix_postings(reps, matches).withColumns({"indexed": F.lit(True), "linked": F.lit(False)}), "lists"
-    )
+    # In these lists a pair may collide often enough from any place on: nothing is lacking.
+    first = {"component": F.col("id"), "indexed": F.lit(True), "linked": F.lit(False), "rest": F.lit(0).cast("long"), "lack": F.lit(0).cast("long")}
+    columns = ["key", "id", "component", "indexed", "linked", "weight", "rest", "lack"]
+    lists = stored(_prefix_postings(reps, matches).withColumns(first).select(*columns), "lists")
     if lists.isEmpty():
         return None
     sets = sets_of(lists.select("id").distinct())
     found, known = [], None
     few = _DIRECT
     for left in reversed(range(_ROUNDS + 1)):
-        open_lists = stored(_open_lists(lists, known), "open")
+        open_lists = stored(_open_lists(lists), "open")
         discard(lists)
-        direct = open_lists.where(F.col("tests") <= few) if left else open_lists
-        some = direct.where("indexed").select(
-            "key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("linked").alias("other_linked")
-        )
-        tests = (
-            direct.select("key", "id", "component", "indexed")
-            .join(some, "key")
-            .where("component <> of_other and (indexed or other_linked)")
-            .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
-            .distinct()
-        )
+        tests = _tests(open_lists.where(F.col("tests") <= few) if left else open_lists, percent)
         found.append(stored(_linked(_colliding(tests, reps, matches), sets, percent), "edges"))
         with_leader = open_lists.where((F.col("tests") > few) & (F.col("id") != F.col("leader")))
         if not left or with_leader.isEmpty():
@@ -325,9 +344,8 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
         known, before = stored(own if known is None else own.union(known).groupBy("a").agg(F.min("b").alias("b")), "known"), known
         near = compared.where("near").select("leader", "id")
         further = with_leader.join(near, ["leader", "id"], "left_anti")
-        lists = stored(
-            further.select("key", "id", "indexed", "linked", "weight").union(_difference_lists(_unsettled(compared, known))), "lists"
-        )
+        further = _component(further.drop("component"), known, "id", "component").select(*columns)
+        lists = stored(further.union(_difference_lists(_unsettled(compared, known)).select(*columns)), "lists")
         discard(compared, open_lists, before)
         few = _DIRECT_LATER
     discard(sets, known)
@@ -337,33 +355,31 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
     return edges
 
 
-def _component(rows: DataFrame, known: DataFrame | None, column: str, name: str) -> DataFrame:
+def _component(rows: DataFrame, known: DataFrame, column: str, name: str) -> DataFrame:
     """Rows with what an id belongs to as far as is known, (a, b): itself if nothing is."""
-    if known is None:
-        return rows.withColumn(name, F.col(column))
     centres = known.select(F.col("a").alias(column), F.col("b").alias(name))
     return _spread_join(rows, centres, column, "left").withColumn(name, F.coalesce(name, column))
 
 
 def _unsettled(compared: DataFrame, known: DataFrame) -> DataFrame:
-    """What was compared with leaders in whose wide zone there is an id of another component."""
-    of_id = _component(compared.where("wide").select("leader", "id"), known, "id", "component")
+    """What is in the wide zone of a leader in which there is an id of another
+    component, with each id's component."""
+    of_id = _component(compared.where("wide"), known, "id", "component")
     spans = of_id.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     some = _component(spans, known, "leader", "own").where("low <> own or high <> own").select("leader")
-    return _spread_join(compared, some, "leader")
+    return _spread_join(of_id, some, "leader")
 
 
-def _open_lists(lists: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Rows of the lists that hold several components, with each row's component,
-    the number of tests that the list needs at most, and its leader.
+def _open_lists(lists: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components, with the number of tests that
+    the list needs at most, and its leader.
 
     The indexed row with the smallest weight leads a list, or rather the one that
     leads the best of the lists that this one is in: so the lists of one group
     of near copies share a leader, which need not be in each of them."""
-    members = _component(lists, known, "id", "component")
     entry = F.when(F.col("indexed"), F.struct("weight", "id"))
     spans = (
-        members.groupBy("key")
+        lists.groupBy("key")
         .agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
             F.sum(F.col("indexed").cast("long")).alias("m"),
@@ -373,11 +389,9 @@ def _open_lists(lists: DataFrame, known: DataFrame | None) -> DataFrame:
         .where("low < high and (m > 1 or l > 0)")
         .select("key", F.expr("m * m + l * n").alias("tests"), "entry")
     )
-    rows = _spread_join(members, spans, "key").withColumn("first", F.col("entry.id"))
+    rows = _spread_join(lists, spans, "key").withColumn("first", F.col("entry.id"))
     best = rows.groupBy("id").agg(F.min("entry").alias("best")).select(F.col("id").alias("first"), F.col("best.id").alias("leader"))
-    return _spread_join(rows.drop("entry"), best, "first").select(
-        "key", "id", "indexed", "linked", "weight", "component", "tests", "leader"
-    )
+    return _spread_join(rows.drop("entry"), best, "first").select(*lists.columns, "tests", "leader")
 
 
 def near_duplicates(

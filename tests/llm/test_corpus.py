@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import pytest
 from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from covshare.llm import minhash, ppm, repeats
@@ -339,6 +340,32 @@ def test_overlapping_groups(spark, monkeypatch, shingle_words, direct, later, ro
     check_near(spark, overlapping_groups(shingle_words), shingle_words=shingle_words, matches=30)
 
 
+def test_pairs_that_lists_of_differences_test(spark):
+    """Every linked pair is tested, once, and few of those that share too little."""
+    rng = random.Random(9)
+    leader = list(range(100))
+    sets = {0: leader}
+    for i in range(1, 120):  # 20 shingles gone and 20 new ones, from few or many that a group may lose or get
+        group, pool = i % 4, 26 if i % 3 else 34
+        gone = rng.sample(range(20 * group, 20 * group + pool), 20)
+        sets[i] = sorted(set(leader) - set(gone) | {1000 * group + j for j in rng.sample(range(100, 100 + pool), 20)})
+    frame = spark.createDataFrame(list(sets.items()), "id LONG, shingles ARRAY<LONG>")
+    pairs = spark.createDataFrame([(0, i) for i in sets if i], "leader LONG, id LONG")
+    compared = minhash._compared(pairs, frame, 80).withColumn("component", F.col("id"))
+    lists = minhash._difference_lists(compared.where("wide"))
+    tests = [(r.a, r.b) for r in minhash._tests(lists, 80).collect()]
+    near_leader = {r.id for r in compared.where("linked").collect()}
+    linked = {
+        (a, b) for a in sets for b in sets
+        if a > b > 0 and not {a, b} <= near_leader
+        and 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))
+    }
+    assert linked <= set(tests) and len(tests) == len(set(tests))
+    asked = lists.where("indexed").select("key", F.col("id").alias("other"))
+    every = lists.join(asked, "key").where("id <> other").select(F.least("id", "other"), F.greatest("id", "other")).distinct().count()
+    assert 0 < len(linked) and len(tests) < 0.9 * every
+
+
 TWICE = [(1, PASSAGE * 2 + "alone"), (5, PASSAGE * 2 + "alone"), (5, "quite another text " * 5), (7, "x" + PASSAGE + "y"), (7, "quite another text " * 5)]
 
 
