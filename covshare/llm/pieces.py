@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covshare.llm.workers import short_batches
+from covshare.llm.workers import kept, short_batches
 
 SPACE = "▁"
 _START = -1  # before the first piece, and in place of a character without a piece
@@ -36,6 +36,12 @@ _HELD_BYTES = 1 << 20
 _WORDS = 4096
 _SEGMENT = regex.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 _BASE = np.uint64(0xD6E8FEB86659FD93)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_SLOT_BITS = 20  # of the tables that answer most questions before a search or a dictionary does
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys * _SPREAD >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
 
 
 class PieceModel:
@@ -58,7 +64,11 @@ class PieceModel:
         keys = {self.key(p): i for p, i in self.ids.items()}
         self.keys = np.sort(np.fromiter(keys, np.uint64, len(keys)))
         self.key_ids = np.asarray([keys[int(k)] for k in self.keys], np.int64)
+        self.maybe = np.zeros(1 << _SLOT_BITS, bool)  # whether a piece may have a key of this slot
+        self.maybe[_slots(self.keys)] = True
         self.agrees: dict[int, bool] = {}
+        # The last pair asked for in each slot, and whether it agrees.
+        self.pairs, self.answers = np.full(1 << _SLOT_BITS, -1), np.zeros(1 << _SLOT_BITS, bool)
 
     @staticmethod
     def key(text: str) -> int:
@@ -104,10 +114,28 @@ class PieceModel:
                 out += [self.byte[b] for b in s.encode()]
         return out
 
+    def place(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pieces with these keys stand, and whether there are any."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each pair of pieces is the encoding of its text; a left one of
         _START asks the same of the right one alone."""
-        keys, place = np.unique((left + 1) * (1 << 32) + right, return_inverse=True)
+        keys = (left + 1) * (1 << 32) + right
+        slots = _slots(keys.view(np.uint64))
+        out = self.answers[slots]
+        new = np.flatnonzero(self.pairs[slots] != keys)
+        if len(new):
+            out[new] = self._compatible(keys[new])
+            # Pairs of one slot may come together: it keeps the answer of the one it holds.
+            self.pairs[slots[new]] = keys[new]
+            held = new[self.pairs[slots[new]] == keys[new]]
+            self.answers[slots[held]] = out[held]
+        return out
+
+    def _compatible(self, pairs: np.ndarray) -> np.ndarray:
+        keys, place = np.unique(pairs, return_inverse=True)
         answers = []
         for key in keys.tolist():
             answer = self.agrees.get(key)
@@ -119,7 +147,7 @@ class PieceModel:
         return np.asarray(answers, bool)[place]
 
 
-def lattice(model: PieceModel, words: list[str]) -> list[list[int]]:
+def lattice(model: PieceModel, words: list[str]) -> list[bytes]:
     """Ids of words that all have the same number of characters."""
     n, count = len(words[0]), len(words)
     chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(count, n).astype(np.uint64)
@@ -133,29 +161,35 @@ def lattice(model: PieceModel, words: list[str]) -> list[list[int]]:
         best = np.full(count, -1)
         for size in range(min(end, model.longest), 0, -1):
             key = total[end] - total[end - size] * power[size]
-            at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
-            hit = model.keys[at] == key
+            rows = np.flatnonzero(model.maybe[_slots(key)])
             # A path to the start of the piece exists if something ends there.
-            hit &= (back[end - size] > 0) | (end == size)
-            rows = np.flatnonzero(hit & (best < size))
+            rows = rows[(best[rows] < size) & ((back[end - size, rows] > 0) | (end == size))]
+            at, hit = model.place(key[rows])
+            rows, at = rows[hit], at[hit]
             if len(rows):
-                ids = model.key_ids[at[rows]]
+                ids = model.key_ids[at]
                 good = model.compatible(last[end - size, rows], ids)
                 rows, ids = rows[good], ids[good]
                 best[rows], back[end, rows], last[end, rows] = size, size, ids
             if size == 1:
                 # A character without a piece stands alone, between any two others.
-                alone = np.flatnonzero((model.keys[at] != key) & (best < 0))
+                alone = np.flatnonzero(best < 0)
+                alone = alone[~model.place(key[alone])[1]]
                 back[end, alone], last[end, alone] = 1, _START
-    out = []
-    for w, word in enumerate(words):
-        end, ids = n, []
-        while end:
-            size = int(back[end, w])
-            i = int(last[end, w])
-            ids.append([i] if i != _START else model.ids_of([word[end - 1]]))
-            end -= size
-        out.append([i for part in reversed(ids) for i in part])
+    on_path = np.zeros((n + 1, count), bool)
+    ends, left = np.full(count, n), np.arange(count)
+    while len(left):
+        on_path[ends[left], left] = True
+        ends[left] -= back[ends[left], left]
+        left = left[ends[left] > 0]
+    ids = last.T[on_path.T]
+    bounds = np.cumsum(np.append(0, on_path.sum(0))).tolist()
+    data = ids.astype("<u4").tobytes()
+    out = [data[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    for w in np.flatnonzero(((last == _START) & on_path).any(0)).tolist():
+        ends_of = np.flatnonzero(on_path[:, w]).tolist()
+        parts = [[i] if i != _START else model.ids_of([words[w][end - 1]]) for i, end in zip(ids[bounds[w] : bounds[w + 1]].tolist(), ends_of, strict=True)]
+        out[w] = np.asarray([i for part in parts for i in part], "<u4").tobytes()
     return out
 
 
@@ -181,8 +215,8 @@ class PieceEncoder:
             if length:
                 found = [ids for at in range(0, len(words), _WORDS) for ids in lattice(self.model, words[at : at + _WORDS])]
             else:
-                found = [self.model.ids_of(self.model.merge(w)) for w in words]
-            self._known.update((w, np.asarray(i, "<u4").tobytes()) for w, i in zip(words, found, strict=True))
+                found = [np.asarray(self.model.ids_of(self.model.merge(w)), "<u4").tobytes() for w in words]
+            self._known.update(zip(words, found, strict=True))
         self._bytes += sum(map(len, missing)) * 4 + _ENTRY_BYTES * len(missing)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
@@ -223,7 +257,7 @@ class PieceDecoder:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder = PieceEncoder(path)
+    encoder = kept(PieceEncoder, path)
     for batch in batches:
         ids = list(encoder.encode(t.as_py() for t in batch.column(1)))
         offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
@@ -241,7 +275,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder = PieceEncoder(path)
+    encoder = kept(PieceEncoder, path)
     decoder = PieceDecoder(encoder.model)
     for batch in batches:
         texts = batch.column(1).to_pylist()

@@ -13,7 +13,7 @@ from conftest_llm import EDGE, edge, nothing, table  # noqa: F401
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from covshare.llm import boosting, packing, pieces, quality, toxicity, urls
+from covshare.llm import boosting, packing, pieces, quality, toxicity, urls, workers
 from covshare.llm.tokens import WordEncoder
 from covshare.llm.words import find_words, string_bytes
 from pyspark.sql import functions as F
@@ -286,3 +286,32 @@ def test_toxicity_sample_with_repeated_ids(spark):
 @pytest.mark.parametrize("operator", [lambda d: packing.pack(d, WORDS), lambda d: pieces.encode_digests(d, PIECES)])
 def test_empty(nothing, operator):
     assert operator(nothing).count() == 0
+
+
+def test_pairs_of_pieces_that_share_a_slot(monkeypatch):
+    """With few slots most pairs meet others there; the ids are those of the library."""
+    monkeypatch.setattr(pieces, "_SLOT_BITS", 3)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aeinrst mlo\u00e9\u4e2d\U0001f600") for _ in range(400)) for _ in range(20)]
+    encoder = pieces.PieceEncoder(PIECES)
+    expected = SentencePieceProcessor(model_file=PIECES).encode(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == expected
+
+
+def test_what_a_worker_keeps(tmp_path):
+    """One object for all tasks that ask for a file one after another, a new one for a new file."""
+    made = []
+
+    def make(path):
+        made.append(path)
+        return object()
+
+    first, second = tmp_path / "a", tmp_path / "b"
+    first.write_text("1")
+    second.write_text("2")
+    one = workers.kept(make, str(first))
+    assert workers.kept(make, str(first)) is one
+    assert workers.kept(make, str(second)) is not one
+    second.write_text("22")
+    workers.kept(make, str(second))
+    assert made == [str(first), str(second), str(second)]
