@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.llm.tokens import WordEncoder
-from covshare.llm.workers import short_batches
+from covshare.llm.workers import kept, short_batches
 from covshare.sources.scratch import stored
 
 WIDTH = 4096
@@ -49,7 +49,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, turn
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
     """The pieces of a task's documents; `turn` deals them out evenly."""
-    encoder = WordEncoder(path)
+    encoder = kept(WordEncoder, path)
     end = np.asarray([end_id], "<u4").tobytes()
     turn = zlib.crc32(str(TaskContext.get().partitionId()).encode())  # tasks begin at different groups
     rows: list[tuple] = []
