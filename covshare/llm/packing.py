@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covshare.llm.tokens import WordEncoder
-from covshare.llm.workers import short_batches
+from covshare.llm.workers import kept, short_batches
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -119,9 +119,9 @@ class Packer:
 
 
 def _pack_partition(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int, width: int, most_open: int
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, width: int, most_open: int, keep: bool
 ) -> Iterator[pa.RecordBatch]:
-    encoder, packer = WordEncoder(path), Packer(width, most_open)
+    encoder, packer = kept(WordEncoder, path) if keep else WordEncoder(path), Packer(width, most_open)
     end = np.asarray([end_id], "<u4").tobytes()
     first = TaskContext.get().partitionId() << _SEQUENCE_BITS
     done = 0
@@ -167,6 +167,7 @@ def pack(
     end_id: int = 1,
     width: int = 2048,
     most_open: int = 2048,
+    keep: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, padded_length.
@@ -177,11 +178,12 @@ def pack(
     kept. `width` must be a power of two. No more than `most_open` windows are
     open in a partition; one more and they are poured together. A partition
     whose rows come in the same order, such as one of a file scan, gives the
-    same sequences when it is computed again. Other columns are ignored, an
+    same sequences when it is computed again. With `keep` a worker keeps the
+    tokenizer and the words it has met for its next task, 200 MB about at most. Other columns are ignored, an
     empty table gives no rows.
     """
     if width & (width - 1):
         raise ValueError("width must be a power of two")
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lambda batches: _pack_partition(batches, tokenizer, end_id, width, most_open), SCHEMA)
+    return rows.mapInArrow(lambda batches: _pack_partition(batches, tokenizer, end_id, width, most_open, keep), SCHEMA)
