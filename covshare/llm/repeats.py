@@ -44,7 +44,7 @@ MOST_TOGETHER = 50_000  # occurrences of an anchor that one group takes
 # bounds: 2 ** 29 bits are 64 MB.
 LEAST_FILTER_BITS, MOST_FILTER_BITS = 20, 29
 _KEY_BITS = 48
-_BLOCK_BYTES = 1 << 19
+_BLOCK_BYTES = 1 << 18  # a byte takes 120 bytes of a worker's memory about
 _HELD = 400_000  # anchors in a task before their counts are handed on
 _WHOLE = (1 << 62) - 1  # end of a span that covers a whole text
 _SPAN = ("id", "text_key", "start", "end")
@@ -303,6 +303,36 @@ def _rows(data: np.ndarray, first: np.ndarray, lengths: np.ndarray, width: int,
     return np.where(use, data[np.where(use, index, 0)] if len(data) else 0, 0).astype(np.uint8)
 
 
+class _Tree:
+    """Common-prefix intervals of the contexts of some anchors, by what follows the
+    anchor's start, and the contexts' order by what stands before it."""
+
+    def __init__(self, anchor: np.ndarray, data: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: int):
+        n = len(anchor)
+        self.length = length
+        first = offsets[:-1] + at
+        after, self.before = np.minimum(offsets[1:] - first, length), np.minimum(at, length - anchor_size(length))
+        right = _rows(data, first, after, length, back=False)
+        self.order = _ranked(right, after, anchor)
+        self.lcp = np.zeros(n, np.int64)
+        self.lcp[1:] = _common(right, after, self.order[:-1], self.order[1:])
+        self.lcp[1:][anchor[self.order][1:] != anchor[self.order][:-1]] = 0
+        self.value, self.lower, self.upper = lcp_intervals(self.lcp, anchor_size(length))
+        self.left = _rows(data, first, self.before, length - anchor_size(length), back=True)
+        self.left_rank = np.empty(n, np.int64)
+        self.left_rank[_ranked(self.left, self.before)] = np.arange(n)
+
+    def runs(self) -> Iterator[slice]:
+        """Intervals with `_MEMBERS` members together, or one. They are nested, so all
+        of them may have as many members as contexts times bytes of an anchor's reach."""
+        ends = np.cumsum(self.upper - self.lower + 1)
+        first, done = 0, 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, done + _MEMBERS, "right")))
+            yield slice(first, last)
+            first, done = last, int(ends[last - 1])
+
+
 class Repeats:
     """Maximal repeats in the contexts of some anchors.
 
@@ -313,38 +343,39 @@ class Repeats:
     """
 
     def __init__(self, anchor: np.ndarray, data: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: int):
+        self._find(_Tree(anchor, data, offsets, at, length) if len(anchor) > 1 else None, slice(None))
+
+    @classmethod
+    def by_runs(cls, anchor: np.ndarray, data: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: int) -> Iterator[Repeats]:
+        """The same groups, some intervals' at a time: no group is of two intervals."""
+        if len(anchor) < 2:
+            return
+        tree = _Tree(anchor, data, offsets, at, length)
+        for run in tree.runs():
+            some = cls.__new__(cls)
+            some._find(tree, run)
+            yield some
+
+    def _find(self, tree: _Tree | None, run: slice) -> None:
         none = np.zeros(0, np.int64)
         self.member = self.start = self.end = self.left = self.right = none
-        n = len(anchor)
-        if n < 2:
+        if tree is None or not len(tree.value[run]):
             return
-        first = offsets[:-1] + at
-        after, before = np.minimum(offsets[1:] - first, length), np.minimum(at, length - anchor_size(length))
-        right = _rows(data, first, after, length, back=False)
-        order = _ranked(right, after, anchor)
-        lcp = np.zeros(n, np.int64)
-        lcp[1:] = _common(right, after, order[:-1], order[1:])
-        lcp[1:][anchor[order][1:] != anchor[order][:-1]] = 0
-        value, lower, upper = lcp_intervals(lcp, anchor_size(length))
-        if not len(value):
-            return
-        # All members of all intervals, with the child interval that each is in.
+        length, value, lower, upper = tree.length, tree.value[run], tree.lower[run], tree.upper[run]
+        # All members of the intervals, with the child interval that each is in.
         sizes = upper - lower + 1
         interval = np.repeat(np.arange(len(value)), sizes)
         begin = np.cumsum(sizes) - sizes
         rank = np.arange(len(interval)) - begin[interval] + lower[interval]
-        border = (lcp[rank] == value[interval]) & (rank > lower[interval])
+        border = (tree.lcp[rank] == value[interval]) & (rank > lower[interval])
         child = np.cumsum(border)
         # The same members by what stands before the anchor.
-        left = _rows(data, first, before, length - anchor_size(length), back=True)
-        left_rank = np.empty(n, np.int64)
-        left_rank[_ranked(left, before)] = np.arange(n)
-        member = order[rank]
-        by_left = np.lexsort((left_rank[member], interval))
+        member = tree.order[rank]
+        by_left = np.lexsort((tree.left_rank[member], interval))
         member, child = member[by_left], child[by_left]
         need = np.maximum(length - value, 0)[interval]
         lcs = np.zeros(len(member), np.int64)
-        lcs[1:] = _common(left, before, member[:-1], member[1:]) + 1  # 1: nothing in common before the anchor
+        lcs[1:] = _common(tree.left, tree.before, member[:-1], member[1:]) + 1  # 1: nothing in common before the anchor
         lcs[1:][interval[1:] != interval[:-1]] = 0
         lcs[lcs <= need] = 0  # too short together
         depth, start, end = lcp_intervals(lcs, 1)
@@ -366,6 +397,7 @@ class Repeats:
 
 
 _TOGETHER = 1 << 14  # contexts that are worked through at once, or one anchor's
+_MEMBERS = 1 << 17  # members of intervals that are laid out at once, or one interval's
 
 
 def _runs(table: pa.Table) -> Iterator[pa.Table]:
@@ -386,14 +418,14 @@ def _runs(table: pa.Table) -> Iterator[pa.Table]:
         first = last
 
 
-def _repeats_of(table: pa.Table, length: int) -> tuple[Repeats, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _repeats_of(table: pa.Table, length: int) -> tuple[Iterator[Repeats], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     context = table.column("context").chunk(0)
     _, offsets, data = context.cast(pa.large_binary()).buffers()
     offsets = np.frombuffer(offsets, np.int64)[: len(context) + 1]
     data = np.frombuffer(data, np.uint8)
     at = table.column("at").to_numpy().astype(np.int64)
-    found = Repeats(table.column("anchor").to_numpy(), data, offsets, at, length)
-    return found, table.column("id").to_numpy(), table.column("place").to_numpy().astype(np.int64), data, offsets[:-1] + at
+    runs = Repeats.by_runs(table.column("anchor").to_numpy(), data, offsets, at, length)
+    return runs, table.column("id").to_numpy(), table.column("place").to_numpy().astype(np.int64), data, offsets[:-1] + at
 
 
 def _covered(table: pa.Table, length: int) -> pa.Table:
@@ -401,9 +433,11 @@ def _covered(table: pa.Table, length: int) -> pa.Table:
     where a document with a smaller id has them too."""
     out = [pa.table({name: pa.array([], pa.int64()) for name in _SPAN})]
     for part in _runs(table):
-        found, ids, place, _, _ = _repeats_of(part, length)
+        runs, ids, place, _, _ = _repeats_of(part, length)
         left, right = np.full(len(ids), -1), np.full(len(ids), -1)
-        if len(found.start):
+        for found in runs:
+            if not len(found.start):
+                continue
             group, member = found.expanded()
             sizes = found.end - found.start
             smallest = np.minimum.reduceat(ids[member], np.cumsum(sizes) - sizes)
@@ -425,24 +459,24 @@ def _groups(table: pa.Table, length: int) -> pa.Table:
     their occurrences; `part` is a hash of a repeat's bytes."""
     out: list[tuple[list, ...]] = []
     for part in _runs(table):
-        found, ids, place, data, first = _repeats_of(part, length)
-        if not len(found.start):
-            continue
-        some = found.member[found.start]  # a member of each group, for its bytes
-        begin, size = first[some] - found.left, found.left + found.right
-        raw = data.tobytes()
-        strings = [raw[a:b] for a, b in zip(begin.tolist(), (begin + size).tolist(), strict=True)]
-        # An anchor chosen for a string that reaches beyond the repeat need not be one
-        # wherever the repeat is; only those chosen within it have all occurrences.
-        offsets = np.concatenate([[0], np.cumsum(size)])
-        own = Anchors(np.frombuffer(b"".join(strings), np.uint8), offsets, length)
-        within = np.zeros(len(size), bool)
-        within[own.doc[own.place == offsets[own.doc] + found.left[own.doc]]] = True
-        group, member = found.expanded()
-        group, member = group[within[group]], member[within[group]]
-        digest = np.asarray([hashlib.blake2b(s, digest_size=16).digest() for s in strings], object)
-        keys = part.column("text_key").to_numpy()
-        out.append((digest[group], size[group], ids[member], keys[member], place[member] - found.left[group]))
+        runs, ids, place, data, first = _repeats_of(part, length)
+        raw, keys = data.tobytes(), part.column("text_key").to_numpy()
+        for found in runs:
+            if not len(found.start):
+                continue
+            some = found.member[found.start]  # a member of each group, for its bytes
+            begin, size = first[some] - found.left, found.left + found.right
+            strings = [raw[a:b] for a, b in zip(begin.tolist(), (begin + size).tolist(), strict=True)]
+            # An anchor chosen for a string that reaches beyond the repeat need not be one
+            # wherever the repeat is; only those chosen within it have all occurrences.
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            own = Anchors(np.frombuffer(b"".join(strings), np.uint8), offsets, length)
+            within = np.zeros(len(size), bool)
+            within[own.doc[own.place == offsets[own.doc] + found.left[own.doc]]] = True
+            group, member = found.expanded()
+            group, member = group[within[group]], member[within[group]]
+            digest = np.asarray([hashlib.blake2b(s, digest_size=16).digest() for s in strings], object)
+            out.append((digest[group], size[group], ids[member], keys[member], place[member] - found.left[group]))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, t) for t in (object, int, int, int, int)]
     types = (pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
     names = [field.split()[0] for field in _PART.split(", ")]

@@ -12,7 +12,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+# A byte takes 60 bytes of a worker's memory about, and a worker keeps most of what it
+# had from the system for later stages.
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
