@@ -283,6 +283,23 @@ def _difference_lists(compared: DataFrame) -> DataFrame:
     )
 
 
+def _with_partner(lists: DataFrame, percent: int) -> DataFrame:
+    """The rows of lists without those that `_tests` leaves out with every row of their list.
+
+    It asks for 2 (100 + percent) rest >= lack + lack of the other, with the rest of either.
+    So the smallest lack in the list must not be over what a row's rest leaves for the
+    other, nor a row's lack over the most that any rest in the list leaves. In a group of
+    near copies most rows of the long lists fail that, and need no further leader.
+    """
+    leaves = F.col("rest") * (2 * (100 + percent)) - F.col("lack")
+    bounds = lists.groupBy("key").agg(F.min("lack").alias("least_lack"), F.max(leaves).alias("most_left"))
+    return (
+        _spread_join(lists, bounds, "key")
+        .where((F.col("least_lack") <= leaves) & (F.col("lack") <= F.col("most_left")))
+        .select(*lists.columns)
+    )
+
+
 def _tests(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of lists that have to be tested, each once.
 
@@ -317,7 +334,7 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
     near it leave the list: the differences from the leader are indexed, and any
     link of theirs is in the lists of that index. Those further off stay for the
     next round's leader. So lists only lose members, and new ones hold ids that
-    share what sets them apart from a leader.
+    share what sets them apart from a leader, and enough of it to be tested.
     """
     # In these lists a pair may collide often enough from any place on: nothing is lacking.
     first = {"component": F.col("id"), "indexed": F.lit(True), "linked": F.lit(False), "rest": F.lit(0).cast("long"), "lack": F.lit(0).cast("long")}
@@ -345,8 +362,9 @@ def _links(reps: DataFrame, sets_of, matches: int, percent: int) -> DataFrame |
         near = compared.where("near").select("leader", "id")
         further = with_leader.join(near, ["leader", "id"], "left_anti")
         further = _component(further.drop("component"), known, "id", "component").select(*columns)
-        lists = stored(further.union(_difference_lists(_unsettled(compared, known)).select(*columns)), "lists")
-        discard(compared, open_lists, before)
+        new = stored(_difference_lists(_unsettled(compared, known)).select(*columns), "differences")
+        lists = stored(further.union(_with_partner(new, percent)), "lists")
+        discard(compared, open_lists, before, new)
         few = _DIRECT_LATER
     discard(sets, known)
     every = reduce(DataFrame.union, found)

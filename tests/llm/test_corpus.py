@@ -366,6 +366,45 @@ def test_pairs_that_lists_of_differences_test(spark):
     assert 0 < len(linked) and len(tests) < 0.9 * every
 
 
+def test_rows_without_partner_leave_their_lists(spark):
+    """No test is lost with the rows that leave, whatever the components."""
+    rng = random.Random(12)
+    rows = []
+    for key in range(40):
+        for i in range(rng.randrange(2, 9)):
+            rest = rng.randrange(1, 12)
+            rows.append((key, 100 * key + i, 100 * key + i, True, False, 20, rest, rng.randrange(0, 6000)))
+    columns = "key LONG, id LONG, component LONG, indexed BOOLEAN, linked BOOLEAN, weight LONG, rest LONG, lack LONG"
+    lists = spark.createDataFrame(rows, columns)
+    left = minhash._with_partner(lists, 80)
+    tests = {(r.a, r.b) for r in minhash._tests(lists, 80).collect()}
+    assert tests and tests == {(r.a, r.b) for r in minhash._tests(left, 80).collect()}
+    kept = {r.id for r in left.collect()}
+    assert {i for pair in tests for i in pair} <= kept and len(kept) < 0.9 * len(rows)
+    alone = [(1, 1, 1, True, False, 20, 5, 1700), (1, 2, 2, True, False, 20, 9, 100), (1, 3, 3, True, False, 20, 9, 3500)]
+    assert {r.id for r in minhash._with_partner(spark.createDataFrame(alone, columns), 80).collect()} == {1, 2}
+    # Where nothing is known to lack, as in the lists of the first round, all rows stay.
+    first = lists.withColumns({"rest": F.lit(0).cast("long"), "lack": F.lit(0).cast("long")})
+    assert minhash._with_partner(first, 80).count() == len(rows)
+
+
+def test_differences_of_a_group_are_listed_once(spark, monkeypatch):
+    """Near copies of one text whose lists of differences are long, but hardly hold a
+    pair to test: they are not compared with further leaders."""
+    made, lists_of = [], minhash._difference_lists
+
+    def counted(compared):
+        made.append(compared.agg(F.count("*"), F.sum(F.size("differences"))).first())
+        return lists_of(compared)
+
+    monkeypatch.setattr(minhash, "_difference_lists", counted)
+    monkeypatch.setattr(minhash, "_DIRECT_LATER", 1 << 8)
+    texts = near_copies(3, 300, 100, 9)
+    check_near(spark, list(enumerate(texts)))
+    first, later = made[0], made[1:]
+    assert first[0] > 200 and sum(rows for _, rows in later) < 0.1 * first[1]
+
+
 TWICE = [(1, PASSAGE * 2 + "alone"), (5, PASSAGE * 2 + "alone"), (5, "quite another text " * 5), (7, "x" + PASSAGE + "y"), (7, "quite another text " * 5)]
 
 
